@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlink import fixed_values as fv
-from ledgerlink.functions.text import normalize_identifier
+from ledgerlink.functions.text import normalize_identifiers
 from ledgerlink.sources.store import stored
 
 # Delimited text as the source system writes it: quotes are doubled, cells may
@@ -78,13 +78,14 @@ def check_columns(df: DataFrame, spec: SourceSpec) -> DataFrame:
 def stage_frame(df: DataFrame) -> DataFrame:
     """All columns as text, empty text as null, identifiers normalised."""
 
-    def staged(item: T.StructField) -> Column:
+    def text(item: T.StructField) -> Column:
         cell = F.col(f"`{item.name}`")
         if item.name in fv.IDENTIFIER_COLUMNS:
-            return normalize_identifier(cell, item.dataType).alias(item.name)
+            return cell
         return F.nullif(cell.cast("string"), F.lit("")).alias(item.name)
 
-    return df.select(*(staged(item) for item in df.schema))
+    identified = normalize_identifiers(df, fv.IDENTIFIER_COLUMNS)
+    return identified.select(*(text(item) for item in identified.schema))
 
 
 def full_row_duplicates(df: DataFrame) -> Column:

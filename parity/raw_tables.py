@@ -2,16 +2,15 @@
 
 Every part and every sold part gives rows; the remainders of the key only decide
 *which* flaw a row carries and which extra rows stand beside it.  One scan of
-``part`` feeds all rows of a table: a row is turned into an array of its copies,
-and the array into rows.
+``part`` feeds all rows of a table: a row becomes an array of its copies, and the
+array becomes rows.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlink.config import Expected
 
@@ -23,9 +22,24 @@ EXPECTED = {
 }
 UNKNOWN = Expected(None, None, None, None, None, None, None)
 
+# The columns that the queries read; with them no job has to look for a schema.
+SCHEMAS = {
+    "part": "p_partkey BIGINT, p_size INT, p_retailprice DOUBLE",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, value DOUBLE",
+    "documents": "doc_id BIGINT, n_chars BIGINT",
+}
+
+_KEY = "CAST(p_partkey AS STRING)"
+_PADDED_KEY = f"""CASE p_partkey % 3 WHEN 0 THEN {_KEY}
+    WHEN 1 THEN concat('  ', {_KEY}, ' ') ELSE concat({_KEY}, '.0') END"""
+_PRICE = """CAST(CAST(CASE WHEN p_partkey % 25 = 0 THEN p_retailprice * 6
+    ELSE p_retailprice END AS DECIMAL(18,2)) AS STRING)"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def expected_for(spark: SparkSession, sf_dir: str) -> Expected:
@@ -33,161 +47,109 @@ def expected_for(spark: SparkSession, sf_dir: str) -> Expected:
     return EXPECTED.get(table(spark, sf_dir, "part").count(), UNKNOWN)
 
 
-def _divides(n: int, key: str = "p_partkey") -> Column:
-    return F.col(key) % n == 0
-
-
-def _text(c: Column) -> Column:
-    return c.cast("string")
-
-
-def _row(**cells: Column | str | None) -> Column:
-    return F.struct(
-        *(
-            (cell if isinstance(cell, Column) else F.lit(cell))
-            .cast("string")
-            .alias(name)
-            for name, cell in cells.items()
-        )
-    )
-
-
-def _emit(df: DataFrame, *rows: tuple[Column | None, Column]) -> DataFrame:
-    """One output row for every array element whose condition holds."""
-    present = F.array(
-        *(row if when is None else F.when(when, row) for when, row in rows)
-    )
-    return df.select(F.inline(F.array_compact(present)))
+def _copies(df: DataFrame, key: str, *rows: tuple[str, dict[str, str]]) -> DataFrame:
+    """A row for every listed copy whose condition holds; ``key`` is never null."""
 
+    def struct(cells: dict[str, str]) -> str:
+        return "struct(" + ", ".join(f"{v} AS {k}" for k, v in cells.items()) + ")"
 
-def _padded_key() -> Column:
-    key = _text(F.col("p_partkey"))
-    return (
-        F.when(F.col("p_partkey") % 3 == 0, key)
-        .when(F.col("p_partkey") % 3 == 1, F.concat(F.lit("\u00a0 "), key, F.lit(" ")))
-        .otherwise(F.concat(key, F.lit(".0")))
+    copies = ", ".join(
+        struct(cells) if when == "always" else f"if({when}, {struct(cells)}, NULL)"
+        for when, cells in rows
     )
+    return df.selectExpr(f"inline(array({copies}))").where(f"{key} IS NOT NULL")
 
 
 def raw_erp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    retail = F.col("p_retailprice")
-    price = _text(
-        F.when(_divides(25), retail * 6).otherwise(retail).cast("decimal(18,2)")
-    )
-    key = _text(F.col("p_partkey"))
-    older = _row(
-        product_id=key,
-        onsale_web="0",
-        price=price,
-        stock_quantity=_text(F.col("p_size")),
-        stock_status="outofstock",
-    )
-    foreign = _row(
-        product_id=F.concat(F.lit("X-"), key),
-        onsale_web="1",
-        price="1.00",
-        stock_quantity="1",
-        stock_status="instock",
-    )
-    return _emit(
-        table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice"),
-        (
-            None,
-            _row(
-                product_id=_padded_key(),
-                onsale_web=F.when(_divides(11), F.lit(None))
-                .when(_divides(2), F.lit("1.0"))
-                .otherwise(F.lit("0")),
-                price=F.when(_divides(41), F.lit(None))
-                .when(_divides(43), F.lit("n/a"))
-                .when(_divides(5), F.replace(price, F.lit("."), F.lit(",")))
-                .otherwise(price),
-                stock_quantity=_text(F.col("p_size") * 10),
-                stock_status=F.when(F.col("p_size") < 10, F.lit("  ")).otherwise(
-                    F.lit(" instock ")
-                ),
-            ),
-        ),
-        (_divides(7), older),
-        (_divides(49), older),
-        (_divides(97), foreign),
-        (_divides(97), foreign),
+    older = {
+        "product_id": _KEY,
+        "onsale_web": "'0'",
+        "price": _PRICE,
+        "stock_quantity": "CAST(p_size AS STRING)",
+        "stock_status": "'outofstock'",
+    }
+    foreign = {
+        "product_id": f"concat('X-', {_KEY})",
+        "onsale_web": "'1'",
+        "price": "'1.00'",
+        "stock_quantity": "'1'",
+        "stock_status": "'instock'",
+    }
+    current = {
+        "product_id": _PADDED_KEY,
+        "onsale_web": """CASE WHEN p_partkey % 11 = 0 THEN NULL
+            WHEN p_partkey % 2 = 0 THEN '1.0' ELSE '0' END""",
+        "price": f"""CASE WHEN p_partkey % 41 = 0 THEN NULL
+            WHEN p_partkey % 43 = 0 THEN 'n/a'
+            WHEN p_partkey % 5 = 0 THEN replace({_PRICE}, '.', ',')
+            ELSE {_PRICE} END""",
+        "stock_quantity": "CAST(p_size * 10 AS STRING)",
+        "stock_status": "CASE WHEN p_size < 10 THEN '  ' ELSE ' instock ' END",
+    }
+    return _copies(
+        table(spark, sf_dir, "part"),
+        "product_id",
+        ("always", current),
+        ("p_partkey % 7 = 0", older),
+        ("p_partkey % 49 = 0", older),
+        ("p_partkey % 97 = 0", foreign),
+        ("p_partkey % 97 = 0", foreign),
     )
 
 
 def raw_liaison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part_key = F.col("p_partkey")
-    key = _text(part_key)
-    id_web = (
-        F.when(_divides(19), F.lit("  "))
-        .when(
-            _divides(23) & (part_key > 0), F.concat(F.lit("sku-"), _text(part_key - 1))
-        )
-        .otherwise(F.concat(F.lit(" sku-"), key, F.lit(" ")))
-    )
-    return _emit(
-        table(spark, sf_dir, "part").select("p_partkey"),
-        (None, _row(product_id=_padded_key(), id_web=id_web)),
-        (_divides(13), _row(product_id=key, id_web=None)),
+    id_web = f"""CASE WHEN p_partkey % 19 = 0 THEN '  '
+        WHEN p_partkey % 23 = 0 AND p_partkey > 0
+            THEN concat('sku-', CAST(p_partkey - 1 AS STRING))
+        ELSE concat(' sku-', {_KEY}, ' ') END"""
+    return _copies(
+        table(spark, sf_dir, "part"),
+        "product_id",
+        ("always", {"product_id": _PADDED_KEY, "id_web": id_web}),
+        (
+            "p_partkey % 13 = 0",
+            {"product_id": _KEY, "id_web": "CAST(NULL AS STRING)"},
+        ),
     )
 
 
 def raw_web(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part_key = F.col("l_partkey")
-    key = _text(part_key)
-    units = _text(F.col("units").cast("bigint"))
-    day = F.lpad(_text(part_key % 28 + 1), 2, "0")
-    sold = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_partkey")
-        .agg(F.sum("l_quantity").alias("units"))
-    )
-
-    def divides(n: int) -> Column:
-        return _divides(n, "l_partkey")
-
-    products = sold.select(
-        F.concat(
-            F.lit("sku-"), key, F.when(divides(4), F.lit(" ")).otherwise(F.lit(""))
-        ).alias("sku"),
-        F.when(divides(3), F.concat(units, F.lit(".0"))).otherwise(units).alias(
-            "total_sales"
-        ),
-        F.when(divides(47), F.lit(" "))
-        .otherwise(F.concat(F.lit("Item "), key))
-        .alias("post_title"),
-        F.when(divides(2), F.lit(" Product ")).otherwise(F.lit("product")).alias(
-            "post_type"
-        ),
-        F.when(divides(10), F.lit("bad-date"))
-        .otherwise(F.concat(F.lit("2024-01-"), day, F.lit(" 10:00:00")))
-        .alias("post_modified"),
-        F.concat(F.lit(" http://shop.example/?p="), key).alias("guid"),
+    key = "CAST(l_partkey AS STRING)"
+    sold = table(spark, sf_dir, "lineitem").groupBy("l_partkey").sum("l_quantity")
+    units = "CAST(CAST(`sum(l_quantity)` AS BIGINT) AS STRING)"
+    day = "lpad(CAST(1 + l_partkey % 28 AS STRING), 2, '0')"
+    products = sold.selectExpr(
+        f"concat('sku-', {key}, CASE WHEN l_partkey % 4 = 0 THEN ' ' ELSE '' END) sku",
+        f"""CASE WHEN l_partkey % 3 = 0 THEN concat({units}, '.0')
+            ELSE {units} END AS total_sales""",
+        f"""CASE WHEN l_partkey % 47 = 0 THEN ' '
+            ELSE concat('Item ', {key}) END AS post_title""",
+        """CASE WHEN l_partkey % 2 = 0 THEN ' Product '
+            ELSE 'product' END AS post_type""",
+        f"""CASE WHEN l_partkey % 10 = 0 THEN 'bad-date'
+            ELSE concat('2024-01-', {day}, ' 10:00:00') END AS post_modified""",
+        f"concat(' http://shop.example/?p=', {key}) AS guid",
     )
-    sku = F.concat(F.lit("sku-"), _text(F.col("p_partkey")))
-    others = _emit(
-        table(spark, sf_dir, "part").select("p_partkey"),
-        (
-            None,
-            _row(
-                sku=sku,
-                total_sales="0",
-                post_title=F.concat(F.lit("Photo "), _text(F.col("p_partkey"))),
-                post_type="attachment",
-                post_modified="2024-06-01 00:00:00",
-                guid="http://shop.example/img",
-            ),
-        ),
-        (
-            _divides(9),
-            _row(
-                sku=sku,
-                total_sales="5",
-                post_title="Blog",
-                post_type="page",
-                post_modified="2024-06-01 00:00:00",
-                guid="",
-            ),
-        ),
+    photo = {
+        "sku": f"concat('sku-', {_KEY})",
+        "total_sales": "'0'",
+        "post_title": f"concat('Photo ', {_KEY})",
+        "post_type": "'attachment'",
+        "post_modified": "'2024-06-01 00:00:00'",
+        "guid": "'http://shop.example/img'",
+    }
+    blog = {
+        "sku": f"concat('sku-', {_KEY})",
+        "total_sales": "'5'",
+        "post_title": "'Blog'",
+        "post_type": "'page'",
+        "post_modified": "'2024-06-01 00:00:00'",
+        "guid": "''",
+    }
+    others = _copies(
+        table(spark, sf_dir, "part"),
+        "sku",
+        ("always", photo),
+        ("p_partkey % 9 = 0", blog),
     )
     return products.unionByName(others)

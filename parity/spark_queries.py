@@ -16,6 +16,7 @@ from ledgerlink.functions.numbers import (
     round_half_away,
     to_cents,
 )
+from ledgerlink.functions.text import normalize_identifiers
 from ledgerlink.operators import clean, dedup, faults, reconcile, report, segment
 from ledgerlink.quality import measures as m
 from ledgerlink.quality.checks import check_frame
@@ -38,20 +39,17 @@ class Tables:
     spark: SparkSession
     sf_dir: str
 
-    def _raw(self, name: str) -> DataFrame:
-        return getattr(raw_tables, f"raw_{name}")(self.spark, self.sf_dir)
-
     @cached_property
     def raw_erp(self) -> DataFrame:
-        return stage_frame(self._raw("erp"))
+        return raw_tables.raw_erp(self.spark, self.sf_dir)
 
     @cached_property
     def raw_liaison(self) -> DataFrame:
-        return stage_frame(self._raw("liaison"))
+        return raw_tables.raw_liaison(self.spark, self.sf_dir)
 
     @cached_property
     def raw_web(self) -> DataFrame:
-        return stage_frame(self._raw("web"))
+        return raw_tables.raw_web(self.spark, self.sf_dir)
 
     @cached_property
     def erp_not_null(self) -> DataFrame:
@@ -79,7 +77,12 @@ class Tables:
 
     @cached_property
     def merged_wines(self) -> DataFrame:
-        return reconcile.reconcile(self.erp_clean, self.liaison_clean, self.web_clean)
+        if "liaison_clean" in self.__dict__:
+            bridge = self.liaison_clean
+        else:
+            # Not stored: plan the rows that can join, and leave the others out.
+            bridge = dedup.linked_bridge(dedup.bridge_by_product(self.liaison_valid))
+        return reconcile.reconcile(self.erp_clean, bridge, self.web_clean)
 
     @cached_property
     def revenue_by_product(self) -> DataFrame:
@@ -126,13 +129,6 @@ def _plain(name: str) -> Query:
     return query
 
 
-def _raw(name: str) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(raw_tables, name)(spark, sf_dir).select("*")
-
-    return query
-
-
 def _with_revenue(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, sf_dir).store("revenue_by_product")
 
@@ -146,7 +142,7 @@ def normalize_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("web", "sku", t.raw_web),
     )
     return union_all(
-        df.select(
+        normalize_identifiers(df.select(name), [name]).select(
             F.lit(source).alias("source"),
             F.lit(name).alias("column_name"),
             F.col(name).alias("identifier"),
@@ -156,9 +152,13 @@ def normalize_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staging_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Tables(spark, sf_dir).store("raw_erp", "raw_liaison", "raw_web")
+    t = Tables(spark, sf_dir)
+    staged = {"erp": t.raw_erp, "liaison": t.raw_liaison, "web": t.raw_web}
     return manifest(
-        {"erp": t.raw_erp, "liaison": t.raw_liaison, "web": t.raw_web}
+        {
+            name: stored(stage_frame(df), f"raw_{name}")
+            for name, df in staged.items()
+        }
     )
 
 
@@ -574,8 +574,8 @@ def latest_line_per_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice"
     )
-    # Order key and line number do not identify a line here; the price settles
-    # what is left, and lines equal in all four are the same row.
+    # Order key and line number do not identify a line in every data set; lines
+    # equal in all four are the same row here.
     order = [
         F.col(name).desc_nulls_last()
         for name in ("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice")
@@ -602,9 +602,9 @@ def part_revenue_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "raw_products": _raw("raw_erp"),
-    "raw_bridge": _raw("raw_liaison"),
-    "raw_web": _raw("raw_web"),
+    "raw_products": _plain("raw_erp"),
+    "raw_bridge": _plain("raw_liaison"),
+    "raw_web": _plain("raw_web"),
     "normalize_ids": normalize_ids,
     "staging_manifest": staging_manifest,
     "clean_products": _plain("erp_not_null"),
