@@ -102,22 +102,15 @@ class Tables:
             self.__dict__[name] = stored(getattr(self, name), name)
         return self
 
-    def frames(self, **replaced: DataFrame) -> dict[str, DataFrame]:
-        return {
-            name: replaced.get(name, getattr(self, name))
-            for name in (
-                "erp_not_null",
-                "liaison_valid",
-                "web_not_null",
-                "erp_clean",
-                "liaison_clean",
-                "web_clean",
-                "merged_wines",
-                "revenue_by_product",
-                "revenue_summary",
-                "wine_segmentation",
-            )
-        }
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self, name)
+
+    def replaced(self, changes: dict[str, DataFrame]) -> Tables:
+        """The same tables, some of them changed; nothing is derived anew."""
+        other = Tables(self.spark, self.sf_dir)
+        other.__dict__.update(self.__dict__)
+        other.__dict__.update(changes)
+        return other
 
 
 def _plain(name: str) -> Query:
@@ -448,24 +441,26 @@ def zscore_recheck(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CHECK_COLUMNS = ("stage", "check_name", "actual", "expected", "passed")
 
 
-def _run_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(spark, sf_dir).store(
+# The tables that the checks of a stage read more than once, in order of dependence.
+_STORED_FOR = {
+    "cleaning": (
         "erp_not_null",
         "liaison_valid",
         "web_not_null",
         "erp_clean",
         "liaison_clean",
         "web_clean",
-        "merged_wines",
-        "revenue_by_product",
-        "revenue_summary",
-        "wine_segmentation",
-    )
+    ),
+    "merge": ("merged_wines",),
+    "revenue": ("merged_wines", "revenue_by_product", "revenue_summary"),
+    "segmentation": ("revenue_by_product", "wine_segmentation"),
+}
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _run_tables(spark, sf_dir)
-    checks = check_frame(t.frames(), "all", expected_for(spark, sf_dir))
+    names = dict.fromkeys(name for names in _STORED_FOR.values() for name in names)
+    t = Tables(spark, sf_dir).store(*names)
+    checks = check_frame(t, "all", expected_for(spark, sf_dir))
     return checks.select(*_CHECK_COLUMNS)
 
 
@@ -549,20 +544,19 @@ def _faulty(fault: str, name: str, *store: str) -> Query:
     return query
 
 
-def _fault_checks(*names: str) -> Query:
-    """The checks of the stage that guards the changed table, per fault."""
+def _fault_checks(stage: str) -> Query:
+    """The checks of a stage, for every fault that the stage has to find."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        t = _run_tables(spark, sf_dir)
+        t = Tables(spark, sf_dir).store(*_STORED_FOR[stage])
         expected = expected_for(spark, sf_dir)
-        frames = []
-        for name in names:
-            stage, fault = FAULTS[name]
-            checks = check_frame(t.frames(**fault(t)), stage, expected)
-            frames.append(
-                checks.select(F.lit(name).alias("fault"), *_CHECK_COLUMNS)
+        return union_all(
+            check_frame(t.replaced(fault(t)), stage, expected).select(
+                F.lit(name).alias("fault"), *_CHECK_COLUMNS
             )
-        return union_all(frames)
+            for name, (guard, fault) in FAULTS.items()
+            if guard == stage
+        )
 
     return query
 
@@ -650,14 +644,10 @@ QUERIES: dict[str, Query] = {
     ),
     "fault_append_duplicate": _faulty("append_duplicate", "erp_clean", "erp_clean"),
     "fault_lose_price": _faulty("null_price", "erp_clean", "erp_clean"),
-    "fault_checks_cleaning": _fault_checks(
-        "append_duplicate", "null_price", "nan_price"
-    ),
-    "fault_checks_merge": _fault_checks("drop_min_key", "drop_k_smallest"),
-    "fault_checks_revenue": _fault_checks("bump_value"),
-    "fault_checks_segmentation": _fault_checks(
-        "premium_to_ordinary", "ordinary_to_premium", "swap_labels"
-    ),
+    "fault_checks_cleaning": _fault_checks("cleaning"),
+    "fault_checks_merge": _fault_checks("merge"),
+    "fault_checks_revenue": _fault_checks("revenue"),
+    "fault_checks_segmentation": _fault_checks("segmentation"),
     "latest_line_per_part": latest_line_per_part,
     "event_value_outliers": _outliers("events", "event_id", "value"),
     "document_length_outliers": _outliers("documents", "doc_id", "n_chars"),
