@@ -19,8 +19,8 @@ _NUMBER = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]{1,3})?\s*$"
 # The integer part depends on the first decimal only, so decimals beyond the
 # 17th are cut before they could round up.
 _LONG_FRACTION = r"^([^eE]*\.[0-9]{17})[0-9]+$"
-_DATE_OR_DATE_TIME = r"^[0-9]{4,6}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:.*)?\z"
-_SLASHED_DATE = r"^([0-9]{4,6})/([0-9]{1,2})/([0-9]{1,2})"
+_DATE_OR_DATE_TIME = r"^\s*[0-9]{4,6}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:.*)?\z"
+_SLASHED_DATE = r"^\s*([0-9]{4,6})/([0-9]{1,2})/([0-9]{1,2})"
 
 
 def _starts_like_number(c: Column) -> Column:
@@ -94,5 +94,8 @@ def to_timestamp_ntz(c: Column) -> Column:
     return (
         F.when(usual, c.try_cast("timestamp_ntz"))
         .when(c.rlike(_DATE_OR_DATE_TIME), c.try_cast("timestamp_ntz"))
-        .when(c.rlike(_SLASHED_DATE), dashed.try_cast("timestamp_ntz"))
+        .when(
+            F.contains(c, F.lit("/")) & dashed.rlike(_DATE_OR_DATE_TIME),
+            dashed.try_cast("timestamp_ntz"),
+        )
     )

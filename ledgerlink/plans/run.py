@@ -117,6 +117,11 @@ def stored_tables(store: TableStore) -> Mapping[str, DataFrame]:
     }
 
 
+def attach_existing(store: TableStore) -> None:
+    """Make the tables that an earlier session stored known to this one."""
+    store.attach([name for name in TABLES if store.exists(name)])
+
+
 def validate_stage(
     store: TableStore,
     stage_name: str = "all",

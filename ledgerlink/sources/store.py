@@ -9,6 +9,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
@@ -60,6 +61,14 @@ class TableStore:
     def load(self, name: str) -> DataFrame:
         return self.spark.table(self.qualified(name))
 
+    def exists(self, name: str) -> bool:
+        """Whether the folder holds a written table, known to SQL or not."""
+        try:
+            self.spark.read.parquet(self.location(name))
+        except AnalysisException:
+            return False
+        return True
+
     def attach(self, names: Sequence[str]) -> None:
         """Make tables that an earlier session wrote known to this one."""
         for name in names:
