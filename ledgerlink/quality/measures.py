@@ -1,4 +1,4 @@
-"""Measurements behind the checks.  Each is a one-row frame.
+"""Measurements behind the checks.  Each gives a one-row frame.
 
 Everything is measured by grouping on keys with partial aggregation.  Where a
 check compares rows of two tables, matching and total pairs are *counted* from
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ledgerlink import fixed_values as fv
 from ledgerlink.functions.numbers import exact_sum, is_finite
 from ledgerlink.functions.text import blank_to_null, strip_spaces
+from ledgerlink.sources.store import stored
 
 _PAIRS = "decimal(38,0)"
 _CELL = 1e-6
@@ -192,13 +193,15 @@ def statistics(detail: DataFrame, value: str = "price") -> DataFrame:
 def wrong_z_scores(segments: DataFrame, detail: DataFrame) -> DataFrame:
     """Pairs of a key whose stored score is not the recomputed one; and validity.
 
-    Wrong pairs are all comparable pairs less the close ones.  Totals come from
-    group sizes; close pairs from an equality join on a cell much wider than the
-    tolerance, into which a recomputed score enters once, or twice at an edge.
+    A key with one value on each side, however often, is settled by the sizes and
+    values of its group: one shuffle of narrow rows for the whole table.  Keys with
+    several values are counted in ``_close_pairs``, and only if there are any, which
+    one row of totals tells.
     """
-    facts = statistics(detail).select(F.struct("mean", "stddev", "valid").alias("f"))
-    fact = facts.scalar()
-    expected = (F.col("price") - fact["mean"]) / F.nullif(fact["stddev"], F.lit(0.0))
+    fact = statistics(detail).first()
+    if not fact["valid"]:
+        return _z_score_result(segments, None, False)
+    mean, stddev = F.lit(fact["mean"]), F.lit(fact["stddev"])
 
     def side(df: DataFrame, score: Column, number: int) -> DataFrame:
         return df.where(F.col("product_id").isNotNull()).select(
@@ -207,56 +210,90 @@ def wrong_z_scores(segments: DataFrame, detail: DataFrame) -> DataFrame:
             F.lit(number).alias("side"),
         )
 
-    stored = side(segments, F.col("z_score"), 0)
-    again = side(detail, expected, 1)
-    sizes = (
-        stored.unionByName(again)
+    ours = side(segments, F.col("z_score"), 0)
+    theirs = side(detail, (F.col("price") - mean) / stddev, 1)
+    finite = is_finite(F.col("score"))
+    stored_one, expected_one = F.col("side") == 0, F.col("side") == 1
+    usable = stored_one & finite
+    known = expected_one & F.col("score").isNotNull()
+    groups = (
+        ours.unionByName(theirs)
         .groupBy("_key")
         .agg(
-            F.count_if((F.col("side") == 0) & is_finite(F.col("score"))).alias("s"),
-            F.count_if((F.col("side") == 0) & ~is_finite(F.col("score"))).alias("bad"),
-            F.count_if((F.col("side") == 1) & F.col("score").isNotNull()).alias("e"),
-            F.count_if(F.col("side") == 1).alias("all"),
-        )
-        .agg(
-            F.coalesce(
-                F.sum(_product("s", "e") + _product("bad", "all")),
-                F.lit(0).cast(_PAIRS),
-            ).alias("comparable")
+            F.count_if(usable).alias("s"),
+            F.count_if(stored_one & ~finite).alias("unusable"),
+            F.count_if(known).alias("e"),
+            F.count_if(expected_one).alias("all"),
+            F.min(F.when(usable, F.col("score"))).alias("z"),
+            F.max(F.when(usable, F.col("score"))).alias("z_max"),
+            F.min(F.when(known, F.col("score"))).alias("expected"),
+            F.max(F.when(known, F.col("score"))).alias("expected_max"),
         )
     )
+    several = (F.col("z") != F.col("z_max")) | (
+        F.col("expected") != F.col("expected_max")
+    )
+    agree = F.abs(F.col("z") - F.col("expected")) <= F.lit(fv.Z_TOLERANCE)
+    settled = F.when(~several & agree, F.lit(0).cast(_PAIRS)).otherwise(
+        _product("s", "e")
+    )
+    totals = groups.agg(
+        F.sum(settled + _product("unusable", "all")).alias("wrong"),
+        F.count_if(several).alias("several"),
+    ).first()
+    wrong = F.lit(totals["wrong"]).cast(_PAIRS)
+    if totals["several"]:
+        keys = stored(groups.where(several).select("_key"), "keys_with_several_scores")
+        wrong = wrong - _close_pairs(ours, theirs, keys).scalar()
+    return _z_score_result(segments, wrong, True)
+
+
+def _z_score_result(
+    segments: DataFrame, wrong: Column | None, valid: bool
+) -> DataFrame:
+    count = F.lit(None).cast(_PAIRS) if wrong is None else wrong
+    one_row = segments.sparkSession.range(0, 1, 1, 1)
+    return one_row.select(_as_count(count).alias("wrong"), F.lit(valid).alias("valid"))
+
+
+def _close_pairs(ours: DataFrame, theirs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Pairs within the tolerance, of the keys that have several values.
+
+    An equality join on a cell much wider than the tolerance finds them; a
+    recomputed score enters its cell, and the next one too when it lies at the edge.
+    Copies of a value are collapsed first.
+    """
+    edge = F.lit(fv.Z_TOLERANCE)
 
     def cell(score: Column) -> Column:
         return F.floor(score / F.lit(_CELL))
 
     def copies(df: DataFrame) -> DataFrame:
-        finite = df.where(is_finite(F.col("score")))
+        finite = df.where(is_finite(F.col("score"))).join(keys, "_key", "left_semi")
         return finite.groupBy("_key", "score").agg(F.count(F.lit(1)).alias("n"))
 
-    ours = copies(stored).select(
-        "_key", F.col("score").alias("z"), F.col("n").alias("s"),
+    left = copies(ours).select(
+        "_key",
+        F.col("score").alias("z"),
+        F.col("n").alias("s"),
         cell(F.col("score")).alias("cell"),
     )
-    edge = F.lit(fv.Z_TOLERANCE)
-    theirs = copies(again).select(
-        "_key", F.col("score").alias("expected"), F.col("n").alias("e"),
-        F.explode(
-            F.array_distinct(
-                F.array(cell(F.col("score") - edge), cell(F.col("score") + edge))
-            )
-        ).alias("cell"),
+    both_cells = F.array_distinct(
+        F.array(cell(F.col("score") - edge), cell(F.col("score") + edge))
     )
-    close = (
-        ours.join(theirs, ["_key", "cell"])
+    right = copies(theirs).select(
+        "_key",
+        F.col("score").alias("expected"),
+        F.col("n").alias("e"),
+        F.explode(both_cells).alias("cell"),
+    )
+    return (
+        left.join(right, ["_key", "cell"])
         .where(F.abs(F.col("z") - F.col("expected")) <= edge)
         .agg(
             F.coalesce(F.sum(_product("s", "e")), F.lit(0).cast(_PAIRS)).alias("close")
         )
     )
-    return sizes.select(
-        _as_count(F.col("comparable") - close.scalar()).alias("wrong"),
-        fact["valid"].alias("valid"),
-    )
 
 
 def revenue_totals(

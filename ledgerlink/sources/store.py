@@ -126,8 +126,12 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate result once, for plans that read it more than once."""
+    """Write an intermediate result once, for plans that read it more than once.
+
+    All of an application lie in one folder, which can go when it has ended.
+    """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/ledgerlink-{uuid.uuid4().hex}/{name}"
+    folder = f"{scratch_root(spark)}/ledgerlink-{spark.sparkContext.applicationId}"
+    path = f"{folder}/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
