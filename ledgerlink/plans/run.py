@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from ledgerlink.operators.segment import require_spread, segment
 from ledgerlink.quality.gate import validate
 from ledgerlink.sources.sinks import write_json, write_revenue_report, write_segments
 from ledgerlink.sources.specs import SourceSpec, manifest, read_source, stage_frame
-from ledgerlink.sources.store import TableStore
+from ledgerlink.sources.store import TableStore, together
 
 # Stored tables in the order of a run, with the key each is laid out by.
 TABLES = {
@@ -34,27 +35,33 @@ TABLES = {
 }
 
 
-def _save(store: TableStore, name: str, df: DataFrame) -> DataFrame:
-    return store.save(name, df, TABLES[name])
+def _save(store: TableStore, **tables: DataFrame) -> dict[str, DataFrame]:
+    """Store tables that do not depend on each other, side by side."""
+    saved = together(
+        *(partial(store.save, name, df, TABLES[name]) for name, df in tables.items())
+    )
+    return dict(zip(tables, saved, strict=True))
 
 
 def stage(
     store: TableStore, sources: Sequence[SourceSpec], out: str | None = None
 ) -> dict[str, dict[str, int]]:
     """Store every source as text with normalised identifiers; write the manifest."""
-    raw = {
-        spec.name: _save(
-            store, f"raw_{spec.name}", stage_frame(read_source(store.spark, spec))
-        )
-        for spec in sources
-    }
+    raw = _save(
+        store,
+        **{
+            f"raw_{spec.name}": stage_frame(read_source(store.spark, spec))
+            for spec in sources
+        },
+    )
+    staged = {name.removeprefix("raw_"): df for name, df in raw.items()}
     lines = {
         row["source"]: {
             "rows": row["rows"],
             "columns": row["columns"],
             "full_row_duplicates": row["full_row_duplicates"],
         }
-        for row in manifest(raw).collect()
+        for row in manifest(staged).collect()
     }
     if out is not None:
         write_json(store.spark, f"{out}/staging_manifest.json", lines)
@@ -62,35 +69,45 @@ def stage(
 
 
 def build_clean(store: TableStore) -> None:
-    _save(store, "erp_not_null", clean.clean_products(store.load("raw_erp")))
-    _save(store, "liaison_valid", clean.clean_bridge(store.load("raw_liaison")))
-    _save(store, "web_not_null", clean.clean_web(store.load("raw_web")))
+    _save(
+        store,
+        erp_not_null=clean.clean_products(store.load("raw_erp")),
+        liaison_valid=clean.clean_bridge(store.load("raw_liaison")),
+        web_not_null=clean.clean_web(store.load("raw_web")),
+    )
 
 
 def build_dedup(store: TableStore) -> None:
-    _save(store, "erp_clean", dedup.dedup_products(store.load("erp_not_null")))
-    _save(store, "liaison_clean", dedup.dedup_bridge(store.load("liaison_valid")))
-    _save(store, "web_clean", dedup.dedup_web(store.load("web_not_null")))
+    _save(
+        store,
+        erp_clean=dedup.dedup_products(store.load("erp_not_null")),
+        liaison_clean=dedup.dedup_bridge(store.load("liaison_valid")),
+        web_clean=dedup.dedup_web(store.load("web_not_null")),
+    )
 
 
 def build_merged(store: TableStore) -> None:
     merged = reconcile.reconcile(
         store.load("erp_clean"), store.load("liaison_clean"), store.load("web_clean")
     )
-    _save(store, "merged_wines", merged)
+    _save(store, merged_wines=merged)
 
 
 def build_revenue(store: TableStore) -> None:
     merged = store.load("merged_wines")
-    _save(store, "revenue_by_product", reconcile.revenue_detail(merged))
-    _save(store, "revenue_summary", reconcile.revenue_summary(merged))
+    _save(
+        store,
+        revenue_by_product=reconcile.revenue_detail(merged),
+        revenue_summary=reconcile.revenue_summary(merged),
+    )
 
 
 def build_segments(store: TableStore, out: str | None = None) -> dict[str, object]:
     """Store the segments, export both lists, and return the z-score metrics."""
     detail = store.load("revenue_by_product")
     known = require_spread(detail)
-    segments = _save(store, "wine_segmentation", segment(detail, known=known))
+    scored = _save(store, wine_segmentation=segment(detail, known=known))
+    segments = scored["wine_segmentation"]
     counts = segments.agg(
         F.count_if(F.col("category") == fv.PREMIUM).alias("premium"),
         F.count_if(F.col("category") == fv.ORDINARY).alias("ordinary"),

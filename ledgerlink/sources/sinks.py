@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlink import fixed_values as fv
 from ledgerlink.operators.report import report_detail, report_summary
 from ledgerlink.operators.segment import sorted_segment_list
+from ledgerlink.sources.store import together
 
 # UTF-8 with a header, LF line ends, doubled quotes, blanks kept, null as empty.
 CSV_WRITE_OPTIONS = {
@@ -43,8 +45,13 @@ def read_json(spark: SparkSession, path: str) -> dict[str, object]:
 
 def write_segments(segments: DataFrame, out: str) -> None:
     """Both segment lists, in report order."""
-    write_csv(sorted_segment_list(segments, fv.PREMIUM), f"{out}/vins_premium.csv")
-    write_csv(sorted_segment_list(segments, fv.ORDINARY), f"{out}/vins_ordinaires.csv")
+    names = {fv.PREMIUM: "vins_premium.csv", fv.ORDINARY: "vins_ordinaires.csv"}
+    together(
+        *(
+            partial(write_csv, sorted_segment_list(segments, label), f"{out}/{name}")
+            for label, name in names.items()
+        )
+    )
 
 
 def write_revenue_report(detail: DataFrame, summary: DataFrame, out: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ledgerlink import fixed_values as fv
 from ledgerlink.functions.text import normalize_identifiers
-from ledgerlink.sources.store import stored
+from ledgerlink.sources.store import stored, together
 
 # Delimited text as the source system writes it: quotes are doubled, cells may
 # hold line ends, an empty cell is null.  Types are never inferred.
@@ -125,7 +125,8 @@ def manifest(staged: Mapping[str, DataFrame]) -> DataFrame:
             full_row_duplicates(df).alias("full_row_duplicates"),
         )
 
-    return union_all(line(name, df) for name, df in staged.items())
+    lines = together(*(partial(line, name, df) for name, df in staged.items()))
+    return union_all(lines)
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:

@@ -7,13 +7,30 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
+T = TypeVar("T")
+
+
+def together(*jobs: Callable[[], T]) -> list[T]:
+    """Run independent jobs side by side: one fills the gaps the others leave.
+
+    The results come in the order of the jobs; the first failure is raised.
+    """
+    if len(jobs) == 1:
+        return [jobs[0]()]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        return [job.result() for job in running]
+
 
 class TableStore:
     """Replaceable Parquet tables below one shared folder, also known to SQL.

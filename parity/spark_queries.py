@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from ledgerlink.operators import clean, dedup, faults, reconcile, report, segmen
 from ledgerlink.quality import measures as m
 from ledgerlink.quality.checks import check_frame
 from ledgerlink.sources.specs import manifest, stage_frame, union_all
-from ledgerlink.sources.store import stored
+from ledgerlink.sources.store import stored, together
 from parity import raw_tables
 from parity.raw_tables import expected_for, table
 
@@ -96,10 +96,18 @@ class Tables:
     def wine_segmentation(self) -> DataFrame:
         return segment.segment(self.revenue_by_product)
 
-    def store(self, *names: str) -> Tables:
-        """Write tables, in this order, and let later ones read what was written."""
-        for name in names:
-            self.__dict__[name] = stored(getattr(self, name), name)
+    def store(self, *steps: str | tuple[str, ...]) -> Tables:
+        """Write tables step by step; later steps read what earlier ones wrote.
+
+        The tables of one step do not depend on each other.
+        """
+        for step in steps:
+            names = (step,) if isinstance(step, str) else step
+            frames = [getattr(self, name) for name in names]
+            written = together(
+                *(partial(stored, df, name) for name, df in zip(names, frames))
+            )
+            self.__dict__.update(zip(names, written))
         return self
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -113,6 +121,9 @@ class Tables:
         return other
 
 
+_CLEANED = ("erp_not_null", "liaison_valid", "web_not_null")
+
+
 def _plain(name: str) -> Query:
     """A table of the run as it is."""
 
@@ -146,13 +157,11 @@ def normalize_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staging_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    staged = {"erp": t.raw_erp, "liaison": t.raw_liaison, "web": t.raw_web}
-    return manifest(
-        {
-            name: stored(stage_frame(df), f"raw_{name}")
-            for name, df in staged.items()
-        }
+    raw = {"erp": t.raw_erp, "liaison": t.raw_liaison, "web": t.raw_web}
+    staged = together(
+        *(partial(stored, stage_frame(df), f"raw_{name}") for name, df in raw.items())
     )
+    return manifest(dict(zip(raw, staged)))
 
 
 def revenue_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,7 +230,7 @@ def revenue_report_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir).store(
-        "web_not_null", "erp_clean", "liaison_clean", "web_clean"
+        ("web_not_null", "erp_clean", "liaison_clean"), "web_clean"
     )
     expected = expected_for(spark, sf_dir)
     counted = (
@@ -244,7 +253,7 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def required_field_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that lack a required field, in the raw tables and after cleaning."""
-    t = Tables(spark, sf_dir).store("erp_not_null", "liaison_valid", "web_not_null")
+    t = Tables(spark, sf_dir).store(_CLEANED)
     typed_erp = t.raw_erp.withColumn(
         "price", F.replace("price", F.lit(","), F.lit(".")).try_cast("double")
     )
@@ -295,7 +304,7 @@ def merged_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys that occur more than once, before and after deduplication."""
-    t = Tables(spark, sf_dir).store("erp_not_null", "liaison_valid", "web_not_null")
+    t = Tables(spark, sf_dir).store(_CLEANED)
     frames = (
         ("erp_not_null", "product_id", t.erp_not_null),
         ("liaison_valid", "product_id", t.liaison_valid),
@@ -443,23 +452,17 @@ _CHECK_COLUMNS = ("stage", "check_name", "actual", "expected", "passed")
 
 # The tables that the checks of a stage read more than once, in order of dependence.
 _STORED_FOR = {
-    "cleaning": (
-        "erp_not_null",
-        "liaison_valid",
-        "web_not_null",
-        "erp_clean",
-        "liaison_clean",
-        "web_clean",
-    ),
+    "cleaning": (_CLEANED, ("erp_clean", "liaison_clean", "web_clean")),
     "merge": ("merged_wines",),
-    "revenue": ("merged_wines", "revenue_by_product", "revenue_summary"),
+    "revenue": ("merged_wines", ("revenue_by_product", "revenue_summary")),
     "segmentation": ("revenue_by_product", "wine_segmentation"),
 }
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = dict.fromkeys(name for names in _STORED_FOR.values() for name in names)
-    t = Tables(spark, sf_dir).store(*names)
+    t = Tables(spark, sf_dir).store(
+        *_STORED_FOR["cleaning"], *_STORED_FOR["revenue"], "wine_segmentation"
+    )
     checks = check_frame(t, "all", expected_for(spark, sf_dir))
     return checks.select(*_CHECK_COLUMNS)
 
