@@ -27,8 +27,10 @@ def together(*jobs: Callable[[], T]) -> list[T]:
     """
     if len(jobs) == 1:
         return [jobs[0]()]
+    # Threads take over the job group, tags and properties of the caller.
+    inherit = inheritable_thread_target(SparkSession.getActiveSession())
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        running = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        running = [pool.submit(inherit(job)) for job in jobs]
         return [job.result() for job in running]
 
 
