@@ -5,7 +5,6 @@ A stored table ends the lineage: a lost executor costs the running step only.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -15,8 +14,6 @@ from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_ROOTS: dict[str, str] = {}
-
 T = TypeVar("T")
 
 
@@ -129,19 +126,15 @@ def unregister(spark: SparkSession, name: str) -> bool:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: the one the cluster names.
+    """Folder for intermediate tables: the shared one that the cluster names.
 
-    Only a local session without the setting falls back to a folder of its own.
+    Where ``spark.checkpoint.dir`` is unset, it lies in the warehouse, which all
+    executors share as well; that holds for every kind of session.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="ledgerlink-")
-    return _LOCAL_ROOTS[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
