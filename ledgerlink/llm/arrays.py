@@ -47,9 +47,9 @@ def run_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 
 def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Texts as one array, each followed by a zero, and where each begins; at the
+    """Texts as one array, each followed by a blank, and where each begins; at the
     end stands the total length."""
-    codes = np.frombuffer(b"\0".join([*texts, b""]), dtype=np.uint8)
+    codes = np.frombuffer(b" ".join([*texts, b""]), dtype=np.uint8)
     begin = np.zeros(len(texts) + 1, dtype=np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=begin[1:])
     return codes, begin
@@ -58,7 +58,7 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of a batch of UTF-8 texts.
 
-    ``inside`` says for each of the 256 bytes whether it belongs to words; byte 0 must
+    ``inside`` says for each of the 256 bytes whether it belongs to words; the blank must
     not.  Words of text i are ``first[i]`` to ``first[i + 1]``.
     """
 
@@ -90,7 +90,7 @@ def byte_class(allowed) -> np.ndarray:
     return np.array([bool(allowed(b)) for b in range(256)])
 
 
-#: All but blanks and \x09 to \x0D; the zero between texts belongs to no word.
-NOT_BLANK = byte_class(lambda b: b and b != 0x20 and not 9 <= b <= 13)
+#: All but blanks and \x09 to \x0D.
+NOT_BLANK = byte_class(lambda b: b != 0x20 and not 9 <= b <= 13)
 #: Digits, letters a-z and everything beyond ASCII.
 ALPHANUMERIC = byte_class(lambda b: 48 <= b < 58 or 97 <= b < 123 or b >= 128)

@@ -1,4 +1,4 @@
-"""Word shingles and fast similarity sketches of one text, on numpy arrays.
+"""Fast similarity sketches of sets of 64-bit numbers, on numpy arrays.
 
 A sketch has ``size`` coordinates.  Elements are thrown into the bins in rounds: in
 each of the first ``size`` rounds every element goes to one bin chosen by that
@@ -12,15 +12,12 @@ coordinates.
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 
-WORDS = 5
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
 _GOLDEN = 0x9E3779B97F4A7C15
-_POSITION = np.array(
-    [(_GOLDEN * (2 * i + 3)) % 2**64 | 1 for i in range(64)], dtype=np.uint64
-)
+_LOW = np.uint64(0xFFFFFFFF)
+_EMPTY = np.uint64(2**64 - 1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,83 +27,44 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; forgets all of them when it holds too many."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 200_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-def words_of(text: bytes) -> list[bytes]:
-    """UTF-8 bytes to words: A-Z lower-cased, cut at blanks and \\x09 to \\x0D."""
-    return text.lower().split()
-
-
-def shingles(words: list[bytes], hashes: WordHashes, width: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of all runs of ``width`` words.
-
-    A shorter text is one shingle, a text without words has none.
-    """
-    n = len(words)
-    if n == 0:
-        return np.empty(0, dtype=np.uint64)
-    w = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
-    k = min(n, width)
-    s = np.full(n - k + 1, k, dtype=np.uint64)
-    for i in range(k):
-        s += mix(w[i : n - k + 1 + i]) * _POSITION[i]
-    return np.unique(mix(s))
-
-
 class Sketcher:
     """Sketches of ``bands * rows`` coordinates, given out as one hash per band."""
 
-    def __init__(self, bands: int = 24, rows: int = 5, seed: int = 1) -> None:
+    def __init__(self, bands: int, rows: int, seed: int = 1) -> None:
         self.bands, self.rows, self.size = bands, rows, bands * rows
         self.seeds = mix(
             np.arange(1, 2 * self.size + 1, dtype=np.uint64) * np.uint64(_GOLDEN)
             + np.uint64(seed)
         )
-
-    def coordinates(self, elements: np.ndarray) -> np.ndarray:
-        """One value per bin; ``elements`` are distinct, at least one."""
-        t, n = self.size, len(elements)
-        out = np.zeros(t, dtype=np.uint64)
-        empty = np.ones(t, dtype=bool)
-        start = 0
-        while start < t and empty.any():
-            rounds = min(t - start, max(1, 4 * t // n))
-            for first in range(start, start + rounds, max(1, 65536 // n)):
-                last = min(start + rounds, first + max(1, 65536 // n))
-                if not empty.any():
-                    break
-                h = mix(elements[None, :] ^ self.seeds[first:last, None])
-                bins = ((h >> np.uint64(32)) * np.uint64(t)) >> np.uint64(32)
-                turn = np.arange(last - first, dtype=np.uint64)[:, None]
-                # Ordered by bin, then round, then the value of the hash.
-                key = (bins << np.uint64(48)) | (turn << np.uint64(32))
-                key = np.sort((key | (h & np.uint64(0xFFFFFFFF))).ravel())
-                at = (key >> np.uint64(48)).astype(np.int64)
-                head = np.r_[True, at[1:] != at[:-1]]
-                at, key = at[head], key[head]
-                new = empty[at]
-                at, key = at[new], key[new]
-                value = key & np.uint64(0xFFFFFFFFFFFF)
-                out[at] = value + (np.uint64(first) << np.uint64(32))
-                empty[at] = False
-            start += rounds
-        for b in np.flatnonzero(empty):
-            h = mix(elements ^ self.seeds[t + b])
-            out[b] = (h.min() & np.uint64(0xFFFFFFFF)) + (np.uint64(t + b) << np.uint64(32))
-        return out
-
-    def band_hashes(self, elements: np.ndarray) -> np.ndarray:
-        c = mix(self.coordinates(elements).reshape(self.bands, self.rows))
-        s = (c * _POSITION[: self.rows]).sum(axis=1, dtype=np.uint64)
-        s += np.arange(self.bands, dtype=np.uint64) * np.uint64(_GOLDEN)
+        self.odd = mix(np.arange(1, rows + 1, dtype=np.uint64)) | np.uint64(1)
+
+    def coordinates(self, sets: list[np.ndarray]) -> np.ndarray:
+        """A row of coordinates for each set of distinct elements; none may be empty."""
+        t = self.size
+        out = np.full(len(sets) * t, _EMPTY, dtype=np.uint64)
+        if not sets:
+            return out.reshape(0, t)
+        elements = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        for turn in range(2 * t):
+            h = mix(elements ^ self.seeds[turn])
+            if turn < t:
+                bins = (((h >> np.uint64(32)) * np.uint64(t)) >> np.uint64(32)).astype(np.int64)
+            else:
+                bins = turn - t
+            # The round stands in the high bits, so a filled bin keeps its value.
+            np.minimum.at(out, owner * t + bins, (h & _LOW) | np.uint64(turn << 32))
+            open_sets = (out.reshape(-1, t) == _EMPTY).any(axis=1)
+            if not open_sets.any():
+                break
+            left = open_sets[owner]
+            elements, owner = elements[left], owner[left]
+        return out.reshape(-1, t)
+
+    def band_hashes(self, sets: list[np.ndarray]) -> np.ndarray:
+        c = mix(self.coordinates(sets)).reshape(len(sets), self.bands, self.rows)
+        s = (c * self.odd).sum(axis=2, dtype=np.uint64)
+        s += mix(np.arange(1, self.bands + 1, dtype=np.uint64))
         return mix(s).view(np.int64)
 
 
