@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlink.llm import decontamination, line_dedup, packing, sharding
+from ledgerlink.llm import (
+    decontamination,
+    embedding_dedup,
+    language_id,
+    line_dedup,
+    near_dedup,
+    packing,
+    pii,
+    secret_scan,
+    sharding,
+    toxicity,
+)
 from ledgerlink.llm.support import Scratch
 
 SHARDS = 8
@@ -41,7 +52,74 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         line_dedup.host_of("url").alias("host"),
         line_dedup.page_lines("html").alias("text"),
     )
-    return line_dedup.drop_site_lines(pages)
+    # The operator reads its input twice; tags are taken out once.
+    return line_dedup.drop_site_lines(Scratch(spark, "pages").store(pages))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(~language_id.held_out()))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        language_id.held_out("row.doc_id").alias("held_out"),
+        "lang_pred", "score", "spans",
+    )
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(~toxicity.held_out())
+    scored = toxicity.toxicity(docs, toxicity.train(docs, labels))
+    return scored.select(
+        F.col("row.doc_id").alias("doc_id"),
+        toxicity.held_out("row.doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *_digest("base", pii.KINDS, "true")[:-1], _digest("spans", pii.KINDS, "true")[-1],
+    )
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def _digest(spans: str, kinds: tuple[str, ...], base: str) -> list[Column]:
+    """Counts of base spans by kind, their digest, and all spans as text; ``base`` is
+    the condition on a span x that holds for base spans."""
+    shown = "x -> concat_ws(':', x.kind, x.start, x.end)"
+    of_base = f"filter({spans}, x -> {base})"
+    return [
+        *(
+            F.expr(f"CAST(size(filter({of_base}, x -> x.kind = '{k}')) AS BIGINT)").alias(f"n_{k}")
+            for k in kinds
+        ),
+        F.expr(
+            f"sha2(CAST(array_join(transform({of_base}, {shown}), ',') AS BINARY), 256)"
+        ).alias("base_sha256"),
+        F.expr(f"array_join(transform({spans}, {shown}), ',')").alias("spans"),
+    ]
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.scan(docs).select(
+        F.col("row.doc_id").alias("doc_id"),
+        *_digest("spans", secret_scan.KINDS, "x.via = ''"),
+    )
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +150,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_line_dedup": op2_line_dedup,
+    "op3_language_id": op3_language_id,
+    "op4_near_dedup": op4_near_dedup,
+    "op5_toxicity": op5_toxicity,
+    "op6_pii": op6_pii,
+    "op7_embedding_dedup": op7_embedding_dedup,
+    "op8_secret_scan": op8_secret_scan,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
 }
