@@ -21,19 +21,19 @@ _BLOCK = (
 def page_lines(html: Column | str) -> Column:
     """The text of a page with one line for each block element; null stays null.
 
-    Scripts, styles and comments go, other tags become blanks.  Everything is a
-    built-in expression.
+    Scripts, styles and comments go, other tags become blanks, and line ends of the
+    source are blanks.  Everything is a built-in expression.
     """
+    text = F.translate(html, "\n\r\t\f", "    ")
     text = F.regexp_replace(
-        html, r"(?is)<(script|style)\b[^>]*+>.*?</\1\s*+>|<!--.*?-->|<!doctype[^>]*+>", ""
+        text, r"(?i)<script\b.*?</script\s*+>|<style\b.*?</style\s*+>|<!--.*?-->|<!doctype[^>]*+>", ""
     )
-    text = F.regexp_replace(text, r"\s++", " ")
-    text = F.regexp_replace(text, rf"(?i)</?(?:{_BLOCK})\b[^>]*+>", "\n")
+    text = F.regexp_replace(text, rf"(?i) *+</?+(?:{_BLOCK})\b[^>]*+>", "\n")
     text = F.regexp_replace(text, r"<[^>]*+>", " ")
     for entity, sign in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"),
                          ("nbsp", " "), ("amp", "&")):
-        text = F.regexp_replace(text, f"&{entity};", sign)
-    return F.regexp_replace(text, r" *\n[ \n]*", "\n")
+        text = F.replace(text, F.lit(f"&{entity};"), F.lit(sign))
+    return F.regexp_replace(text, r"\n[ \n]*+", "\n")
 
 
 def host_of(url: Column | str) -> Column:
@@ -47,25 +47,30 @@ def _lines(text: Column | str) -> Column:
 
 
 def _line_hash(line: Column) -> Column:
-    """What makes lines equal: runs of blanks are one, and none are at the ends."""
-    return F.xxhash64(F.trim(F.regexp_replace(line, r"\s++", " ")))
+    """What makes lines equal: blanks at their ends do not count."""
+    return F.xxhash64(F.trim(line))
 
 
 def frequent_lines(
-    pages: DataFrame, ratio: float, min_pages: int, host_col: str, text_col: str
+    scratch: Scratch, pages: DataFrame, ratio: float, min_pages: int, host_col: str, text_col: str
 ) -> DataFrame:
     """``_site`` and ``_frequent``, the hashes of its boilerplate lines, if it has any.
 
-    What is shuffled is one row of three numbers per page and line; a count per host
-    and line is summed per task first.
+    The hashes of the lines of each page are written once.  What is shuffled is one row
+    of host and two numbers per page and line; counts are summed per task first.
     """
-    lines = pages.where(F.col(host_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(host_col).alias("_site"),
-        F.xxhash64(text_col).alias("_page"),
-        F.explode(F.array_distinct(F.transform(_lines(text_col), _line_hash))).alias("_line"),
-    ).where(F.col("_line") != F.xxhash64(F.lit("")))
+    listed = scratch.store(
+        pages.where(F.col(host_col).isNotNull() & F.col(text_col).isNotNull()).select(
+            F.col(host_col).alias("_site"),
+            F.xxhash64(text_col).alias("_page"),
+            F.array_distinct(F.transform(_lines(text_col), _line_hash)).alias("_lines"),
+        )
+    )
+    lines = listed.select("_site", "_page", F.explode("_lines").alias("_line")).where(
+        F.col("_line") != F.xxhash64(F.lit(""))
+    )
     once = lines.distinct()
-    totals = lines.select("_site", "_page").distinct().groupBy("_site").agg(
+    totals = once.select("_site", "_page").distinct().groupBy("_site").agg(
         F.count(F.lit(1)).alias("_total")
     )
     counts = once.groupBy("_site", "_line").agg(F.count(F.lit(1)).alias("_n"))
@@ -89,8 +94,8 @@ def drop_site_lines(
     A line goes if more than ``ratio`` of its host's pages contain it, and at least
     ``min_pages`` do.  Pages of one host with equal text are one page, and a line that
     a page repeats counts once, so copies make no line boilerplate; texts without any
-    line are no pages.  Lines are equal if they are after runs of blanks have become
-    one and those at the ends have gone; they are told apart by 64-bit hashes.
+    line are no pages.  Lines are equal if they are without the blanks at their
+    ends; they are told apart by 64-bit hashes.
 
     A text of nothing but such lines keeps them, since they are its content.  Blank
     lines and lines of a null host are never dropped.  Null text stays null with 0
@@ -100,7 +105,7 @@ def drop_site_lines(
     """
     n_lines, n_dropped = first_of(pages, "n_lines"), first_of(pages, "n_dropped")
     scratch = Scratch(pages.sparkSession, "lines")
-    frequent = scratch.store(frequent_lines(pages, ratio, min_pages, host_col, text_col))
+    frequent = scratch.store(frequent_lines(scratch, pages, ratio, min_pages, host_col, text_col))
     held = frequent.agg(F.sum(F.size("_frequent") * 8 + F.length("_site") + 16)).first()[0] or 0
     if held <= BROADCAST_BYTES:
         frequent = F.broadcast(frequent)
