@@ -2,4 +2,154 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from ledgerlink.llm import line_dedup
+from ledgerlink.llm.queries import SHARDS
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _lowered(text: str) -> str:
+    return f"translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}')"
+
+
+# Checksum of a text's UTF-8 bytes, half a byte at a time, the lower half first.
+_CRC = """
+nibbles AS (SELECT list_transform(range(0, 16), lambda i:
+    list_reduce([i::BIGINT, 0, 0, 0, 0], lambda c, _:
+      CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+digits AS (SELECT doc_id, text, string_split(hex(encode(coalesce(text, ''))), '') AS d
+  FROM documents),
+crc AS (SELECT doc_id, text, xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(range(0, CASE WHEN coalesce(text, '') = ''
+      THEN 0 ELSE len(d) END), lambda i:
+      instr('0123456789ABCDEF', d[(i // 2) * 2 + 2 - i % 2])::BIGINT - 1)),
+    lambda c, n: xor(c >> 4, t[(xor(c & 15, n) + 1)::INT]))) AS text_crc32
+  FROM digits, nibbles)"""
+
+
+def _unit(text: str) -> str:
+    return f"(CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE)"
+
+
+_SHARDING = f"""
+WITH {_CRC},
+hashed AS (SELECT d.doc_id, d.source, (strlen(coalesce(d.text, '')) + 1)::BIGINT AS size,
+    c.text_crc32, {_unit("'1:' || d.doc_id")} AS h
+  FROM documents d JOIN crc c ON c.doc_id = d.doc_id AND c.text IS NOT DISTINCT FROM d.text),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY h, doc_id, size,
+    text_crc32) - 1 AS r, count(*) OVER (PARTITION BY source) AS n, count(*) OVER () AS total
+  FROM hashed),
+placed AS (SELECT *, row_number() OVER (ORDER BY
+    (r + {_unit("'phase1:=' || source")}) / n, source, h, doc_id, size, text_crc32) - 1 AS p
+  FROM ranked)
+SELECT doc_id, source, size, text_crc32, 'rows' AS law,
+  ((p * {SHARDS}) // total)::INT AS shard,
+  (p - (((p * {SHARDS}) // total) * total + {SHARDS - 1}) // {SHARDS})::BIGINT AS slot,
+  NULL::INT AS grown_shard
+FROM placed"""
+
+_BLOCK = line_dedup._BLOCK
+_ENTITIES = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("nbsp", " "), ("amp", "&"))
+
+
+def _page_text() -> str:
+    text = "translate(html, chr(10) || chr(13) || chr(9) || chr(12), '    ')"
+    text = (f"regexp_replace({text}, '(?i)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>"
+            f"|<!--.*?-->|<!doctype[^>]*>', '', 'g')")
+    text = f"regexp_replace({text}, '(?i) *</?(?:{_BLOCK})\\b[^>]*>', chr(10), 'g')"
+    text = f"regexp_replace({text}, '<[^>]*>', ' ', 'g')"
+    for name, sign in _ENTITIES:
+        text = f"replace({text}, '&{name};', '{sign}')"
+    return f"regexp_replace({text}, '\\n[ \\n]*', chr(10), 'g')"
+
+
+_LINE_DEDUP = f"""
+WITH pages_text AS (SELECT page_id, nullif(lower(regexp_extract(url,
+    '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '') AS host,
+    {_page_text()} AS text FROM pages),
+lines AS (SELECT DISTINCT host, text, trim(unnest(string_split(text, chr(10))), ' ') AS line
+  FROM pages_text WHERE host IS NOT NULL),
+content AS (SELECT * FROM lines WHERE line <> ''),
+totals AS (SELECT host, count(DISTINCT text) AS total FROM content GROUP BY host),
+often AS (SELECT host, list(line) AS frequent FROM (
+    SELECT host, line, count(*) AS n FROM content GROUP BY host, line HAVING count(*) >= 3) c
+  JOIN totals USING (host) WHERE n > total * 0.05::DOUBLE GROUP BY host),
+split AS (SELECT p.*, string_split(p.text, chr(10)) AS every,
+    list_filter(string_split(p.text, chr(10)),
+      lambda x: NOT coalesce(list_contains(o.frequent, trim(x, ' ')), FALSE)) AS rest
+  FROM pages_text p LEFT JOIN often o ON o.host = p.host),
+kept AS (SELECT *, CASE WHEN len(list_filter(rest, lambda x: trim(x, ' ') <> '')) > 0
+    THEN rest ELSE every END AS kept FROM split)
+SELECT page_id, host, array_to_string(kept, chr(10)) AS text,
+  coalesce(len(every), 0)::INT AS n_lines,
+  coalesce(len(every) - len(kept), 0)::INT AS n_dropped FROM kept"""
+
+_REACH = """
+reach AS (SELECT u AS a, u AS b FROM both_ways UNION
+  SELECT r.a, l.v FROM reach r JOIN both_ways l ON l.u = r.b),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)"""
+
+_NEAR_DEDUP = f"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({_lowered("text")},
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (
+    SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words
+    WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM shingles a
+  JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT u, v FROM shared JOIN sizes p ON p.doc_id = u JOIN sizes q ON q.doc_id = v
+  WHERE 100 * k >= 85 * (p.n + q.n - k)),
+both_ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+{_REACH}
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles,
+  least(d.doc_id, coalesce(component_id, d.doc_id)) AS component_id,
+  d.doc_id <= coalesce(component_id, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON a = d.doc_id"""
+
+_EMBEDDING_DEDUP = f"""
+WITH RECURSIVE vectors AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+usable AS (SELECT vec_id, x FROM vectors WHERE x IS NOT NULL AND len(x) > 0
+  AND len(list_filter(x, lambda y: y IS NULL OR NOT isfinite(y))) = 0
+  AND len(list_filter(x, lambda y: y <> 0)) > 0),
+links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM usable a
+  JOIN usable b ON a.vec_id < b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+both_ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+degree AS (SELECT u, count(*) AS n FROM both_ways GROUP BY u),
+{_REACH}
+SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links,
+  least(e.vec_id, coalesce(component_id, e.vec_id)) AS component_id,
+  e.vec_id <= coalesce(component_id, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN degree ON u = e.vec_id LEFT JOIN least ON a = e.vec_id"""
+
+_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
+_DECONTAMINATION = f"""
+WITH item AS (SELECT item_id, regexp_extract_all({_lowered("text")}, '{_WORD}') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS x FROM (
+    SELECT item_id, w, least(10, len(w)) AS k,
+      unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM item WHERE len(w) > 0)),
+words AS (SELECT doc_id, regexp_extract_all({_lowered("text")}, '{_WORD}') AS w
+  FROM documents),
+places AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS x FROM (
+    SELECT doc_id, w, k, unnest(range(1, greatest(len(w) - k + 2, 1))) AS i
+    FROM words, (SELECT DISTINCT k FROM windows))),
+hits AS (SELECT doc_id, k, i, item_id FROM places JOIN windows USING (k, x)),
+hit_words AS (SELECT doc_id, count(DISTINCT j) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + k)) AS j FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, list(DISTINCT item_id::VARCHAR) AS ids FROM hits GROUP BY doc_id)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit,
+  coalesce(len(ids), 0)::BIGINT AS n_items,
+  sha256(coalesce(array_to_string(list_sort(ids), ','), '')) AS items_sha256,
+  coalesce(n, 0) > 0 AS contaminated
+FROM words w LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+SQL: dict[str, str] = {
+    "op1_sharding": _SHARDING,
+    "op2_line_dedup": _LINE_DEDUP,
+    "op4_near_dedup": _NEAR_DEDUP,
+    "op7_embedding_dedup": _EMBEDDING_DEDUP,
+    "op10_decontamination": _DECONTAMINATION,
+}
