@@ -6,6 +6,7 @@ elsewhere and only takes its default from this module.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from decimal import Decimal
 
 # Columns every source must carry; further columns are tolerated.
@@ -21,6 +22,36 @@ IDENTIFIER_COLUMNS = ("product_id", "id_web", "sku")
 # Post types of the web system that describe a product.
 PRODUCT_POST_TYPES = ("product", "attachment")
 
+
+
+@dataclass(frozen=True)
+class FieldRule:
+    """What the rows of a table need: columns that are present, that hold text, that
+    are finite numbers, that have one of the listed values, and that are equal."""
+
+    present: tuple[str, ...] = ()
+    filled: tuple[str, ...] = ()
+    finite: tuple[str, ...] = ()
+    one_of: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    equal: tuple[tuple[str, str], ...] = ()
+
+
+FIELD_RULES = {
+    "product": FieldRule(present=("product_id",), finite=("price",)),
+    "bridge": FieldRule(present=("product_id",)),
+    "web": FieldRule(
+        present=("total_sales",),
+        filled=("post_title", "sku"),
+        one_of=(("post_type", PRODUCT_POST_TYPES),),
+    ),
+    "merged": FieldRule(
+        present=("product_id", "total_sales"),
+        filled=("id_web", "post_title", "sku"),
+        finite=("price",),
+        equal=(("id_web", "sku"),),
+    ),
+}
+
 # Column order of the stored tables.
 MERGED_COLUMNS = (
     "product_id",
@@ -71,6 +102,14 @@ EXPECTED_PREMIUM = 30
 # Validation stages in the order in which they gate a run.
 STAGES = ("cleaning", "merge", "revenue", "segmentation")
 
+# Keys, values and file names of the quality report.
+REPORT_KEYS = (
+    "status", "stage", "generated_at_utc", "metrics", "row_count_tests", "checks",
+)
+PASSED, FAILED = "passed", "failed"
+EXPECTED_TOTAL_METRIC = "expected_total_revenue"
+REPORT_FILES = {"all": "quality_report.json"}
+
 # Headers of the revenue report.
 REPORT_HEADERS = {
     "product_id": "product_id",

@@ -66,9 +66,12 @@ def to_double(c: Column) -> Column:
     word = F.lower(F.trim(c)).isin(
         "nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"
     )
-    return F.when(
-        _starts_like_number(c) & ~java_only, c.try_cast("double")
-    ).when(word, c.try_cast("double"))
+    signed_nan = F.lower(F.trim(c)).isin("+nan", "-nan")
+    return (
+        F.when(signed_nan, F.lit(float("nan")))
+        .when(_starts_like_number(c) & ~java_only, c.try_cast("double"))
+        .when(word, c.try_cast("double"))
+    )
 
 
 def decimal_point(c: Column) -> Column:

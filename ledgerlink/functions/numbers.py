@@ -58,3 +58,13 @@ def exact_sum(c: Column) -> Column:
     exact = F.sum(F.when(ordinary, c.try_cast("decimal(28,9)"))).cast("double")
     rest = F.sum(F.when(~ordinary, c))
     return F.when(rest.isNull(), exact).otherwise(rest + F.coalesce(exact, F.lit(0.0)))
+
+
+def exact_text(amount: Column) -> Column:
+    """An amount as it is, not rounded to cents, with two decimals at least.
+
+    Six decimals are shown, less the zeros at the end, so that a deviation below a
+    cent stays visible.
+    """
+    full = amount.cast("decimal(38,6)").cast("string")
+    return F.regexp_replace(full, r"(\.[0-9]{2}[0-9]*?)0+$", "$1")

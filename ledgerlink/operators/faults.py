@@ -22,8 +22,8 @@ def drop_smallest(df: DataFrame, key: str) -> DataFrame:
 
 
 def drop_k_smallest(df: DataFrame, key: str, k: int) -> DataFrame:
-    """Delete the rows of the k first keys in key order."""
-    victims = df.select(key).orderBy(key).limit(k)
+    """Delete the rows of the k first keys in key order; rows without a key are last."""
+    victims = df.select(key).orderBy(F.col(key).asc_nulls_last()).limit(k)
     return df.join(victims, key, "left_anti")
 
 
@@ -59,8 +59,13 @@ def swap_first_labels(
 
 
 def append_copy_of_first(df: DataFrame, key: str) -> DataFrame:
-    """Append a copy of the first row in key order."""
-    return df.unionByName(df.orderBy(key).limit(1))
+    """Append a copy of the first row in key order; rows without a key are last.
+
+    Of rows with one key that one is taken whose other columns are smallest.
+    """
+    others = [name for name in df.columns if name != key]
+    order = [F.col(f"`{name}`").asc_nulls_last() for name in (key, *others)]
+    return df.unionByName(df.orderBy(*order).limit(1))
 
 
 def rebuild_total(summary: DataFrame, detail: DataFrame, total: Column) -> DataFrame:

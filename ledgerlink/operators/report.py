@@ -10,7 +10,9 @@ from ledgerlink import fixed_values as fv
 
 def report_detail(detail: DataFrame) -> DataFrame:
     """Revenue per product, largest first."""
-    ordered = detail.orderBy(F.col("revenue").desc_nulls_last(), F.col("product_id"))
+    ordered = detail.orderBy(
+        F.col("revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last()
+    )
     return ordered.select(
         *(F.col(name).alias(header) for name, header in fv.REPORT_HEADERS.items())
     )

@@ -115,5 +115,7 @@ def sorted_segment_list(segments: DataFrame, category: str) -> DataFrame:
     """One category in report order: premium by score, ordinary by product."""
     rows = segment_list(segments, category)
     if category == fv.PREMIUM:
-        return rows.orderBy(F.col("z_score").desc_nulls_last(), F.col("product_id"))
-    return rows.orderBy("product_id")
+        return rows.orderBy(
+            F.col("z_score").desc_nulls_last(), F.col("product_id").asc_nulls_last()
+        )
+    return rows.orderBy(F.col("product_id").asc_nulls_last())

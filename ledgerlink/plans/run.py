@@ -15,7 +15,7 @@ from ledgerlink.operators.segment import require_spread, segment
 from ledgerlink.quality.gate import validate
 from ledgerlink.sources.sinks import write_json, write_revenue_report, write_segments
 from ledgerlink.sources.specs import SourceSpec, manifest, read_source, stage_frame
-from ledgerlink.sources.store import TableStore, together
+from ledgerlink.sources.store import TableStore, drop_stored, together
 
 # Stored tables in the order of a run, with the key each is laid out by.
 TABLES = {
@@ -26,7 +26,8 @@ TABLES = {
     "liaison_valid": None,
     "web_not_null": None,
     "erp_clean": "product_id",
-    "liaison_clean": "id_web",
+    # By product: bridge rows without web key would all lie in one bucket.
+    "liaison_clean": "product_id",
     "web_clean": "sku",
     "merged_wines": "product_id",
     "revenue_by_product": "product_id",
@@ -46,7 +47,15 @@ def _save(store: TableStore, **tables: DataFrame) -> dict[str, DataFrame]:
 def stage(
     store: TableStore, sources: Sequence[SourceSpec], out: str | None = None
 ) -> dict[str, dict[str, int]]:
-    """Store every source as text with normalised identifiers; write the manifest."""
+    """Store every source as text with normalised identifiers; write the manifest.
+
+    All sources of the domain must be given, and no others.
+    """
+    names = [spec.name for spec in sources]
+    if sorted(names) != sorted(fv.REQUIRED_COLUMNS):
+        raise ValueError(
+            f"Sources needed: {', '.join(fv.REQUIRED_COLUMNS)}; given: {', '.join(names)}"
+        )
     raw = _save(
         store,
         **{
@@ -125,13 +134,8 @@ def build_segments(store: TableStore, out: str | None = None) -> dict[str, objec
 
 
 def stored_tables(store: TableStore) -> Mapping[str, DataFrame]:
-    """Every table of the run that exists so far."""
-    catalog = store.spark.catalog
-    return {
-        name: store.load(name)
-        for name in TABLES
-        if catalog.tableExists(store.qualified(name))
-    }
+    """Every table that this run has stored so far."""
+    return {name: store.load(name) for name in TABLES if store.exists(name)}
 
 
 def attach_existing(store: TableStore) -> None:
@@ -182,4 +186,5 @@ def run(
     validate_stage(store, "segmentation", expected, reports)
     report = validate_stage(store, "all", expected, reports)
     export(store, reports)
+    drop_stored(spark)
     return report

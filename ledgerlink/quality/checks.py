@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlink import fixed_values as fv
 from ledgerlink.config import Expected
-from ledgerlink.functions.numbers import same_cents, to_cents
+from ledgerlink.functions.numbers import exact_text, same_cents
 from ledgerlink.operators.reconcile import revenue_of
 from ledgerlink.quality import measures as m
 from ledgerlink.sources.specs import union_all
@@ -32,14 +32,14 @@ def _check(
     def number(c: Column | None) -> Column:
         return (F.lit(None) if c is None else c).cast("bigint")
 
-    money = F.lit(None) if amount is None else to_cents(amount)
+    money = F.lit(None) if amount is None else exact_text(amount)
     return F.struct(
         F.lit(name).alias("check_name"),
         F.lit(kind).alias("kind"),
         F.lit(metric).cast("string").alias("metric"),
         number(actual).alias("actual"),
         number(expected).alias("expected"),
-        money.cast("decimal(38,2)").alias("amount"),
+        money.cast("string").alias("amount"),
         F.coalesce(passed, F.lit(False)).alias("passed"),
     )
 

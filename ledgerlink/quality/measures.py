@@ -9,14 +9,14 @@ on both sides costs no more than its rows.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlink import fixed_values as fv
 from ledgerlink.functions.numbers import exact_sum, is_finite
 from ledgerlink.functions.text import blank_to_null, strip_spaces
-from ledgerlink.sources.store import stored
 
 _PAIRS = "decimal(38,0)"
 _CELL = 1e-6
@@ -60,42 +60,36 @@ def repeated_keys(df: DataFrame, key: str, null_is_key: bool = False) -> DataFra
     return keyed_profile(df, key, null_is_key=null_is_key).select("repeated")
 
 
-def invalid_product() -> Column:
-    """A product without key or finite price."""
-    return F.col("product_id").isNull() | ~is_finite(F.col("price"))
+def broken(rule: fv.FieldRule) -> Column:
+    """A row that breaks one of the requirements of its table; never null."""
 
+    def text(name: str) -> Column:
+        return blank_to_null(strip_spaces(F.col(name)))
 
-def invalid_bridge() -> Column:
-    return F.col("product_id").isNull()
+    tests = [
+        *(F.col(name).isNull() for name in rule.present),
+        *(text(name).isNull() for name in rule.filled),
+        *(~is_finite(F.col(name)) for name in rule.finite),
+        *(~F.coalesce(F.col(c).isin(*known), F.lit(False)) for c, known in rule.one_of),
+        *(F.coalesce(F.col(a) != F.col(b), F.lit(False)) for a, b in rule.equal),
+    ]
+    return reduce(Column.__or__, tests)
 
 
-def _blank(name: str) -> Column:
-    return blank_to_null(strip_spaces(F.col(name))).isNull()
+def invalid_product() -> Column:
+    return broken(fv.FIELD_RULES["product"])
+
+
+def invalid_bridge() -> Column:
+    return broken(fv.FIELD_RULES["bridge"])
 
 
 def invalid_web() -> Column:
-    """A web row without key, sales, title or a product type."""
-    kind = F.col("post_type")
-    return (
-        _blank("sku")
-        | F.col("total_sales").isNull()
-        | _blank("post_title")
-        | kind.isNull()
-        | ~kind.isin(*fv.PRODUCT_POST_TYPES)
-    )
+    return broken(fv.FIELD_RULES["web"])
 
 
 def invalid_merged() -> Column:
-    """A merged row with a missing field, or whose two web keys differ."""
-    return (
-        F.col("product_id").isNull()
-        | _blank("id_web")
-        | _blank("sku")
-        | _blank("post_title")
-        | ~is_finite(F.col("price"))
-        | F.col("total_sales").isNull()
-        | F.coalesce(F.col("id_web") != F.col("sku"), F.lit(False))
-    )
+    return broken(fv.FIELD_RULES["merged"])
 
 
 def invalid_label() -> Column:
@@ -159,8 +153,11 @@ def _product(a: str, b: str) -> Column:
 
 
 def _as_count(total: Column) -> Column:
-    largest = F.lit(2**63 - 1).cast(_PAIRS)
-    return F.least(F.coalesce(total, F.lit(0).cast(_PAIRS)), largest).cast("bigint")
+    """A sum of pairs as a whole number; one that does not fit ends the query."""
+    count = F.coalesce(total, F.lit(0).cast(_PAIRS))
+    fits = count <= F.lit(2**63 - 1).cast(_PAIRS)
+    refused = F.raise_error(F.lit("More than 2^63 - 1 differing pairs.")).cast("bigint")
+    return F.when(fits, count.cast("bigint")).otherwise(refused)
 
 
 def revenue_mismatches(merged: DataFrame, detail: DataFrame, revenue: Column):
@@ -193,15 +190,16 @@ def statistics(detail: DataFrame, value: str = "price") -> DataFrame:
 def wrong_z_scores(segments: DataFrame, detail: DataFrame) -> DataFrame:
     """Pairs of a key whose stored score is not the recomputed one; and validity.
 
+    The statistics are a scalar subquery, so that nothing runs while the frame is built.
     A key with one value on each side, however often, is settled by the sizes and
     values of its group: one shuffle of narrow rows for the whole table.  Keys with
-    several values are counted in ``_close_pairs``, and only if there are any, which
-    one row of totals tells.
+    several values are counted in ``_close_pairs``, a branch without rows if there are
+    none.
     """
-    fact = statistics(detail).first()
-    if not fact["valid"]:
-        return _z_score_result(segments, None, False)
-    mean, stddev = F.lit(fact["mean"]), F.lit(fact["stddev"])
+    fact = (
+        statistics(detail).select(F.struct("mean", "stddev", "valid").alias("fact")).scalar()
+    )
+    mean, stddev = fact["mean"], F.nullif(fact["stddev"], F.lit(0.0))
 
     def side(df: DataFrame, score: Column, number: int) -> DataFrame:
         return df.where(F.col("product_id").isNotNull()).select(
@@ -210,25 +208,22 @@ def wrong_z_scores(segments: DataFrame, detail: DataFrame) -> DataFrame:
             F.lit(number).alias("side"),
         )
 
-    ours = side(segments, F.col("z_score"), 0)
-    theirs = side(detail, (F.col("price") - mean) / stddev, 1)
+    rows = side(segments, F.col("z_score"), 0).unionByName(
+        side(detail, (F.col("price") - mean) / stddev, 1)
+    )
     finite = is_finite(F.col("score"))
     stored_one, expected_one = F.col("side") == 0, F.col("side") == 1
     usable = stored_one & finite
     known = expected_one & F.col("score").isNotNull()
-    groups = (
-        ours.unionByName(theirs)
-        .groupBy("_key")
-        .agg(
-            F.count_if(usable).alias("s"),
-            F.count_if(stored_one & ~finite).alias("unusable"),
-            F.count_if(known).alias("e"),
-            F.count_if(expected_one).alias("all"),
-            F.min(F.when(usable, F.col("score"))).alias("z"),
-            F.max(F.when(usable, F.col("score"))).alias("z_max"),
-            F.min(F.when(known, F.col("score"))).alias("expected"),
-            F.max(F.when(known, F.col("score"))).alias("expected_max"),
-        )
+    groups = rows.groupBy("_key").agg(
+        F.count_if(usable).alias("s"),
+        F.count_if(stored_one & ~finite).alias("unusable"),
+        F.count_if(known).alias("e"),
+        F.count_if(expected_one).alias("all"),
+        F.min(F.when(usable, F.col("score"))).alias("z"),
+        F.max(F.when(usable, F.col("score"))).alias("z_max"),
+        F.min(F.when(known, F.col("score"))).alias("expected"),
+        F.max(F.when(known, F.col("score"))).alias("expected_max"),
     )
     several = (F.col("z") != F.col("z_max")) | (
         F.col("expected") != F.col("expected_max")
@@ -237,62 +232,66 @@ def wrong_z_scores(segments: DataFrame, detail: DataFrame) -> DataFrame:
     settled = F.when(~several & agree, F.lit(0).cast(_PAIRS)).otherwise(
         _product("s", "e")
     )
+    close = _close_pairs(rows, groups.where(several).select("_key")).scalar()
     totals = groups.agg(
-        F.sum(settled + _product("unusable", "all")).alias("wrong"),
-        F.count_if(several).alias("several"),
-    ).first()
-    wrong = F.lit(totals["wrong"]).cast(_PAIRS)
-    if totals["several"]:
-        keys = stored(groups.where(several).select("_key"), "keys_with_several_scores")
-        wrong = wrong - _close_pairs(ours, theirs, keys).scalar()
-    return _z_score_result(segments, wrong, True)
-
-
-def _z_score_result(
-    segments: DataFrame, wrong: Column | None, valid: bool
-) -> DataFrame:
-    count = F.lit(None).cast(_PAIRS) if wrong is None else wrong
-    one_row = segments.sparkSession.range(0, 1, 1, 1)
-    return one_row.select(_as_count(count).alias("wrong"), F.lit(valid).alias("valid"))
+        F.coalesce(
+            F.sum(settled + _product("unusable", "all")), F.lit(0).cast(_PAIRS)
+        ).alias("wrong")
+    )
+    return totals.select(
+        _as_count(F.when(fact["valid"], F.col("wrong") - close)).alias("wrong"),
+        fact["valid"].alias("valid"),
+    )
 
 
-def _close_pairs(ours: DataFrame, theirs: DataFrame, keys: DataFrame) -> DataFrame:
+def _close_pairs(rows: DataFrame, keys: DataFrame) -> DataFrame:
     """Pairs within the tolerance, of the keys that have several values.
 
-    An equality join on a cell much wider than the tolerance finds them; a
-    recomputed score enters its cell, and the next one too when it lies at the edge.
-    Copies of a value are collapsed first.
+    Copies of a value collapse first.  Within one key and one cell, much wider than the
+    tolerance, all values stand in order; a stored score counts the recomputed ones up
+    to its upper end less those below its lower end, so running sums do and no pair is
+    built.  A recomputed score enters the next cell too when it lies at the edge.
     """
     edge = F.lit(fv.Z_TOLERANCE)
 
     def cell(score: Column) -> Column:
         return F.floor(score / F.lit(_CELL))
 
-    def copies(df: DataFrame) -> DataFrame:
-        finite = df.where(is_finite(F.col("score"))).join(keys, "_key", "left_semi")
-        return finite.groupBy("_key", "score").agg(F.count(F.lit(1)).alias("n"))
-
-    left = copies(ours).select(
-        "_key",
-        F.col("score").alias("z"),
-        F.col("n").alias("s"),
-        cell(F.col("score")).alias("cell"),
+    copies = (
+        rows.where(is_finite(F.col("score"))).join(keys, "_key", "left_semi")
+        .groupBy("_key", "side", "score").agg(F.count(F.lit(1)).alias("n"))
     )
-    both_cells = F.array_distinct(
-        F.array(cell(F.col("score") - edge), cell(F.col("score") + edge))
+    score = F.col("score")
+
+    def event(place: Column, order: int, known: Column, probe: Column) -> Column:
+        return F.struct(
+            place.alias("place"), F.lit(order).alias("order"),
+            known.cast("bigint").alias("known"), probe.cast("bigint").alias("probe"),
+        )
+
+    n, none = F.col("n"), F.lit(0)
+    probes = copies.where("side = 0").select(
+        "_key", cell(score).alias("cell"),
+        F.explode(
+            F.array(event(score - edge, 0, none, -n), event(score + edge, 2, none, n))
+        ).alias("at"),
     )
-    right = copies(theirs).select(
+    values = copies.where("side = 1").select(
         "_key",
-        F.col("score").alias("expected"),
-        F.col("n").alias("e"),
-        F.explode(both_cells).alias("cell"),
+        F.explode(F.array_distinct(F.array(cell(score - edge), cell(score + edge)))).alias(
+            "cell"
+        ),
+        event(score, 1, n, none).alias("at"),
     )
-    return (
-        left.join(right, ["_key", "cell"])
-        .where(F.abs(F.col("z") - F.col("expected")) <= edge)
-        .agg(
-            F.coalesce(F.sum(_product("s", "e")), F.lit(0).cast(_PAIRS)).alias("close")
-        )
+    in_order = Window.partitionBy("_key", "cell").orderBy("at.place", "at.order")
+    passed = (
+        probes.unionByName(values).select("_key", "cell", "at.*", F.col("at").alias("at"))
+        .withColumn("below", F.sum("known").over(
+            in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ))
+    )
+    return passed.agg(
+        F.coalesce(F.sum(_product("probe", "below")), F.lit(0).cast(_PAIRS)).alias("close")
     )
 
 

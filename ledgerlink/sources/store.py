@@ -5,13 +5,13 @@ A stored table ends the lineage: a lost executor costs the running step only.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
@@ -38,6 +38,10 @@ class TableStore:
     groupings use, so that later steps on that key need no shuffle.  With
     ``buckets`` equal to ``spark.sql.shuffle.partitions`` the bucketed write
     takes over the partitioning that the deduplication left behind.
+
+    Each write goes to a folder of its own, named by time and layout; the newest that
+    was completed is the table.  A failed write leaves the table as it was, and a name
+    in the catalogue only counts if it points to that folder.
     """
 
     def __init__(
@@ -54,45 +58,102 @@ class TableStore:
         if database != "default":
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
 
-    def location(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
     def qualified(self, name: str) -> str:
         return f"`{self.database}`.`{name}`"
 
+    def location(self, name: str) -> str | None:
+        """Folder of the newest complete version, or None."""
+        versions = self._versions(name)
+        return versions[-1] if versions else None
+
+    def _versions(self, name: str) -> list[str]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        folder = path(f"{self.root}/{name}")
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return []
+        found = [item.getPath() for item in files.listStatus(folder)]
+        return sorted(
+            p.toString() for p in found if files.exists(path(p, "_SUCCESS"))
+        )
+
     def save(self, name: str, df: DataFrame, key: str | None = None) -> DataFrame:
         """Create or replace a table and return it as read back."""
+        layout = ""
+        earlier = self._versions(name)
         if self.buckets and key:
             df = df.repartition(self.buckets, key)
+            layout = f"-{self.buckets}-{key}"
+        version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         writer = (
             df.write.format("parquet")
-            .mode("overwrite")
-            .option("path", self.location(name))
+            .option("path", f"{self.root}/{name}/{version}{layout}")
         )
-        if self.buckets and key:
+        if layout:
             writer = writer.bucketBy(self.buckets, key).sortBy(key)
-        writer.saveAsTable(self.qualified(name))
+        # Only a completed write takes over the name.
+        staged = f"{name}__{uuid.uuid4().hex}"
+        writer.saveAsTable(self.qualified(staged))
+        self._forget(name)
+        self.spark.sql(
+            f"ALTER TABLE {self.qualified(staged)} RENAME TO {self.qualified(name)}"
+        )
+        for path in earlier:
+            _delete(self.spark, path)
         return self.load(name)
 
     def load(self, name: str) -> DataFrame:
+        """The table of this store, whatever the catalogue knew under its name."""
+        where = self.location(name)
+        if where is None:
+            raise ValueError(f"Table {name} is not in {self.root}.")
+        if not self._known_at(name, where):
+            self._forget(name)
+            self._register(name, where)
         return self.spark.table(self.qualified(name))
 
-    def exists(self, name: str) -> bool:
-        """Whether the folder holds a written table, known to SQL or not."""
-        try:
-            self.spark.read.parquet(self.location(name))
-        except AnalysisException:
+    def _known_at(self, name: str, where: str) -> bool:
+        if not self.spark.catalog.tableExists(self.qualified(name)):
             return False
-        return True
+        facts = self._facts(name)
+        bare = where.split(":", 1)[-1].lstrip("/")
+        return facts.get("Location", "").split(":", 1)[-1].lstrip("/") == bare
+
+    def _facts(self, name: str) -> dict[str, str]:
+        rows = self.spark.sql(f"DESCRIBE EXTENDED {self.qualified(name)}").collect()
+        return {row["col_name"]: row["data_type"] for row in rows}
+
+    def _forget(self, name: str) -> None:
+        """Take a name out of the catalogue; files stay."""
+        if self.spark.catalog.tableExists(self.qualified(name)):
+            if self._facts(name).get("Type") != "EXTERNAL":
+                raise ValueError(f"{self.qualified(name)} is not a table of a store.")
+            self.spark.sql(f"DROP TABLE {self.qualified(name)}")
+
+    def _register(self, name: str, where: str) -> None:
+        schema = self.spark.read.parquet(where).schema
+        columns = ", ".join(
+            f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema
+        )
+        layout = where.rstrip("/").rsplit("/", 1)[-1].split("-", 3)[2:]
+        buckets = (
+            f"CLUSTERED BY (`{layout[1]}`) SORTED BY (`{layout[1]}`) INTO {layout[0]} BUCKETS"
+            if layout else ""
+        )
+        quoted = where.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE {self.qualified(name)} ({columns}) USING parquet {buckets} "
+            f"LOCATION '{quoted}'"
+        )
+
+    def exists(self, name: str) -> bool:
+        """Whether the folder holds a completely written table, known to SQL or not."""
+        return self.location(name) is not None
 
     def attach(self, names: Sequence[str]) -> None:
         """Make tables that an earlier session wrote known to this one."""
         for name in names:
-            if not self.spark.catalog.tableExists(self.qualified(name)):
-                self.spark.sql(
-                    f"CREATE TABLE {self.qualified(name)} "
-                    f"USING parquet LOCATION '{self.location(name)}'"
-                )
+            self.load(name)
 
     def run_steps(
         self,
@@ -137,13 +198,26 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/ledgerlink-{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete what ``stored`` wrote in this application; no frame may read it later."""
+    _delete(spark, _folder(spark))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result once, for plans that read it more than once.
 
-    All of an application lie in one folder, which can go when it has ended.
+    All of an application lie in one folder: ``drop_stored`` deletes it.
     """
     spark = df.sparkSession
-    folder = f"{scratch_root(spark)}/ledgerlink-{spark.sparkContext.applicationId}"
-    path = f"{folder}/{uuid.uuid4().hex}/{name}"
+    path = f"{_folder(spark)}/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -180,8 +180,8 @@ def revenue_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         same(added, expected).alias("detail_matches_reference"),
         same(stated, expected).alias("summary_matches_reference"),
         (
-            (F.col("product_count") == F.col("source_products"))
-            & (F.col("bottles_sold") == F.col("source_units"))
+            F.col("product_count").eqNullSafe(F.col("source_products"))
+            & F.col("bottles_sold").eqNullSafe(F.col("source_units"))
         ).alias("counts_match"),
     )
 
@@ -464,7 +464,7 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         *_STORED_FOR["cleaning"], *_STORED_FOR["revenue"], "wine_segmentation"
     )
     checks = check_frame(t, "all", expected_for(spark, sf_dir))
-    return checks.select(*_CHECK_COLUMNS)
+    return checks.select(*_CHECK_COLUMNS, "amount")
 
 
 # Faults: the changed table, and what the gates make of it.
