@@ -4,6 +4,8 @@ Rows of a source are put in a seeded random order; row ``r`` of ``n`` gets the
 fraction ``(r + phase) / n``, with a phase per source so that sources of a few rows do
 not all fall on one place.  Sorted by fraction, every stretch of the order holds each
 source in proportion, to within one row; the order is cut into shards of equal counts.
+(Very many sources of a row or two are spread at random, and move the cuts as chance
+does.)
 """
 
 from __future__ import annotations
