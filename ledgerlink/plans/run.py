@@ -15,7 +15,7 @@ from ledgerlink.operators.segment import require_spread, segment
 from ledgerlink.quality.gate import validate
 from ledgerlink.sources.sinks import write_json, write_revenue_report, write_segments
 from ledgerlink.sources.specs import SourceSpec, manifest, read_source, stage_frame
-from ledgerlink.sources.store import TableStore, drop_stored, together
+from ledgerlink.sources.store import TableStore, drop_stored, stored_so_far, together
 
 # Stored tables in the order of a run, with the key each is laid out by.
 TABLES = {
@@ -172,6 +172,7 @@ def run(
     buckets: int | None = None,
 ) -> dict[str, object]:
     """Run everything below ``out``; the first stage that fails ends the run."""
+    mark = stored_so_far()
     store = TableStore(spark, f"{out}/tables", database, buckets)
     reports = f"{out}/outputs"
     stage(store, sources, f"{out}/staging")
@@ -186,5 +187,5 @@ def run(
     validate_stage(store, "segmentation", expected, reports)
     report = validate_stage(store, "all", expected, reports)
     export(store, reports)
-    drop_stored(spark)
+    drop_stored(spark, mark)
     return report

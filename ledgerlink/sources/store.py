@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
 
+# What ``stored`` has written in this process.
+_WRITTEN: list[str] = []
+
 
 def together(*jobs: Callable[[], T]) -> list[T]:
     """Run independent jobs side by side: one fills the gaps the others leave.
@@ -198,8 +201,10 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
 
 
-def _folder(spark: SparkSession) -> str:
-    return f"{scratch_root(spark)}/ledgerlink-{spark.sparkContext.applicationId}"
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A folder that nothing was written to yet."""
+    app = spark.sparkContext.applicationId
+    return f"{scratch_root(spark)}/ledgerlink-{app}/{uuid.uuid4().hex}/{name}"
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -207,17 +212,25 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def drop_stored(spark: SparkSession) -> None:
-    """Delete what ``stored`` wrote in this application; no frame may read it later."""
-    _delete(spark, _folder(spark))
+def stored_so_far() -> int:
+    """A mark for ``drop_stored``."""
+    return len(_WRITTEN)
+
+
+def drop_stored(spark: SparkSession, since: int = 0) -> None:
+    """Delete what ``stored`` has written after a mark; no frame may read it later."""
+    for path in _WRITTEN[since:]:
+        _delete(spark, path)
+    del _WRITTEN[since:]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result once, for plans that read it more than once.
 
-    All of an application lie in one folder: ``drop_stored`` deletes it.
+    ``drop_stored`` deletes what was written.
     """
     spark = df.sparkSession
-    path = f"{_folder(spark)}/{uuid.uuid4().hex}/{name}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)

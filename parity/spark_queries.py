@@ -20,8 +20,23 @@ from ledgerlink.functions.text import normalize_identifiers
 from ledgerlink.operators import clean, dedup, faults, reconcile, report, segment
 from ledgerlink.quality import measures as m
 from ledgerlink.quality.checks import check_frame
-from ledgerlink.sources.specs import manifest, stage_frame, union_all
-from ledgerlink.sources.store import stored, together
+from ledgerlink.plans import run as plans
+from ledgerlink.sources.sinks import write_csv
+from ledgerlink.sources.specs import (
+    SourceSpec,
+    manifest,
+    read_source,
+    stage_frame,
+    union_all,
+)
+from ledgerlink.sources.store import (
+    TableStore,
+    register,
+    scratch_path,
+    stored,
+    together,
+    unregister,
+)
 from parity import raw_tables
 from parity.raw_tables import expected_for, table
 
@@ -598,6 +613,40 @@ def part_revenue_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_segments(segment.outliers(revenue, "l_partkey", "revenue"))
 
 
+# The code that a run uses, from written sources to stored tables.
+
+
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bridge as delimited text, read back and staged as a run does."""
+    path = scratch_path(spark, "bridge_text")
+    write_csv(raw_tables.raw_liaison(spark, sf_dir), path)
+    return stage_frame(read_source(spark, SourceSpec("liaison", path, "csv")))
+
+
+def sql_step_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored SQL step with a bound value, over a frame known by name."""
+    store = TableStore(spark, scratch_path(spark, "steps"), "bound_steps")
+    register(raw_tables.raw_liaison(spark, sf_dir), "given_bridge")
+    step = """SELECT trim(id_web) AS web_key, count(*) AS n FROM given_bridge
+        WHERE length(trim(id_web)) < :width GROUP BY trim(id_web)"""
+    try:
+        return store.run_steps([("short_keys", step)], {"width": 8})["short_keys"]
+    finally:
+        unregister(spark, "given_bridge")
+
+
+def run_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The segments that a complete gated run leaves behind."""
+    t, folder = Tables(spark, sf_dir), scratch_path(spark, "run")
+    raw = {"erp": t.raw_erp, "liaison": t.raw_liaison, "web": t.raw_web}
+    for name, df in raw.items():
+        df.write.parquet(f"{folder}/{name}")
+    sources = [SourceSpec(name, f"{folder}/{name}") for name in raw]
+    plans.run(spark, sources, f"{folder}/out", expected_for(spark, sf_dir), "parity_run")
+    store = TableStore(spark, f"{folder}/out/tables", "parity_run")
+    return _rounded_segments(store.load("wine_segmentation"))
+
+
 QUERIES: dict[str, Query] = {
     "raw_products": _plain("raw_erp"),
     "raw_bridge": _plain("raw_liaison"),
@@ -655,4 +704,7 @@ QUERIES: dict[str, Query] = {
     "event_value_outliers": _outliers("events", "event_id", "value"),
     "document_length_outliers": _outliers("documents", "doc_id", "n_chars"),
     "part_revenue_outliers": part_revenue_outliers,
+    "csv_round_trip": csv_round_trip,
+    "sql_step_bound": sql_step_bound,
+    "run_segments": run_segments,
 }

@@ -85,6 +85,9 @@ def test_scratch_lies_in_a_shared_folder_and_can_be_dropped(spark):
     assert stores.scratch_root(named) == "hdfs://a/b"
     unnamed = _Session(spark_sql_warehouse_dir="hdfs://w/")
     assert stores.scratch_root(unnamed) == "hdfs://w/scratch"
-    assert stores.stored(spark.range(3), "few").count() == 3
-    stores.drop_stored(spark)
-    assert stores.stored(spark.range(4), "few").count() == 4
+    kept, mark = stores.stored(spark.range(3), "few"), stores.stored_so_far()
+    gone = stores.stored(spark.range(4), "few")
+    stores.drop_stored(spark, mark)
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        gone.count()
