@@ -139,27 +139,44 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return out
 
 
+def _spanning(links: np.ndarray, left: list, right: list) -> list[tuple]:
+    """Of the links between groups those that connect what was not connected yet."""
+    root: dict = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    kept = []
+    for i, j in links.tolist():
+        a, b = find(left[i]), find(right[j])
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            kept.append((left[i], right[j]))
+    return kept
+
+
 def _block_task(percent: int):
-    """One link between any two groups that have one, for two blocks of a bucket."""
+    """Links between groups, for two blocks of a bucket; fewer than there are groups."""
 
     def run(table: pa.Table) -> pa.Table:
         query = np.array(table.column("query").to_pylist(), dtype=bool)
-        node, group = table.column("node").to_pylist(), table.column("group").to_pylist()
+        group = table.column("group").to_pylist()
         elements = [np.frombuffer(e, np.uint64) for e in table.column("elements").to_pylist()]
         left, right = np.flatnonzero(query), np.flatnonzero(~query)
-        u, v = [], []
+        kept = []
         if len(left) and len(right):
             both = shared_counts([elements[i] for i in left], [elements[j] for j in right])
             size = np.array([len(e) for e in elements], dtype=np.float32)
             union = size[left][:, None] + size[right][None, :] - both
-            seen = set()
-            for i, j in np.argwhere(100 * both >= percent * union).tolist():
-                a, b = left[i], right[j]
-                if group[a] != group[b] and (group[a], group[b]) not in seen:
-                    seen.add((group[a], group[b]))
-                    u.append(node[a])
-                    v.append(node[b])
-        return pa.table({"u": pa.array(u, pa.binary()), "v": pa.array(v, pa.binary())})
+            kept = _spanning(
+                np.argwhere(100 * both >= percent * union),
+                [group[i] for i in left], [group[j] for j in right],
+            )
+        return pa.table({"u": pa.array([k[0] for k in kept], pa.binary()),
+                         "v": pa.array([k[1] for k in kept], pa.binary())})
 
     return run
 
@@ -173,8 +190,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _links(scratch: Scratch, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links that connect the same nodes as all links between candidates."""
+def _groups(scratch: Scratch, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``node`` and ``label``: which nodes confirmed links connect; others are missing.
+
+    The first step's groups are the nodes of the second step's links.
+    """
     centres = members.groupBy("band").agg(
         F.min(F.struct(F.xxhash64("node", "band").alias("k"), "node")).getField("node").alias("v")
     )
@@ -183,8 +203,7 @@ def _links(scratch: Scratch, members: DataFrame, sets: DataFrame, percent: int)
         .agg(F.max(F.struct("size", "v")).getField("v").alias("v"))
         .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     )
-    first = scratch.store(_verified(stars, sets, percent))
-    groups = components(scratch, first)
+    groups = components(scratch, scratch.store(_verified(stars, sets, percent)))
     placed = members.join(groups, "node", "left").select(
         "band", "node", "size", F.coalesce("label", "node").alias("group")
     )
@@ -202,7 +221,14 @@ def _links(scratch: Scratch, members: DataFrame, sets: DataFrame, percent: int)
         .where("u < v AND group <> other").select("u", "v").distinct()
         .join(scratch.store(stars), ["u", "v"], "left_anti")
     )
-    second = _verified(pairs, sets, percent)
+    of = groups.select("node", "label")
+    second = (
+        _verified(pairs, sets, percent)
+        .join(of.withColumnRenamed("node", "u"), "u", "left")
+        .select(F.coalesce("label", "u").alias("u"), "v")
+        .join(of.withColumnRenamed("node", "v"), "v", "left")
+        .select("u", F.coalesce("label", "v").alias("v"))
+    )
 
     # In a large bucket the largest group is the hub: its nodes are not compared with
     # each other, only the nodes of other groups with all.
@@ -232,7 +258,13 @@ def _links(scratch: Scratch, members: DataFrame, sets: DataFrame, percent: int)
         queries.unionByName(targets).join(sets, "node").groupBy("band", "row", "column")
         .applyInArrow(_block_task(percent), "u binary, v binary")
     )
-    return first.unionByName(second).unionByName(third)
+    merged = components(scratch, second.unionByName(third))
+    known = merged.select(F.col("node").alias("label"), F.col("label").alias("most"))
+    return (
+        groups.unionByName(merged.select("node", F.col("node").alias("label")))
+        .distinct().join(known, "label", "left")
+        .select("node", F.coalesce("most", "label").alias("label"))
+    )
 
 
 def near_duplicates(
@@ -272,7 +304,7 @@ def near_duplicates(
         .select("_text").mapInArrow(_set_task(width), "node binary, elements binary")
         .join(wanted, "node", "left_semi").dropDuplicates(["node"])
     )
-    groups = components(scratch, _links(scratch, members, sets, percent))
+    groups = _groups(scratch, members, sets, percent)
     smallest = (
         groups.join(ids, "node").groupBy("label").agg(F.min("first").alias("component_id"))
     )

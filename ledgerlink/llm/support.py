@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -61,10 +60,6 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def first_of(df: DataFrame, wanted: str) -> str:
     """``wanted``, or it with underscores, so that it clashes with no column of df."""
     taken = {c.lower() for c in df.columns}
@@ -73,49 +68,62 @@ def first_of(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def all_of(*conditions: Column) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
-
-
 def components(
     scratch: Scratch, edges: DataFrame, u: str = "u", v: str = "v", rounds: int = 100
 ) -> DataFrame:
     """The smallest node that each node of ``edges`` is connected with.
 
     Columns ``node`` and ``label``; nodes without edges are not in the result.  Each
-    round takes over the smallest label among the neighbours and then the label of
-    the label, so that the distance covered about doubles; rounds end when nothing
-    changes.  Nothing but the number of changes reaches the driver.
+    round hooks every node to its smallest neighbour, follows the hooks to their roots
+    and contracts the edges to those between different roots, so that edges get fewer
+    from round to round, until none is left.  Only the news whether anything is left
+    reaches the driver.
     """
-    pairs = edges.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u <> v")
-    both = scratch.store(
-        pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        .distinct()
-    )
-    labels = scratch.store(
-        both.groupBy("u").agg(F.min("v").alias("v"))
-        .select(F.col("u").alias("node"), F.least("u", "v").alias("label"))
+    low, high = F.least(u, v), F.greatest(u, v)
+    left = scratch.store(
+        edges.where(F.col(u) != F.col(v)).select(low.alias("u"), high.alias("v")).distinct()
     )
+    labels = None
     for _ in range(rounds):
-        near = (
-            both.join(labels.select(F.col("node").alias("v"), "label"), "v")
-            .groupBy(F.col("u").alias("node")).agg(F.min("label").alias("best"))
-        )
-        hooked = labels.join(near, "node").select(
-            "node", F.col("label").alias("old"), F.least("label", "best").alias("label")
-        )
-        target = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        moved = scratch.store(
-            hooked.join(target, "label", "left").select(
-                "node", "old", F.least("label", F.coalesce("far", "label")).alias("label")
+        root = _roots(scratch, left, rounds)
+        if labels is None:
+            labels = root
+        else:
+            follow = root.select(F.col("node").alias("label"), F.col("label").alias("next"))
+            labels = scratch.store(
+                labels.join(follow, "label", "left")
+                .select("node", F.coalesce("next", "label").alias("label"))
             )
+        left = scratch.store(
+            left.join(root.select(F.col("node").alias("u"), F.col("label").alias("a")), "u")
+            .join(root.select(F.col("node").alias("v"), F.col("label").alias("b")), "v")
+            .where("a <> b")
+            .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
         )
-        labels = moved.select("node", "label")
-        if moved.where("label <> old").isEmpty():
+        if left.isEmpty():
             return labels
     raise RuntimeError(f"Components did not settle in {rounds} rounds.")
 
 
+def _roots(scratch: Scratch, edges: DataFrame, rounds: int) -> DataFrame:
+    """``node`` and ``label``: the node that hooks to smaller neighbours lead to."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    hooks = scratch.store(
+        both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("best"))
+        .select("node", F.least("node", "best").alias("label"))
+    )
+    for _ in range(rounds):
+        target = hooks.select(F.col("node").alias("label"), F.col("label").alias("far"))
+        moved = scratch.store(
+            hooks.join(target, "label").select("node", F.col("far").alias("label"),
+                                               (F.col("far") != F.col("label")).alias("moved"))
+        )
+        hooks = moved.select("node", "label")
+        if moved.where("moved").isEmpty():
+            return hooks
+    raise RuntimeError(f"Hooks did not settle in {rounds} rounds.")
+
+
 def packed(df: DataFrame, text_col: str) -> DataFrame:
     """Two columns: ``_row`` with all other columns, whatever their names, and ``_text``."""
     others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns) if c != text_col]
