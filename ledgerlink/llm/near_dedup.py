@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlink.llm.arrays import NOT_BLANK, Words
@@ -181,7 +181,16 @@ def _block_task(percent: int):
     return run
 
 
+def _similar_sizes(percent: int) -> Column:
+    """Whether sets of ``n`` and ``other_n`` elements can be similar enough at all."""
+    return F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links among ``pairs``, a written table, so that its size is known to the plan.
+
+    Where sets are shuffled, both joins read one exchange.
+    """
     a = sets.select(F.col("node").alias("u"), F.col("elements").alias("eu"))
     b = sets.select(F.col("node").alias("v"), F.col("elements").alias("ev"))
     return (
@@ -196,16 +205,17 @@ def _groups(scratch: Scratch, members: DataFrame, sets: DataFrame, percent: int)
     The first step's groups are the nodes of the second step's links.
     """
     centres = members.groupBy("band").agg(
-        F.min(F.struct(F.xxhash64("node", "band").alias("k"), "node")).getField("node").alias("v")
-    )
-    stars = (
-        members.join(centres, "band").where("node <> v").groupBy(F.col("node").alias("u"))
+        F.min(F.struct(F.xxhash64("node", "band").alias("k"), "node", "n")).alias("centre")
+    ).select("band", F.col("centre.node").alias("v"), F.col("centre.n").alias("other_n"))
+    stars = scratch.store(
+        members.join(centres, "band").where((F.col("node") != F.col("v")) & _similar_sizes(percent))
+        .groupBy(F.col("node").alias("u"))
         .agg(F.max(F.struct("size", "v")).getField("v").alias("v"))
         .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     )
     groups = components(scratch, scratch.store(_verified(stars, sets, percent)))
     placed = members.join(groups, "node", "left").select(
-        "band", "node", "size", F.coalesce("label", "node").alias("group")
+        "band", "node", "size", "n", F.coalesce("label", "node").alias("group")
     )
     several = placed.groupBy("band").agg(
         F.min("group").alias("least"), F.max("group").alias("most")
@@ -214,12 +224,14 @@ def _groups(scratch: Scratch, members: DataFrame, sets: DataFrame, percent: int)
 
     small = open_members.where(F.col("size") <= SMALL)
     other = small.select(
-        "band", F.col("node").alias("v"), F.col("group").alias("other")
+        "band", F.col("node").alias("v"), F.col("group").alias("other"),
+        F.col("n").alias("other_n"),
     )
-    pairs = (
-        small.select("band", F.col("node").alias("u"), "group").join(other, "band")
-        .where("u < v AND group <> other").select("u", "v").distinct()
-        .join(scratch.store(stars), ["u", "v"], "left_anti")
+    pairs = scratch.store(
+        small.select("band", F.col("node").alias("u"), "group", "n").join(other, "band")
+        .where(F.expr("u < v AND group <> other") & _similar_sizes(percent))
+        .select("u", "v").distinct()
+        .join(stars, ["u", "v"], "left_anti")
     )
     of = groups.select("node", "label")
     second = (
@@ -286,32 +298,56 @@ def near_duplicates(
     that agree in id and words all are kept or none.  Other columns are not read; no rows
     give no rows.
     """
-    scratch = Scratch(docs.sparkSession, "near")
+    return _near_duplicates(
+        Scratch(docs.sparkSession, "near"), docs, id_col, text_col, percent, width, bands, rows
+    )
+
+
+def _near_duplicates(
+    scratch: Scratch,
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: int = PERCENT,
+    width: int = WORDS,
+    bands: int = BANDS,
+    rows: int = ROWS,
+) -> DataFrame:
+    """``near_duplicates`` with tables in ``scratch``; those of the search are deleted."""
+    search = Scratch(docs.sparkSession, "near-search")
     slim = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     schema = wider(slim.select("_id"), "n long, node binary, bands array<long>")
-    sketched = scratch.store(slim.mapInArrow(_sketch_task(bands, rows, width), schema))
-    ids = sketched.where("node IS NOT NULL").groupBy("node").agg(F.min("_id").alias("first"))
+    sketched = search.store(slim.mapInArrow(_sketch_task(bands, rows, width), schema))
+    rows_of = scratch.store(sketched.select("_id", "n", "node"))
+    ids = rows_of.where("node IS NOT NULL").groupBy("node").agg(F.min("_id").alias("first"))
     banded = (
-        sketched.where("node IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"))
-        .select("node", F.explode("bands").alias("band"))
+        sketched.where("node IS NOT NULL").groupBy("node")
+        .agg(F.first("bands").alias("bands"), F.first("n").alias("n"))
+        .select("node", "n", F.explode("bands").alias("band"))
+    )
+    # Counting n, which is never null, both sides need the same columns: one shuffle.
+    shared = banded.groupBy("band").agg(F.count("n").alias("size")).where("size > 1")
+    members = search.store(banded.join(shared, "band"))
+    wanted = search.store(members.select("node").distinct())
+    wanted_ids = search.store(
+        wanted.join(ids, "node").select(F.col("first").alias("_wanted")).distinct()
     )
-    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = scratch.store(banded.join(shared, "band"))
-    wanted = members.select("node").distinct()
-    wanted_ids = wanted.join(ids, "node").select(F.col("first").alias("_wanted")).distinct()
-    sets = scratch.store(
+    sets = (
         slim.join(wanted_ids, F.col("_id").eqNullSafe(F.col("_wanted")), "left_semi")
         .select("_text").mapInArrow(_set_task(width), "node binary, elements binary")
-        .join(wanted, "node", "left_semi").dropDuplicates(["node"])
     )
-    groups = _groups(scratch, members, sets, percent)
+    # Where no id repeats, one row of each node was wanted, and sets need no shuffle.
+    if not rows_of.groupBy("_id").count().where("count > 1").isEmpty():
+        sets = sets.join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    groups = scratch.store(_groups(search, members, search.store(sets), percent))
+    search.drop()
     smallest = (
         groups.join(ids, "node").groupBy("label").agg(F.min("first").alias("component_id"))
     )
     by_node = ids.join(groups.join(smallest, "label"), "node", "left").select(
         "node", F.coalesce("component_id", "first").alias("component_id")
     )
-    found = sketched.join(by_node, "node", "left").select(
+    found = rows_of.join(by_node, "node", "left").select(
         F.col("_id").alias(id_col), "node", F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("_id")).otherwise(F.col("component_id"))
         .alias("component_id"),
@@ -335,11 +371,13 @@ def deduplicate(
 
     Rows without words all stay.  Of rows that agree in id and words one stays.
     """
+    search = Scratch(docs.sparkSession, "near")
     dropped = (
-        near_duplicates(docs, id_col, text_col, **parameters)
+        _near_duplicates(search, docs, id_col, text_col, **parameters)
         .where("NOT kept").select(F.col(id_col).alias("_gone"), F.col("node").alias("_other"))
     )
     found = Scratch(docs.sparkSession, "kept").store(dropped.distinct())
+    search.drop()
     rows = packed(docs, text_col)
     noded = rows.mapInArrow(_node_task, wider(rows, "_node binary"))
     position = docs.columns.index(id_col)
