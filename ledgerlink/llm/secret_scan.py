@@ -2,7 +2,8 @@
 
 A text is the first layer.  Every layer is scanned, and what can be unwrapped in it
 (percent signs, Unicode escapes, base64, compressed bytes) becomes a further layer, until
-nothing new comes.  A layer that was seen before is not worked on again, so cycles end.
+nothing new comes.  A layer that was seen before at the same place is not worked on again,
+so cycles end.
 Spans found in a layer are mapped to the place in the text that they were decoded from.
 """
 
@@ -200,7 +201,7 @@ def scan_text(text: str) -> tuple[list[tuple[str, int, int, str]], bool]:
         first = Layer(text, (0, len(text)), index, [i + 1 for i in index], "")
     else:
         first = Layer(text, (0, len(text)), None, None, "")
-    work, seen = [first], {text}
+    work, seen = [first], {(text, first.outer)}
     while work:
         layer = work.pop()
         if layer is not first:
@@ -220,8 +221,8 @@ def scan_text(text: str) -> tuple[list[tuple[str, int, int, str]], bool]:
             except OverflowError:
                 complete = False
         for found in new:
-            if found is not None and found.text not in seen:
-                seen.add(found.text)
+            if found is not None and (found.text, found.outer) not in seen:
+                seen.add((found.text, found.outer))
                 work.append(found)
     order = sorted((a, KINDS.index(k), b, k, via) for (k, a, b), via in spans.items())
     return [(k, a, b, via) for a, _, b, k, via in order], complete

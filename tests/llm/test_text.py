@@ -152,6 +152,20 @@ def test_nested_layers_are_unwrapped_and_mapped(layers):
     assert start <= found[0][1] < found[0][2] <= end
 
 
+@pytest.mark.parametrize("layers", [["base64"], ["gzip"], ["base64", "base64"], ["zlib", "percent"]])
+def test_every_place_of_a_repeated_layer_is_found(layers):
+    inner = "token = abcdefgh12345678"
+    for how in layers:
+        inner = _wrap(how, inner)
+    text = f"first {inner} then {inner} and 100% {inner} end"
+    spans, complete = secret_scan.scan_text(text)
+    starts = [m.start() for m in re.finditer(re.escape(inner), text)]
+    assert complete and len(starts) == 3
+    for start in starts:
+        assert any(start <= a < b <= start + len(inner) for _, a, b, _ in spans), spans
+    assert secret_scan._redacted(text, spans, "*").count(inner) == 0
+
+
 def test_layers_that_contain_themselves_end():
     text = "%25" * 50 + "%2525" + base64.b64encode(b"%41%41" * 40).decode()
     assert secret_scan.scan_text(text)[1]
