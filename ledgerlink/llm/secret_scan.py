@@ -12,11 +12,14 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
+import hashlib
+import itertools
 import lzma
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,9 +43,17 @@ _ESCAPE = re.compile(
     r"|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};"
 )
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-#: A compressed layer may grow to so many bytes; what is longer is not unwrapped, and
-#: the text is marked as incomplete.
+#: A compressed layer of up to so many bytes is held whole; a longer one is unpacked and
+#: scanned in windows.
 MAX_UNPACKED = 64_000_000
+#: Characters of a window, and how many of the last window the next one repeats.
+WINDOW, OVERLAP = 1_000_000, 65_536
+#: Bytes that are unpacked for the windows of one text, and packings around them.  Both
+#: end texts that would be unpacked for ever; what is beyond marks a text as incomplete.
+MAX_STREAMED, MAX_NESTED = 4_000_000_000, 200
+#: Windows end behind characters that no encoded run has inside.
+_OUTSIDE = re.compile(r"[^A-Za-z0-9+/_=%\\&#;{}\s-]|(?<=\S) ")
+_PLAIN = bytes([9, 10, 13, *range(32, 127)])
 
 
 @dataclass(frozen=True)
@@ -141,32 +152,164 @@ def _bounded(make, data: bytes) -> bytes | None:
     return out
 
 
+_PACKINGS = (
+    (b"\x1f\x8b", lambda: zlib.decompressobj(31)),
+    (b"x", lambda: zlib.decompressobj(15)),
+    (b"BZh", bz2.BZ2Decompressor),
+    (b"\xfd7zXZ", lzma.LZMADecompressor),
+)
+_ERRORS = (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError)
+
+
 def _unpacked(data: bytes) -> bytes | None:
     """The content of gzip, zlib, bzip2 or xz data, else None."""
-    for magic, make, errors in (
-        (b"\x1f\x8b", lambda: zlib.decompressobj(31), zlib.error),
-        (b"x", lambda: zlib.decompressobj(15), zlib.error),
-        (b"BZh", bz2.BZ2Decompressor, OSError),
-        (b"\xfd7zXZ", lzma.LZMADecompressor, lzma.LZMAError),
-    ):
+    for magic, make in _PACKINGS:
         if data.startswith(magic):
             try:
                 return _bounded(make, data)
-            except (errors, EOFError, ValueError):
+            except _ERRORS:
                 continue
     return None
 
 
+def _odd(text: str) -> int:
+    """How many characters are neither printable nor blanks."""
+    if text.isascii():
+        return len(text.encode().translate(None, _PLAIN))
+    return sum(1 for c in text if not (c.isprintable() or c in "\t\r\n"))
+
+
 def _readable(data: bytes) -> str | None:
     try:
         text = data.decode()
     except UnicodeDecodeError:
         return None
-    odd = sum(1 for c in text if not (c.isprintable() or c in "\t\r\n"))
-    return text if text and odd * 20 <= len(text) else None
-
+    return text if text and _odd(text) * 20 <= len(text) else None
+
+
+@dataclass
+class _Scan:
+    """What is found in a text, and what is left to be unpacked in windows."""
+
+    spans: dict[tuple[str, int, int], str]
+    complete: bool = True
+    left: int = field(default_factory=lambda: MAX_STREAMED)
+    #: What windows of long contents held, by the digest of the packed bytes.
+    known: dict[bytes, dict[str, str]] = field(default_factory=dict)
+
+    def spend(self, size: int) -> None:
+        self.left -= size
+        if self.left < 0:
+            raise OverflowError
+
+
+def _steps(make, source: Iterator[bytes], scan: _Scan) -> Iterator[bytes]:
+    """Packed pieces unpacked piece by piece."""
+    unpacker, piece = make(), b""
+    while not unpacker.eof:
+        out = unpacker.decompress(piece, WINDOW)
+        piece = getattr(unpacker, "unconsumed_tail", b"")
+        if out:
+            scan.spend(len(out))
+            yield out
+        elif not piece:
+            piece = next(source, b"")
+            if not piece:
+                raise EOFError
+
+
+def _contents(data: bytes, scan: _Scan) -> tuple[Iterator[bytes], int]:
+    """What is inside all packings of ``data``, in pieces, and how many there are."""
+    source = (data[i : i + OVERLAP] for i in range(0, len(data), OVERLAP))
+    for depth in range(MAX_NESTED):
+        head = b""
+        while len(head) < 64 and (piece := next(source, b"")):
+            head += piece
+        source = itertools.chain([head], source)
+        for magic, make in _PACKINGS:
+            if head.startswith(magic):
+                try:
+                    make().decompress(head[:OVERLAP], 64)
+                except _ERRORS:
+                    continue
+                source = _steps(make, source, scan)
+                break
+        else:
+            return source, depth
+    raise OverflowError
+
+
+def _boundary(text: str, end: int) -> int:
+    """The last place up to ``end`` where no encoded run goes on, or 0."""
+    while end > 0:
+        start = max(0, end - 4096)
+        places = [m.end() for m in _OUTSIDE.finditer(text, start, end)]
+        if places:
+            return places[-1]
+        end = start
+    return 0
+
+
+def _windows(pieces: Iterator[str], scan: _Scan) -> Iterator[str]:
+    """Text in windows that overlap and cut no encoded run of up to ``MAX_UNPACKED``."""
+    held, looked = "", 0
+    for piece in pieces:
+        held += piece
+        if len(held) < looked + WINDOW:
+            continue
+        cut = _boundary(held, len(held))
+        if cut <= OVERLAP:
+            looked = len(held)
+            if looked <= MAX_UNPACKED:
+                continue
+            scan.complete, cut = False, looked
+        yield held[:cut]
+        held = held[_boundary(held, cut - OVERLAP) or cut - OVERLAP :]
+        looked = len(held)
+    yield held
+
+
+def _long_contents(data: bytes, via: str, scan: _Scan) -> dict[str, str]:
+    """Kinds of spans in packed data whose content is too long to be held, and how they
+    were decoded."""
+    key = hashlib.sha256(data).digest()
+    if key in scan.known:
+        return scan.known[key]
+    found = _Scan({}, left=scan.left, known=scan.known)
+    size = odd = 0
+
+    def texts(source: Iterator[bytes]) -> Iterator[str]:
+        nonlocal size, odd
+        decoder = codecs.getincrementaldecoder("utf-8")()
+        try:
+            for piece in source:
+                text = decoder.decode(piece)
+                size, odd = size + len(text), odd + _odd(text)
+                yield text
+            decoder.decode(b"", final=True)
+        except OverflowError:
+            found.complete = False
 
-def _base64_layers(layer: Layer) -> Iterator[Layer]:
+    try:
+        source, depth = _contents(data, found)
+        via += ">packed" * depth
+        last = None
+        for window in _windows(texts(source), found):
+            if window != last:
+                _walk(Layer(window, (0, 0), None, None, via), found)
+            last = window
+    except OverflowError:
+        found.complete = False
+    except (*_ERRORS, UnicodeDecodeError):
+        size = 0
+    scan.left = found.left
+    scan.complete &= found.complete
+    readable = size and odd * 20 <= size
+    scan.known[key] = {k: v for (k, _, _), v in found.spans.items()} if readable else {}
+    return scan.known[key]
+
+
+def _base64_layers(layer: Layer, scan: _Scan) -> Iterator[Layer]:
     for m in _BASE64.finditer(layer.text):
         body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
         if len(body) % 4 == 1:
@@ -176,16 +319,26 @@ def _base64_layers(layer: Layer) -> Iterator[Layer]:
         except binascii.Error:
             continue
         via = f"{layer.via}>base64".lstrip(">")
-        while True:
+        yield from _opened(data, layer.origin(m.start(), m.end()), via, scan)
+
+
+def _opened(data: bytes, outer: tuple[int, int], via: str, scan: _Scan) -> Iterator[Layer]:
+    """The text in ``data`` and in all packings around it, as a layer of ``outer``."""
+    seen = set()
+    while (key := hashlib.sha256(data).digest()) not in seen:
+        seen.add(key)
+        try:
             opened = _unpacked(data)
-            if opened is None or opened == data:
-                break
-            data, via = opened, f"{via}>packed"
-            if via.count(">") > 64:
-                break
-        text = _readable(data)
-        if text is not None:
-            yield Layer(text, layer.origin(m.start(), m.end()), None, None, via)
+        except OverflowError:
+            for kind, path in _long_contents(data, via, scan).items():
+                scan.spans.setdefault((kind, *outer), path)
+            return
+        if opened is None:
+            break
+        data, via = opened, f"{via}>packed"
+    text = _readable(data)
+    if text is not None:
+        yield Layer(text, outer, None, None, via)
 
 
 def scan_text(text: str) -> tuple[list[tuple[str, int, int, str]], bool]:
@@ -193,39 +346,36 @@ def scan_text(text: str) -> tuple[list[tuple[str, int, int, str]], bool]:
 
     ``via`` is empty for base spans of the text itself, else the path of decodings.
     """
-    spans = {(k, a, b): "" for k, a, b in base_spans(text)}
-    complete = True
-    encoded = "%" in text or "\\" in text or "&#" in text
-    if encoded:
+    scan = _Scan({(k, a, b): "" for k, a, b in base_spans(text)})
+    if "%" in text or "\\" in text or "&#" in text:
         index = list(range(len(text)))
         first = Layer(text, (0, len(text)), index, [i + 1 for i in index], "")
     else:
-        first = Layer(text, (0, len(text)), None, None, "")
-    work, seen = [first], {(text, first.outer)}
+        # Without a map of its characters a first layer maps to itself.
+        first = _Identity(text, (0, len(text)), None, None, "")
+    _walk(first, scan)
+    order = sorted((a, KINDS.index(k), b, k, via) for (k, a, b), via in scan.spans.items())
+    return [(k, a, b, via) for a, _, b, k, via in order], scan.complete
+
+
+def _walk(first: Layer, scan: _Scan) -> None:
+    """Add the spans of a layer and of all that is encoded in it."""
+    work, seen = [first], {(first.text, first.outer)}
     while work:
         layer = work.pop()
-        if layer is not first:
+        if layer.via:
             for kind, a, b in base_spans(layer.text):
-                spans.setdefault((kind, *layer.origin(a, b)), layer.via)
+                scan.spans.setdefault((kind, *layer.origin(a, b)), layer.via)
         new: list[Layer | None] = []
         if "%" in layer.text:
             new.append(_rewritten(layer, _PERCENT, _percent, "percent"))
         if "\\" in layer.text or "&#" in layer.text:
             new.append(_rewritten(layer, _ESCAPE, _escape, "unicode"))
-        if layer is first and not encoded:
-            # Without a map of its characters a first layer maps to itself.
-            new += _direct(layer)
-        else:
-            try:
-                new += list(_base64_layers(layer))
-            except OverflowError:
-                complete = False
+        new += _base64_layers(layer, scan)
         for found in new:
             if found is not None and (found.text, found.outer) not in seen:
                 seen.add((found.text, found.outer))
                 work.append(found)
-    order = sorted((a, KINDS.index(k), b, k, via) for (k, a, b), via in spans.items())
-    return [(k, a, b, via) for a, _, b, k, via in order], complete
 
 
 class _Identity(Layer):
@@ -233,10 +383,6 @@ class _Identity(Layer):
         return start, end
 
 
-def _direct(layer: Layer) -> list[Layer]:
-    return list(_base64_layers(_Identity(layer.text, layer.outer, None, None, layer.via)))
-
-
 def _scan_task(replace: str | None):
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()),
                                ("end", pa.int32()), ("via", pa.string())]))
@@ -273,8 +419,10 @@ def scan(docs: DataFrame, text_col: str = "text", replace: str | None = None) ->
     """For each row of ``docs``: it as ``row``, ``spans`` and ``complete``.
 
     ``spans`` (kind, start, end in code points, via) are ordered by start and kind; with
-    ``replace`` they are replaced in the text.  ``complete`` is false if a compressed
-    layer was too large to be unwrapped.  A null text has no spans and stays null;
+    ``replace`` they are replaced in the text.  Compressed layers that are too long
+    to be held are scanned in windows; ``complete`` is false if one text has more of them
+    than ``MAX_STREAMED`` bytes or more than ``MAX_NESTED`` packings around one, or in one
+    a single encoded run of more than ``MAX_UNPACKED``.  A null text has no spans and stays null;
     repeated rows are treated alike; other columns are handed on, whatever their names.
     """
     rows = packed(docs, text_col)

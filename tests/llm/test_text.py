@@ -1,6 +1,7 @@
 """Language ID, toxicity, secrets, packing and decontamination against brute force."""
 
 import base64
+import bz2
 import gzip
 import random
 import re
@@ -166,6 +167,53 @@ def test_every_place_of_a_repeated_layer_is_found(layers):
     assert secret_scan._redacted(text, spans, "*").count(inner) == 0
 
 
+SECRET = "token = abcdefgh12345678"
+
+
+@pytest.mark.parametrize("pack", [bz2.compress, zlib.compress, lambda b: gzip.compress(bz2.compress(b))])
+@pytest.mark.parametrize("extra", ["", " 100% "])
+def test_a_bomb_hides_no_other_secret(pack, extra):
+    bomb = base64.b64encode(pack(bytes(70_000_000))).decode()
+    text = f"{extra}{_wrap('base64', SECRET)} {bomb} {_wrap('gzip', SECRET)}"
+    spans, complete = secret_scan.scan_text(text)
+    assert complete and [s[0] for s in spans] == ["assign", "assign"]
+
+
+def test_long_packed_layers_are_scanned_to_their_end():
+    filler = "just a line of words, and one more\n" * 1_900_000
+    inner = _wrap("base64", SECRET)
+    blob = base64.b64encode(bz2.compress(f"{filler}{inner}\n{filler[:500]}".encode())).decode()
+    spans, complete = secret_scan.scan_text(f"see {blob} twice {blob} end")
+    assert complete and [s[:3] for s in spans] == [
+        ("assign", 4, 4 + len(blob)), ("assign", 11 + len(blob), 11 + 2 * len(blob))]
+
+
+def test_windows_cut_nothing(monkeypatch):
+    for name, value in (("MAX_UNPACKED", 4000), ("WINDOW", 500), ("OVERLAP", 60)):
+        monkeypatch.setattr(secret_scan, name, value)
+    for at in range(4300, 5400, 7):
+        for inner in (SECRET, _wrap("percent", SECRET), _wrap("base64", SECRET + "." * 900)):
+            long = "so it, goes " * (at // 12) + "." * (at % 12) + f" {inner} " + "it, goes " * 90
+            blob = base64.b64encode(zlib.compress(long.encode())).decode()
+            assert [s[:3] for s in secret_scan.scan_text(blob)[0]] == [("assign", 0, len(blob))], at
+
+
+def test_endless_unpacking_is_marked(monkeypatch):
+    monkeypatch.setattr(secret_scan, "MAX_UNPACKED", 4000)
+    monkeypatch.setattr(secret_scan, "MAX_STREAMED", 50_000)
+    bomb = base64.b64encode(zlib.compress(b"all the same, " * 10_000)).decode()
+    spans, complete = secret_scan.scan_text(f"{bomb} {_wrap('gzip', SECRET)}")
+    assert not complete and [s[0] for s in spans] == ["assign"]
+
+
+def test_many_packings_are_opened():
+    data = SECRET.encode()
+    for _ in range(150):
+        data = gzip.compress(data)
+    spans, complete = secret_scan.scan_text(base64.b64encode(data).decode())
+    assert complete and [s[0] for s in spans] == ["assign"]
+
+
 def test_layers_that_contain_themselves_end():
     text = "%25" * 50 + "%2525" + base64.b64encode(b"%41%41" * 40).decode()
     assert secret_scan.scan_text(text)[1]
