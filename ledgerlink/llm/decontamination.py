@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlink.llm.arrays import ALPHANUMERIC, Words, runs
-from ledgerlink.llm.support import packed, slices, unpacked, utf8, wider
+from ledgerlink.llm.support import Scratch, packed, slices, unpacked, utf8, wider
 
 WIDTH = 10
-#: Windows that are broadcast at most; a benchmark with more is scanned in parts.
+#: Windows that are broadcast at most; those of a larger benchmark are joined by hash.
 BROADCAST_WINDOWS = 300_000
+#: Bits of a hash by which windows of documents are left out before that join.
+_BITS = 27
 
 _WINDOWS = "width int, hash long, words string, items array<string>"
 
@@ -107,19 +109,100 @@ class _Index:
 _INDEXES: dict[str, _Index] = {}
 
 
-def _scan(key: str, shared, replace: str | None):
-    """Tasks that mark, and cut if ``replace`` is given, what an index finds."""
+def _by_index(key: str, shared):
+    """What an index finds in the words of a batch."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hits(part: pa.RecordBatch, words: Words) -> tuple[np.ndarray, list[set[str]]]:
         if key not in _INDEXES:
             _INDEXES.clear()
             _INDEXES[key] = _Index(shared.value)
-        index = _INDEXES[key]
+        return _INDEXES[key].hits(words, part.num_rows)
+
+    return hits
+
+
+def _by_join(part: pa.RecordBatch, words: Words) -> tuple[np.ndarray, list[set[str]]]:
+    """What a join has found: the columns ``_places`` and ``_items``."""
+    inside = np.zeros(len(words.starts) + 1, dtype=np.int32)
+    for i, places in enumerate(part.column("_places").to_pylist()):
+        for place in places or ():
+            at = int(words.first[i]) + place["at"]
+            inside[at] += 1
+            inside[at + place["width"]] -= 1
+    return np.cumsum(inside[:-1]) > 0, [set(x or ()) for x in part.column("_items").to_pylist()]
+
+
+def _candidates(widths: list[int], shared):
+    """Tasks that list the windows of texts whose hash may be one of the benchmark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, dtype=np.uint8)
+        for batch in batches:
+            for part in slices(batch, 1):
+                keys, words = part.column(0), Words(utf8(part.column(1)), ALPHANUMERIC)
+                for k in widths:
+                    h = words.window_hashes(k)
+                    bit = (h >> np.uint64(64 - _BITS)).astype(np.int64)
+                    at = np.flatnonzero((bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
+                    text_of = np.searchsorted(words.first, at, side="right") - 1
+                    whole = at + k <= words.first[text_of + 1]
+                    at, text_of = at[whole], text_of[whole]
+                    for lo in range(0, len(at), 65_536):
+                        some, of = at[lo : lo + 65_536], text_of[lo : lo + 65_536]
+                        yield pa.RecordBatch.from_arrays(
+                            [keys.take(pa.array(of)),
+                             pa.array(some - words.first[of], pa.int32()),
+                             pa.array(np.full(len(some), k), pa.int32()),
+                             pa.array(h[some].view(np.int64)),
+                             pa.array([b" ".join(words.bytes_of(j) for j in range(i, i + k)).decode()
+                                       for i in some.tolist()], pa.string())],
+                            ["_key", "at", "width", "hash", "words"],
+                        )
+
+    return run
+
+
+def _joined(rows: DataFrame, windows: DataFrame) -> DataFrame:
+    """``rows`` with ``_places`` and ``_items`` of the windows in its texts.
+
+    What is found depends on the text alone, so equal texts share a key.  A bitmap of
+    the hashes leaves most windows of documents out before any is shuffled; the join
+    compares the words themselves.
+    """
+    windows = Scratch(rows.sparkSession, "windows").store(windows)
+    widths = sorted(r["width"] for r in windows.select("width").distinct().collect())
+    # Bitmaps that Spark builds have 32768 bits.
+    block = F.shiftrightunsigned("hash", 64 - _BITS + 15).alias("block")
+    bit = F.shiftrightunsigned("hash", 64 - _BITS) % 32768
+    bitmaps = windows.groupBy(block).agg(F.bitmap_construct_agg(bit).alias("bits")).collect()
+    bits = bytearray(1 << _BITS - 3)
+    for r in bitmaps:
+        bits[r["block"] * 4096 : r["block"] * 4096 + 4096] = r["bits"]
+    shared = rows.sparkSession.sparkContext.broadcast(bytes(bits))
+    keyed = rows.withColumn("_key", F.sha2("_text", 256))
+    found = (
+        keyed.where(F.col("_text").isNotNull()).select("_key", "_text")
+        .mapInArrow(_candidates(widths, shared),
+                    "_key string, at int, width int, hash long, words string")
+        .join(windows, ["width", "hash", "words"])
+        .groupBy("_key").agg(
+            F.collect_set(F.struct("at", "width")).alias("_places"),
+            F.array_distinct(F.flatten(F.collect_set("items"))).alias("_items"),
+        )
+    )
+    return keyed.join(found, "_key", "left").select("_row", "_text", "_places", "_items")
+
+
+def _scan(hits, replace: str | None):
+    """Tasks that mark, and cut if ``replace`` is given, what ``hits`` finds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, part_text := batch.schema.get_field_index("_text")):
                 texts = utf8(part.column(part_text))
                 words = Words(texts, ALPHANUMERIC)
-                inside, items = index.hits(words, len(texts))
+                inside, items = hits(part, words)
+                part = part.select(["_row", "_text"])
                 total = np.concatenate([[0], np.cumsum(inside)])
                 first = words.first
                 n_hit = total[first[1:]] - total[first[:-1]]
@@ -186,22 +269,21 @@ def contamination(
     Null and empty texts have no words; an empty benchmark hits nothing; items with
     null id are left out.  Repeated rows are treated alike.  The windows of the
     benchmark are broadcast if they are at most ``BROADCAST_WINDOWS``, which is counted
-    first; a larger benchmark is refused, since its windows would not fit each task.
+    first; those of a larger benchmark are joined with the windows of the documents.
     """
     spark = docs.sparkSession
     windows = benchmark_windows(benchmark, width, item_col, item_text_col)
     listed = windows.limit(BROADCAST_WINDOWS + 1).collect()
-    if len(listed) > BROADCAST_WINDOWS:
-        raise ValueError(f"The benchmark has over {BROADCAST_WINDOWS} windows: give it in parts.")
-    rows = [(r["width"], r["hash"], r["words"], list(r["items"])) for r in listed]
-    shared = spark.sparkContext.broadcast(rows)
-    key = f"{spark.sparkContext.applicationId}-{id(shared)}"
     rows_in = packed(docs, text_col)
-    found = rows_in.mapInArrow(
-        _scan(key, shared, replace),
-        wider(rows_in, "words long, hit long, items array<string>, "
-                       "spans array<struct<start:int,end:int>>"),
-    )
+    more = wider(rows_in, "words long, hit long, items array<string>, "
+                          "spans array<struct<start:int,end:int>>")
+    if len(listed) > BROADCAST_WINDOWS:
+        found = _joined(rows_in, windows).mapInArrow(_scan(_by_join, replace), more)
+    else:
+        rows = [(r["width"], r["hash"], r["words"], list(r["items"])) for r in listed]
+        shared = spark.sparkContext.broadcast(rows)
+        key = f"{spark.sparkContext.applicationId}-{id(shared)}"
+        found = rows_in.mapInArrow(_scan(_by_index(key, shared), replace), more)
     return found.select(
         F.struct(*unpacked(docs.columns, text_col)).alias("row"), "words", "hit", "items", "spans"
     )

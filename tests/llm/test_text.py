@@ -321,6 +321,33 @@ def test_contamination_equals_brute_force(spark, docs):
         assert sum(len(_words(text[s["start"] : s["end"]])) for s in r["spans"]) == len(hit)
 
 
+def test_large_benchmarks_are_joined(spark, docs, clashing, monkeypatch):
+    rng = random.Random(8)
+    vocab = ["un", "deux", "trois", "vier", "cinq", "Ä"]
+    items = [(i, " ".join(rng.choices(vocab, k=rng.choice([1, 3, 10, 12, 15])))) for i in range(20)]
+    passages = [r["text"][40:400] for r in docs.limit(5).collect()]
+    items += [(100 + i, t) for i, t in enumerate(passages)]
+    items += [(None, "un deux"), (99, None), (98, "two three four")]
+    texts = [(i, " ".join(rng.choices(vocab + ["x-y"], k=rng.randint(0, 60)))) for i in range(60)]
+    texts += [(200, None), (201, ""), (201, ""), (202, items[5][1]), (203, items[5][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    own = spark.createDataFrame(texts, "doc_id long, text string")
+
+    def results():
+        out = []
+        for frame in (own, docs, clashing):
+            for replace in (None, "*"):
+                out.append(sorted(map(str, decontamination.contamination(
+                    frame, bench, replace=replace).collect())))
+            out.append(sorted(map(str, decontamination.decontaminate(frame, bench).collect())))
+        return out
+
+    expected = results()
+    assert any("end=" in r for r in expected[3])
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 5)
+    assert results() == expected
+
+
 def test_decontaminate_cuts_or_drops(spark):
     passage = " ".join(f"w{i}" for i in range(12))
     bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
