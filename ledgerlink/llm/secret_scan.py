@@ -1,7 +1,7 @@
 """Secrets in texts and in what is encoded in them, by a worklist of decoded layers.
 
 A text is the first layer.  Every layer is scanned, and what can be unwrapped in it
-(percent signs, Unicode escapes, base64, compressed bytes) becomes a further layer, until
+(percent signs, Unicode escapes, base64 in one or more lines, compressed bytes) becomes a further layer, until
 nothing new comes.  A layer that was seen before at the same place is not worked on again,
 so cycles end.
 Spans found in a layer are mapped to the place in the text that they were decoded from.
@@ -17,6 +17,7 @@ import hashlib
 import itertools
 import lzma
 import re
+import urllib.parse
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -43,6 +44,15 @@ _ESCAPE = re.compile(
     r"|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};"
 )
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Lines of base64, of either alphabet: MIME and PEM wrap them.
+_WRAPPED = tuple(
+    re.compile(rf"(?<![{a}])[{a}]{{16,}}+(?:\r?\n[ \t]*+[{a}]++)++={{0,2}}")
+    for a in ("A-Za-z0-9+/", "A-Za-z0-9_-")
+)
+#: Bytes in percent signs, of which some may stand as they are, and how packed ones begin.
+_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9._~!*'()/+$,;:@-])++")
+_MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\x00")
+_LONE = re.compile("[\udc80-\udcff]")
 #: A compressed layer of up to so many bytes is held whole; a longer one is unpacked and
 #: scanned in windows.
 MAX_UNPACKED = 64_000_000
@@ -52,7 +62,7 @@ WINDOW, OVERLAP = 1_000_000, 65_536
 #: end texts that would be unpacked for ever; what is beyond marks a text as incomplete.
 MAX_STREAMED, MAX_NESTED = 4_000_000_000, 200
 #: Windows end behind characters that no encoded run has inside.
-_OUTSIDE = re.compile(r"[^A-Za-z0-9+/_=%\\&#;{}\s-]|(?<=\S) ")
+_OUTSIDE = re.compile(r"[^A-Za-z0-9+/_=%\\&#;{}.~!*'()$,:@\s-]|(?<=\S) ")
 _PLAIN = bytes([9, 10, 13, *range(32, 127)])
 
 
@@ -89,11 +99,10 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def _percent(run: str) -> str | None:
-    try:
-        return bytes.fromhex(run.replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
+def _percent(run: str) -> str:
+    """The run as UTF-8; bytes that are none are taken as Latin-1, one by one."""
+    text = bytes.fromhex(run.replace("%", "")).decode(errors="surrogateescape")
+    return _LONE.sub(lambda m: chr(ord(m[0]) - 0xDC00), text)
 
 
 def _escape(run: str) -> str | None:
@@ -310,16 +319,76 @@ def _long_contents(data: bytes, via: str, scan: _Scan) -> dict[str, str]:
 
 
 def _base64_layers(layer: Layer, scan: _Scan) -> Iterator[Layer]:
-    for m in _BASE64.finditer(layer.text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
+    via = f"{layer.via}>base64".lstrip(">")
+    for m in itertools.chain(_BASE64.finditer(layer.text), _wrapped(layer.text)):
+        start, end = m if isinstance(m, tuple) else m.span()
+        body = "".join(layer.text[start:end].split()).rstrip("=")
+        body = body.replace("-", "+").replace("_", "/")
         if len(body) % 4 == 1:
             continue
         try:
             data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
         except binascii.Error:
             continue
-        via = f"{layer.via}>base64".lstrip(">")
-        yield from _opened(data, layer.origin(m.start(), m.end()), via, scan)
+        yield from _opened(data, layer.origin(start, end), via, scan)
+
+
+def _wrapped(text: str) -> Iterator[tuple[int, int]]:
+    """Where lines stand that may be one base64 text.
+
+    Its lines are equally long but for the last one.  Since that may also be the begin of
+    other text, they are given with and without it, and so are all lines of a run.
+    """
+    if "\n" not in text:
+        return
+    given = set()
+    for pattern in _WRAPPED:
+        for m in pattern.finditer(text):
+            lines = [x.span() for x in re.finditer(r"\S+", m[0])]
+            sizes = [len(m[0][a:b].rstrip("=")) for a, b in lines]
+            parts = {(0, len(lines))}
+            i = 0
+            while i < len(lines):
+                j = i + 1
+                while j < len(lines) and sizes[j] == sizes[i]:
+                    j += 1
+                parts.add((i, j))
+                if j < len(lines) and sizes[j] < sizes[i]:
+                    parts.add((i, j + 1))
+                i = j
+            for i, j in sorted(parts):
+                place = m.start() + lines[i][0], m.start() + lines[j - 1][1]
+                if j - i > 1 and place not in given:
+                    given.add(place)
+                    yield place
+
+
+def _percent_layers(layer: Layer, scan: _Scan) -> Iterator[Layer]:
+    """What is packed in bytes written with percent signs."""
+    via = f"{layer.via}>percent".lstrip(">")
+    for run in _BYTES.finditer(layer.text):
+        if "%" not in run[0]:
+            continue
+        raw = urllib.parse.unquote_to_bytes(run[0].replace("+", " "))
+        begins = [m.start() for m in _MAGIC.finditer(raw)]
+        if not begins:
+            continue
+        places = [m.start() for m in re.finditer("%[0-9A-Fa-f]{2}|.", run[0])]
+        for at in begins:
+            if _starts_packed(raw[at : at + 512]):
+                outer = layer.origin(run.start() + places[at], run.end())
+                yield from _opened(raw[at:], outer, via, scan)
+
+
+def _starts_packed(head: bytes) -> bool:
+    for magic, make in _PACKINGS:
+        if head.startswith(magic):
+            try:
+                make().decompress(head, 64)
+                return True
+            except _ERRORS:
+                continue
+    return False
 
 
 def _opened(data: bytes, outer: tuple[int, int], via: str, scan: _Scan) -> Iterator[Layer]:
@@ -369,6 +438,7 @@ def _walk(first: Layer, scan: _Scan) -> None:
         new: list[Layer | None] = []
         if "%" in layer.text:
             new.append(_rewritten(layer, _PERCENT, _percent, "percent"))
+            new += _percent_layers(layer, scan)
         if "\\" in layer.text or "&#" in layer.text:
             new.append(_rewritten(layer, _ESCAPE, _escape, "unicode"))
         new += _base64_layers(layer, scan)

@@ -3,8 +3,10 @@
 import base64
 import bz2
 import gzip
+import lzma
 import random
 import re
+import urllib.parse
 import zlib
 
 import numpy as np
@@ -214,6 +216,46 @@ def test_many_packings_are_opened():
     assert complete and [s[0] for s in spans] == ["assign"]
 
 
+def _lines_of(blob, width, end="\n"):
+    return end.join(blob[i : i + width] for i in range(0, len(blob), width))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    "])
+@pytest.mark.parametrize("frame", [
+    "{}", "-----BEGIN CERTIFICATE-----\n{}\n-----END CERTIFICATE-----", "AttachmentFollowsHere\n{}\nThanks for all"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_wrapped_base64_is_joined(end, frame, pack):
+    long = "".join(f"line {i * 7919 % 1000}\n" for i in range(30))
+    for encode, n in ((base64.b64encode, 76), (base64.b64encode, 64), (base64.urlsafe_b64encode, 20)):
+        for size in (0, 1, 2, 3):
+            data = pack((long + "." * size + SECRET * 3).encode())
+            blob = _lines_of(encode(data).decode().rstrip("="), n, end)
+            text = "see\n" + frame.format(blob)
+            spans, complete = secret_scan.scan_text(text)
+            start = text.index(blob)
+            whole = [s for s in spans if s[1] <= start + 4 and s[2] >= start + len(blob) - n]
+            assert complete and whole and whole[0][0] == "assign", (n, size, spans)
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+@pytest.mark.parametrize("quote", [
+    urllib.parse.quote, urllib.parse.quote_plus, lambda b: "".join(f"%{x:02x}" for x in b)])
+def test_packed_bytes_in_percent_signs_are_opened(pack, quote):
+    data = quote(pack(f"some words and {SECRET}".encode()))
+    text = f"see http://a.b/c?q={data} end"
+    spans, complete = secret_scan.scan_text(text)
+    start = text.index(data)
+    assert complete and any(s[3] == "percent>packed" for s in spans), spans
+    assert all(s[0] == "assign" and start <= s[1] < s[2] <= start + len(data) for s in spans)
+
+
+def test_bytes_that_are_not_utf8_hide_nothing():
+    for raw in (b"\xe4", b"\xff\xfe", b"\xc3", "ä".encode() + b"\xe4"):
+        run = "".join(f"%{x:02X}" for x in raw + SECRET.encode() + raw)
+        spans, complete = secret_scan.scan_text(f"so {run} end")
+        assert complete and [s[:3] for s in spans] == [("assign", 3, 3 + len(run))]
+
+
 def test_layers_that_contain_themselves_end():
     text = "%25" * 50 + "%2525" + base64.b64encode(b"%41%41" * 40).decode()
     assert secret_scan.scan_text(text)[1]
