@@ -131,6 +131,36 @@ def test_base_spans_equal_python(spark, docs, part):
         assert spans == brute_force_spans(row["row"]["text"]), row["row"]["text"]
 
 
+DISGUISED = [
+    ("email", x) for x in (
+        "john at example.com", "jo@mail dot com", "jo@mail.example dot com", "jo at mail dot com",
+        "jo [at] mail.com", "jo(at)mail(dot)com", "jo@mail[dot]co.uk", "JO AT MAIL DOT COM")
+] + [
+    ("ip", x) for x in (
+        "10.0.0[.]1", "10[.]0.0.1", "10[.]0[.]0[.]1", "10.0 dot 0.1", "2001:db8::8a2e:370:7334",
+        "fe80::1", "::1", "dead:beef::", "ab:cd:ef:ab:cd:ef:ab:cd", "2001:0db8:0:0:0:8a2e:0370:7334")
+] + [("card", "4111.1111.1111.1111"), ("phone", "0049 171 5557713"), ("phone", "(030) 1234 5678")]
+
+
+def test_each_disguise_alone_is_proposed(spark):
+    texts = [(i, f"so {x}, then") for i, (_, x) in enumerate(DISGUISED)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = df.select("doc_id", "text", pii.proposals("text").alias("p")).collect()
+    for row in rows:
+        kind, span = DISGUISED[row["doc_id"]]
+        assert (kind, 3, 3 + len(span)) in {(p["kind"], p["start"], p["end"]) for p in row["p"]}, row
+    plain = [(0, "jo@mail.com 10.0.0.1 1.2.3.4.5 at 12:30:45, std::map 10:20")]
+    df = spark.createDataFrame(plain, "doc_id long, text string")
+    assert df.select(pii.proposals("text").alias("p")).first()["p"] == []
+
+
+def test_announcing_words_are_no_features(spark):
+    df = spark.createDataFrame([(0, "mail jo [at] b.org"), (1, "frog jo [at] b.org")],
+                               "doc_id long, text string")
+    a, b = (r["p"] for r in df.select(pii.proposals("text").alias("p")).collect())
+    assert a == b and len(a) == 1
+
+
 def test_added_spans_keep_base_ones(spark, docs):
     model = pii.train(docs)
     probe = [(9001, "write to jo.doe [at] mail [dot] example [dot] com now"),
