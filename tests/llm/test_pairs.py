@@ -194,3 +194,10 @@ def test_pipeline_odd_rows(spark, odd, empty, tmp_path):
             frame = spark.read.parquet(f"{tmp_path}/{name}{i}")
         if name == "none":
             assert frame.isEmpty()
+
+
+def test_documents_stay_where_no_language_is_known(spark, odd, sf_dir):
+    unlabelled = odd.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.keep_known_languages(spark, unlabelled, sf_dir).collect()
+    expected = [r for r in unlabelled.collect() if r["text"] and any(c.isalpha() for c in r["text"])]
+    assert expected and sorted(map(str, kept)) == sorted(map(str, expected))
