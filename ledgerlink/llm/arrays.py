@@ -2,27 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 from ledgerlink.llm.sketch import mix
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_powers = np.ones(1, dtype=np.uint64)
-_inverse = np.ones(1, dtype=np.uint64)
-_CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+#: Lengths above this, in bytes, are hashed one by one.
+_LONG = 1024
+_MASKS = np.array([2 ** (8 * n) - 1 for n in range(8)] + [2**64 - 1], dtype=np.uint64)
 
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
-    global _powers, _inverse
-    if len(_powers) < n:
-        with np.errstate(over="ignore"):
-            _powers = np.cumprod(np.full(n, _BASE, dtype=np.uint64)) * np.uint64(
-                pow(_BASE, -1, 2**64)
-            )
-            inv = pow(_BASE, -1, 2**64)
-            _inverse = np.cumprod(np.full(n, inv, dtype=np.uint64)) * np.uint64(_BASE)
-    return _powers, _inverse
+def odd_numbers(n: int, seed: int = 1) -> np.ndarray:
+    """``n`` odd 64-bit numbers without relations to each other."""
+    return mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
+               + np.uint64(seed)) | np.uint64(1)
 
 
 def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -31,19 +25,31 @@ def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def run_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of slices of an array of bytes or code points."""
-    if not len(starts):
-        return np.empty(0, dtype=np.uint64)
-    powers, inverse = _tables(len(codes) + 1)
-    if codes.dtype == np.uint8:
-        values = _CODES[codes]
-    else:
-        values = mix(codes.astype(np.uint64) + np.uint64(1))
-    sums = np.zeros(len(codes) + 1, dtype=np.uint64)
-    np.cumsum(values * powers[: len(codes)], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * inverse[starts]
-    return mix(h + (ends - starts).astype(np.uint64))
+def run_hashes(
+    codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1
+) -> np.ndarray:
+    """64-bit hashes of slices of an array of bytes or code points.
+
+    Eight bytes at a time are mixed into all bits of the hash before the next eight, so
+    that no pattern of the characters cancels out.
+    """
+    width = codes.itemsize
+    at, left = starts * width, (ends - starts) * width
+    out = mix(left.astype(np.uint64) + np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64))
+    data = np.concatenate([codes.view(np.uint8), np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,))
+    long = np.flatnonzero(left > _LONG)
+    for i in long.tolist():
+        run = data[at[i] : at[i] + left[i]].tobytes()
+        digest = hashlib.blake2b(run, digest_size=8, salt=seed.to_bytes(8, "little"))
+        out[i] = int.from_bytes(digest.digest(), "little")
+    rows = np.flatnonzero((left > 0) & (left <= _LONG))
+    at, left = at[rows], left[rows]
+    while len(rows):
+        out[rows] = mix(out[rows] ^ (eights[at] & _MASKS[np.minimum(left, 8)]))
+        more = left > 8
+        rows, at, left = rows[more], at[more] + 8, left[more] - 8
+    return out
 
 
 def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -59,11 +65,11 @@ class Words:
     """Words of a batch of UTF-8 texts.
 
     ``inside`` says for each of the 256 bytes whether it belongs to words; the blank must
-    not.  Words of text i are ``first[i]`` to ``first[i + 1]``.
+    not; A-Z count as lower case unless ``lower`` is false.  Words of text i are ``first[i]`` to ``first[i + 1]``.
     """
 
-    def __init__(self, texts: list[bytes], inside: np.ndarray) -> None:
-        self.codes, begin = joined([t.lower() for t in texts])
+    def __init__(self, texts: list[bytes], inside: np.ndarray, lower: bool = True) -> None:
+        self.codes, begin = joined([t.lower() for t in texts] if lower else texts)
         self.starts, self.ends = runs(inside[self.codes])
         self.hashes = run_hashes(self.codes, self.starts, self.ends)
         self.first = np.searchsorted(self.starts, begin)
@@ -78,10 +84,8 @@ class Words:
         if n <= 0:
             return np.empty(0, dtype=np.uint64)
         out = np.full(n, width, dtype=np.uint64)
-        odd = 1
-        for i in range(width):
-            odd = odd * _BASE % 2**64
-            out += self.hashes[i : i + n] * np.uint64(odd)
+        for i, odd in enumerate(odd_numbers(width)):
+            out += self.hashes[i : i + n] * odd
         return mix(out)
 
 
