@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlink.llm import (
+    conversations,
     decontamination,
     embedding_dedup,
     language_id,
@@ -15,6 +16,7 @@ from ledgerlink.llm import (
     pii,
     secret_scan,
     sharding,
+    substring_dedup,
     toxicity,
 )
 from ledgerlink.llm.support import Scratch
@@ -147,6 +149,29 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    found = conversations.summaries(conversations.damaged(turns))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    # Conversations of which the damage left nothing are in the result too.
+    return turns.select("conv_id").distinct().join(
+        found, F.col("conv_id").eqNullSafe(F.col("conv")), "left"
+    ).select(
+        "conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256))
+        .alias("repaired_sha256"),
+    )
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs).select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed",
+        F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_line_dedup": op2_line_dedup,
@@ -158,4 +183,6 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op13_substring_dedup": op13_substring_dedup,
 }
