@@ -13,6 +13,7 @@ from ledgerlink.llm import (
     line_dedup,
     near_dedup,
     packing,
+    phrases,
     pii,
     secret_scan,
     sharding,
@@ -164,6 +165,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.remove_repeats(docs).select(
@@ -184,5 +189,6 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_decontamination": op10_decontamination,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_phrases": op12_phrases,
     "op13_substring_dedup": op13_substring_dedup,
 }

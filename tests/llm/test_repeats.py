@@ -95,11 +95,11 @@ def test_estimates_are_never_too_small():
     for bits in (3, 8, 16):
         windows = substring_dedup.Windows(texts, 20, 10)
         places = windows.anchor_places()
-        shared = []
+        shared = b""
         for row in range(substring_dedup.ROWS):
             n = np.bincount(substring_dedup.counters(places, row, bits), minlength=2**bits)
-            shared.append([(0, np.packbits(n > 1, bitorder="little").tobytes())])
-        hot = windows.repeated(substring_dedup.Hot(shared, bits, bits))
+            shared += np.packbits(n > 1, bitorder="little").tobytes()
+        hot = windows.repeated(substring_dedup.Hot(shared, bits))
         a, _ = windows.hashes(np.arange(len(windows.starts)))
         _, back, count = np.unique(a, return_inverse=True, return_counts=True)
         assert hot[count[back] > 1].all()
@@ -136,3 +136,104 @@ def test_rows_off_the_bitmap_are_not_listed(spark):
         got, off = ({r["id"] for r in part.collect()} for part in (hits, rest))
         assert got | off == set(range(5000)) and not got & off
         assert set(range(0, 5000, 7)) <= got and len(got) < 900
+
+
+def _pieces(text):
+    import re
+
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [[w for w in re.split(r"[\x20\x09]+", p) if w]
+            for p in re.split(r"[.,;:!?\x0a-\x0d]", lowered)]
+
+
+def brute_phrases(rows, least, depth=4, top=2000, covered=80):
+    out = []
+    for lang in sorted({r[0] or "und" for r in rows}):
+        f, n = {}, 0
+        for of, text in rows:
+            if (of or "und") != lang:
+                continue
+            for w in _pieces(text):
+                n += len(w)
+                for k in range(1, depth + 1):
+                    for i in range(len(w) - k + 1):
+                        key = tuple(w[i : i + k])
+                        f[key] = f.get(key, 0) + 1
+        some = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        kept = []
+        for p, a in some.items():
+            if any(len(q) > len(p) and 100 * b >= covered * a
+                   and any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1))
+                   for q, b in some.items()):
+                continue
+            score, _, left, right = min(
+                (2_000_000 * a // (f[p[:k]] + f[p[k:]]), k, f[p[:k]], f[p[k:]])
+                for k in range(1, len(p)))
+            kept.append((-score, -a, " ".join(p).encode(), left, right))
+        for rank, (score, a, p, left, right) in enumerate(sorted(kept)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, n, -score))
+    return out
+
+
+def _prose(rng, n):
+    names = ["new york", "New York City", "a b c d", "of the", "é ü ß"]
+    rows = []
+    for _ in range(n):
+        parts = []
+        for _ in range(rng.randint(0, 12)):
+            parts.append(rng.choice(names) if rng.random() < 0.5
+                         else " ".join(rng.choices("abcdefgh", k=rng.randint(1, 6))))
+            parts.append(rng.choice([" ", "  ", "\t", ". ", ",", "\n", "!?"]))
+        rows.append((rng.choice(["en", "en", "de", None, "und"]), "".join(parts)))
+    return [*rows, ("en", None), ("fr", ""), ("en", "same " * 50), ("de", "..,;")]
+
+
+@pytest.mark.parametrize("shard_bytes", [1, 300, 8_000_000])
+def test_phrases_equal_brute_force(spark, shard_bytes):
+    from ledgerlink.llm import phrases
+
+    rows = _prose(random.Random(shard_bytes), 120)
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    df = df.withColumns({c: F.lit(1) for c in ("phrase", "words", "shard", "n")})
+    found = phrases.collocations(df, least=5, shard_bytes=shard_bytes).collect()
+    expected = brute_phrases(rows, 5)
+    assert len(expected) > 60
+    assert sorted(tuple(r) for r in found) == expected
+    few = phrases.collocations(df, least=5, top=3, covered=50).collect()
+    assert sorted(tuple(r) for r in few) == brute_phrases(rows, 5, top=3, covered=50)
+
+
+def test_intervals_count_every_run():
+    """Left and right extensions agree with the runs counted one by one."""
+    from ledgerlink.llm import phrases
+
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("abc", k=rng.randint(0, 30))) + rng.choice([".", " ", ", d"])
+             for _ in range(40)]
+    shard = phrases.Shard([t.encode() for t in texts])
+    index = phrases.Index.of(shard)
+    expected = {}
+    for t in texts:
+        for w in _pieces(t):
+            for k in range(1, 5):
+                for i in range(len(w) - k + 1):
+                    expected[tuple(w[i : i + k])] = expected.get(tuple(w[i : i + k]), 0) + 1
+    for order in ((False, True, False), (True, True, True), (False, False, False), (True, False, True)):
+        runs, got = index.words(), {}
+        for left in (None, *order):
+            runs = runs if left is None else index.extended(runs, left)
+            for spelt, n in zip(runs.spelt.tolist(), runs.size.tolist(), strict=True):
+                got[tuple(shard.vocabulary[w - 1] for w in spelt)] = n
+        assert got == expected
+
+
+def test_phrases_of_odd_tables(spark, odd, empty):
+    from ledgerlink.llm import phrases
+
+    assert phrases.collocations(empty).collect() == []
+    rows = [(r["lang"], r["text"]) for r in odd.collect()]
+    found = phrases.collocations(odd, least=2, top=50).collect()
+    expected = brute_phrases([r for r in rows if len(r[1] or "") < 1000], 2)
+    assert {tuple(r)[2] for r in found if r["lang"] == "und"} == {
+        e[2] for e in expected if e[0] == "und"}
+    assert max(r["rank"] for r in found) <= 50
