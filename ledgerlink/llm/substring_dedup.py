@@ -40,7 +40,7 @@ WINDOW, ANCHOR = 20, 10
 COUNTER_BITS, ROWS = 28, 2
 _BLOCK_BITS = 20
 #: Places that a task gathers before it gives out their counts.
-_GATHERED = 4_000_000
+_GATHERED = 1_000_000
 _OUT_ROWS = 65_536
 
 
@@ -96,16 +96,11 @@ def counters(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
 
 
 class Hot:
-    """The bits of a merged sketch: which counters are above one."""
+    """The bits of a merged sketch, row by row: which counters are above one."""
 
-    def __init__(self, shared, bits: int, block_bits: int) -> None:
-        self.bits, self.rows = bits, []
-        for blocks in shared:
-            row = np.zeros(1 << max(0, bits - 3), dtype=np.uint8)
-            for block, hot in blocks:
-                at = block << block_bits - 3
-                row[at : at + len(hot)] = np.frombuffer(hot, np.uint8)
-            self.rows.append(row)
+    def __init__(self, packed_bits: bytes, bits: int) -> None:
+        self.bits = bits
+        self.rows = np.frombuffer(packed_bits, dtype=np.uint8).reshape(ROWS, -1)
 
     def holds(self, hashes: np.ndarray) -> np.ndarray:
         out = np.ones(len(hashes), dtype=bool)
@@ -115,22 +110,6 @@ class Hot:
         return out
 
 
-_HOT: dict[str, Hot] = {}
-
-
-class Shared:
-    """The merged sketch, as tasks get it; its arrays are built once a worker."""
-
-    def __init__(self, key: str, shared, bits: int, block_bits: int) -> None:
-        self.key, self.shared, self.bits, self.block_bits = key, shared, bits, block_bits
-
-    def hot(self) -> Hot:
-        if self.key not in _HOT:
-            _HOT.clear()
-            _HOT[self.key] = Hot(self.shared.value, self.bits, self.block_bits)
-        return _HOT[self.key]
-
-
 def _counted(hashes: np.ndarray, bits: int, block_bits: int) -> pa.RecordBatch:
     """Sketch of some places: of each block the counters hit, and those hit repeatedly."""
     out = []
@@ -214,12 +193,12 @@ def _blocks(done: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _candidate_task(shared: Shared, window: int, anchor: int):
+def _candidate_task(shared, bits: int, window: int, anchor: int):
     """Tasks that give out the windows that may repeat, and, at place -1 and under a hash
     of its own, each document that has any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot = shared.hot()
+        hot = Hot(shared.value, bits)
         for batch in batches:
             for part in slices(batch, 2):
                 found = Windows(utf8(part.column(2)), window, anchor)
@@ -247,7 +226,7 @@ def _candidate_task(shared: Shared, window: int, anchor: int):
     return run
 
 
-def _cut_task(shared: Shared, window: int, anchor: int):
+def _cut_task(shared, bits: int, window: int, anchor: int):
     """Tasks that take the windows out that may repeat and are not the first of theirs;
     ``_firsts`` lists those that are, and is null where no window may repeat."""
 
@@ -264,7 +243,7 @@ def _cut_task(shared: Shared, window: int, anchor: int):
                     covered = _covered(
                         [texts[i] for i in listed],
                         [firsts[i].values.to_numpy(zero_copy_only=False) for i in listed],
-                        shared.hot(), window, anchor,
+                        Hot(shared.value, bits), window, anchor,
                     )
                     covered = {listed[i]: c for i, c in covered.items()}
                 kept, removed = [], np.zeros(len(texts), dtype=np.int64)
@@ -342,11 +321,14 @@ def remove_repeats(
         .repartition("row", "block").sortWithinPartitions("row", "block")
         .mapInArrow(_merge_task(block_bits), "row int, block int, hot binary").collect()
     )
-    hot = [[(b["block"], bytes(b["hot"])) for b in blocks if b["row"] == i] for i in range(ROWS)]
-    shared = Shared(scratch.root, spark.sparkContext.broadcast(hot), counter_bits, block_bits)
+    hot = bytearray(ROWS << max(0, counter_bits - 3))
+    for found in blocks:
+        at = (found["row"] << counter_bits) + (found["block"] << block_bits) >> 3
+        hot[at : at + len(found["hot"])] = found["hot"]
+    shared = spark.sparkContext.broadcast(bytes(hot))
     rows = packed(docs, text_col)
     firsts = (
-        slim.mapInArrow(_candidate_task(shared, window, anchor),
+        slim.mapInArrow(_candidate_task(shared, counter_bits, window, anchor),
                         wider(slim.select("id", "version"), "a long, b long, place long"))
         .groupBy("a", "b")
         .agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "version", "place"))
@@ -365,6 +347,6 @@ def remove_repeats(
     ).select("_row", "_text", "_firsts")
     none = others.select("_row", "_text", F.lit(None).cast("array<long>").alias("_firsts"))
     more = wider(rows.select("_row"), "n_words long, n_removed long, kept string")
-    found = listed.unionByName(none).mapInArrow(_cut_task(shared, window, anchor), more)
+    found = listed.unionByName(none).mapInArrow(_cut_task(shared, counter_bits, window, anchor), more)
     columns = unpacked(docs.columns, text_col, "kept")
     return found.select(F.struct(*columns).alias("row"), "n_words", "n_removed", "kept")
