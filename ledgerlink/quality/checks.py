@@ -1,14 +1,18 @@
-"""The checks of every stage, as one frame per stage: a row per check."""
+"""The checks of every stage: a row per check, from as few measurements as there are.
+
+A measurement is a one-row frame that may serve several checks, of several stages; the
+tables by product are measured once for all of them.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlink import fixed_values as fv
-from ledgerlink.config import Expected
+from ledgerlink.config import Expected, Value, value
 from ledgerlink.functions.numbers import exact_text, same_cents
 from ledgerlink.operators.reconcile import revenue_of
 from ledgerlink.quality import measures as m
@@ -28,31 +32,35 @@ def _check(
     actual: Column | None = None,
     expected: Column | None = None,
     amount: Column | None = None,
+    target: Column | None = None,
 ) -> Column:
     def number(c: Column | None) -> Column:
         return (F.lit(None) if c is None else c).cast("bigint")
 
-    money = F.lit(None) if amount is None else exact_text(amount)
+    def text(c: Column | None) -> Column:
+        return (F.lit(None) if c is None else c).cast("string")
+
     return F.struct(
         F.lit(name).alias("check_name"),
         F.lit(kind).alias("kind"),
         F.lit(metric).cast("string").alias("metric"),
         number(actual).alias("actual"),
         number(expected).alias("expected"),
-        money.cast("string").alias("amount"),
+        text(None if amount is None else exact_text(amount)).alias("amount"),
+        text(target).alias("expected_amount"),
         F.coalesce(passed, F.lit(False)).alias("passed"),
     )
 
 
-def row_count(name: str, expected: int | None, column: str = "rows") -> Column:
-    actual, target = F.col(column), F.lit(expected).cast("bigint")
+def row_count(name: str, expected: Value, column: str = "rows") -> Column:
+    actual, target = F.col(column), value(expected).cast("bigint")
     return _check(
         f"{name}_matches_expected", ROWS, actual == target, name, actual, target
     )
 
 
-def class_count(name: str, metric: str, expected: int | None) -> Column:
-    actual, target = F.col(metric), F.lit(expected).cast("bigint")
+def class_count(name: str, metric: str, expected: Value) -> Column:
+    actual, target = F.col(metric), value(expected).cast("bigint")
     return _check(name, CLASS, actual == target, metric, actual, target)
 
 
@@ -69,15 +77,17 @@ def flag(name: str, passed: Column) -> Column:
 def money(
     name: str, metric: str | None, amount: Column, other: Column
 ) -> Column:
-    return _check(name, MONEY, same_cents(amount, other), metric, amount=amount)
+    return _check(
+        name, MONEY, same_cents(amount, other), metric, amount=amount,
+        target=None if metric is None else other,
+    )
 
 
-def _rows(measured: DataFrame, *checks: Column) -> DataFrame:
-    """Turn a one-row measurement into one row per check."""
-    return measured.select(F.inline(F.array(*checks)))
+#: A measurement and what is checked with it.
+Measured = tuple[DataFrame, Sequence[Column]]
 
 
-def cleaning_checks(tables: Tables, expected: Expected) -> DataFrame:
+def cleaning_checks(tables: Tables, expected: Expected) -> list[Measured]:
     """Row counts, required fields and unique keys of the cleaned tables."""
     invalid = {
         "erp": m.invalid_product(),
@@ -91,159 +101,89 @@ def cleaning_checks(tables: Tables, expected: Expected) -> DataFrame:
     def unique(table: str, key: str) -> Column:
         return zero(f"{table}_{key}_duplicates", "repeated")
 
-    return union_all(
-        (
-            _rows(
-                m.keyed_profile(tables["erp_clean"], "product_id", invalid["erp"]),
-                row_count("erp_after_deduplication", expected.erp_rows),
-                fields("erp_clean"),
-                unique("erp_clean", "product_id"),
-            ),
-            _rows(
-                m.keyed_profile(
-                    tables["liaison_clean"], "product_id", invalid["liaison"]
-                ),
-                row_count("liaison_after_deduplication", expected.liaison_rows),
-                fields("liaison_clean"),
-                unique("liaison_clean", "product_id"),
-            ),
-            _rows(
-                m.repeated_keys(tables["liaison_clean"], "id_web"),
-                unique("liaison_clean", "id_web"),
-            ),
-            _rows(
-                m.keyed_profile(tables["web_clean"], "sku", invalid["web"]),
-                row_count("web_after_deduplication", expected.web_rows),
-                fields("web_clean"),
-                unique("web_clean", "sku"),
-            ),
-            _rows(
-                m.table_profile(tables["web_not_null"], invalid["web"]),
-                row_count("web_after_cleaning", expected.web_cleaned_rows),
-                fields("web_not_null"),
-            ),
-            _rows(
-                m.table_profile(tables["erp_not_null"], invalid["erp"]),
-                fields("erp_not_null"),
-            ),
-            _rows(
-                m.table_profile(tables["liaison_valid"], invalid["liaison"]),
-                fields("liaison_valid"),
-            ),
-        )
-    )
-
-
-def merge_checks(tables: Tables, expected: Expected) -> DataFrame:
-    """Row count, unique keys and required fields of the merged table."""
-    merged = tables["merged_wines"]
-    return union_all(
-        (
-            _rows(
-                m.keyed_profile(merged, "product_id", m.invalid_merged()),
-                row_count("merged_count", expected.merged_rows),
-                zero("merged_product_id_duplicates", "repeated"),
-                zero("merged_invalid_required_fields", "invalid"),
-            ),
-            _rows(
-                m.repeated_keys(merged, "id_web"),
-                zero("merged_id_web_duplicates", "repeated"),
-            ),
-        )
-    )
-
-
-def revenue_checks(tables: Tables, expected: Expected) -> DataFrame:
-    """Revenue follows from the merged table, adds up, and is the stated total."""
-    merged, detail = tables["merged_wines"], tables["revenue_by_product"]
-    reference = F.lit(expected.total_revenue).cast("decimal(38,2)")
+    def cleaned(name: str, key: str, rows: Value) -> Measured:
+        profile = m.keyed_profile(tables[f"{name}_clean"], key, invalid[name])
+        return profile, [
+            row_count(f"{name}_after_deduplication", rows),
+            fields(f"{name}_clean"), unique(f"{name}_clean", key),
+        ]
+
+    def filtered(name: str, table: str, *checks: Column) -> Measured:
+        return m.table_profile(tables[table], invalid[name]), [*checks, fields(table)]
+
+    return [
+        cleaned("erp", "product_id", expected.erp_rows),
+        cleaned("liaison", "product_id", expected.liaison_rows),
+        (m.repeated_keys(tables["liaison_clean"], "id_web"), [unique("liaison_clean", "id_web")]),
+        cleaned("web", "sku", expected.web_rows),
+        filtered("web", "web_not_null",
+                 row_count("web_after_cleaning", expected.web_cleaned_rows)),
+        filtered("erp", "erp_not_null"),
+        filtered("liaison", "liaison_valid"),
+    ]
+
+
+def merge_checks(expected: Expected) -> list[Column]:
+    """Row count, unique products and required fields of the merged table."""
+    return [
+        row_count("merged_count", expected.merged_rows, "merged_rows"),
+        zero("merged_product_id_duplicates", "merged_repeated"),
+        zero("merged_invalid_required_fields", "merged_invalid"),
+    ]
+
+
+def revenue_checks(expected: Expected) -> list[Column]:
+    """Revenue follows from the merged table."""
+    return [
+        row_count("revenue_product_count", expected.merged_rows, "detail_rows"),
+        zero("revenue_product_id_duplicates", "detail_repeated"),
+        zero("revenue_detail_mismatches", "revenue_mismatches", "revenue_detail_mismatches"),
+    ]
+
+
+def total_checks(expected: Expected) -> list[Column]:
+    """Revenue adds up, and is the stated total."""
+    reference = value(expected.total_revenue).cast("decimal(38,2)")
     stated, added = F.col("total_revenue"), F.col("detail_revenue")
     counts_agree = (
         F.col("product_count").eqNullSafe(F.col("source_products"))
         & F.col("bottles_sold").eqNullSafe(F.col("source_units"))
         & (F.col("summary_rows") == 1)
     )
-    return union_all(
-        (
-            _rows(
-                m.keyed_profile(detail, "product_id", null_is_key=True),
-                row_count("revenue_product_count", expected.merged_rows),
-                zero("revenue_product_id_duplicates", "repeated"),
-            ),
-            _rows(
-                m.revenue_mismatches(merged, detail, revenue_of()),
-                zero("revenue_detail_mismatches", "mismatches"),
-            ),
-            _rows(
-                m.revenue_totals(merged, detail, tables["revenue_summary"]),
-                flag("revenue_summary_has_one_row", F.col("summary_rows") == 1),
-                money("revenue_reconciles", None, added, stated),
-                money(
-                    "revenue_detail_matches_reference",
-                    "detail_total_revenue", added, reference,
-                ),
-                money(
-                    "revenue_summary_matches_reference",
-                    "total_revenue", stated, reference,
-                ),
-                flag("revenue_summary_counts_match", counts_agree),
-            ),
-        )
-    )
+    return [
+        flag("revenue_summary_has_one_row", F.col("summary_rows") == 1),
+        money("revenue_reconciles", None, added, stated),
+        money("revenue_detail_matches_reference", "detail_total_revenue", added, reference),
+        money("revenue_summary_matches_reference", "total_revenue", stated, reference),
+        flag("revenue_summary_counts_match", counts_agree),
+    ]
 
 
-def segmentation_checks(tables: Tables, expected: Expected) -> DataFrame:
+def segmentation_checks(expected: Expected) -> list[Column]:
     """Class sizes, labels, source rows and recomputed scores of the segments."""
-    detail, segments = tables["revenue_by_product"], tables["wine_segmentation"]
-    classes = {
-        "premium_count": F.col("category") == fv.PREMIUM,
-        "ordinary_count": F.col("category") == fv.ORDINARY,
-    }
     valid = F.col("valid")
-    return union_all(
-        (
-            _rows(
-                m.keyed_profile(
-                    segments, "product_id", m.invalid_label(), True, classes
-                ),
-                row_count("segmentation_count", expected.merged_rows),
-                class_count(
-                    "premium_count_matches_reference",
-                    "premium_count", expected.premium_rows,
-                ),
-                class_count(
-                    "ordinary_count_matches_reference",
-                    "ordinary_count", expected.ordinary_rows,
-                ),
-                zero("segmentation_product_id_duplicates", "repeated"),
-                zero("segmentation_invalid_classification", "invalid"),
-            ),
-            _rows(
-                m.segment_mismatches(detail, segments),
-                zero("segmentation_source_mismatches", "mismatches"),
-            ),
-            _rows(
-                m.wrong_z_scores(segments, detail),
-                flag("zscore_statistics_valid", valid),
-                _check(
-                    "zscore_calculation_is_correct",
-                    ZERO,
-                    valid & (F.col("wrong") == 0),
-                    "incorrect_zscores",
-                    F.when(valid, F.col("wrong")),
-                    F.lit(0),
-                ),
-            ),
-        )
-    )
-
-
-_BY_STAGE = {
-    "cleaning": cleaning_checks,
-    "merge": merge_checks,
-    "revenue": revenue_checks,
-    "segmentation": segmentation_checks,
-}
+    return [
+        row_count("segmentation_count", expected.merged_rows, "segments_rows"),
+        class_count(
+            "premium_count_matches_reference", "premium_count", expected.premium_rows
+        ),
+        class_count(
+            "ordinary_count_matches_reference", "ordinary_count", expected.ordinary_rows
+        ),
+        zero("segmentation_product_id_duplicates", "segments_repeated"),
+        zero("segmentation_invalid_classification", "segments_invalid"),
+        zero("segmentation_source_mismatches", "segment_mismatches",
+             "segmentation_source_mismatches"),
+        flag("zscore_statistics_valid", valid),
+        _check(
+            "zscore_calculation_is_correct",
+            ZERO,
+            valid & (F.col("wrong") == 0),
+            "incorrect_zscores",
+            F.when(valid, F.col("wrong")),
+            F.lit(0),
+        ),
+    ]
 
 
 def stages_of(stage: str) -> tuple[str, ...]:
@@ -255,9 +195,45 @@ def stages_of(stage: str) -> tuple[str, ...]:
     return (stage,)
 
 
+def _of(stage: str, checks: Sequence[Column]) -> list[Column]:
+    return [F.struct(F.lit(stage).alias("stage"), check.alias("of")) for check in checks]
+
+
 def check_frame(tables: Tables, stage: str, expected: Expected) -> DataFrame:
-    """All checks of a stage, or of every stage: about one short row per check."""
+    """All checks of a stage, or of every stage: about one short row per check.
+
+    Building the frame starts no job.
+    """
+    stages = stages_of(stage)
+    measured: list[Measured] = []
+    if "cleaning" in stages:
+        measured += [(df, _of("cleaning", c)) for df, c in cleaning_checks(tables, expected)]
+    by_product: list[Column] = []
+    needed: set[str] = set()
+    for name, checks, sides in (
+        ("merge", merge_checks, ("merged",)),
+        ("revenue", revenue_checks, ("merged", "detail")),
+        ("segmentation", segmentation_checks, ("detail", "segments")),
+    ):
+        if name in stages:
+            by_product += _of(name, checks(expected))
+            needed.update(sides)
+    if by_product:
+        sides = {side: tables[_PRODUCT_TABLES[side]] for side in needed}
+        measured.append((m.product_profile(revenue_of(), **sides), by_product))
+    if "merge" in stages:
+        repeated = m.repeated_keys(tables["merged_wines"], "id_web")
+        measured.append((repeated, _of("merge", [zero("merged_id_web_duplicates", "repeated")])))
+    if "revenue" in stages:
+        totals = m.revenue_totals(
+            tables["merged_wines"], tables["revenue_by_product"], tables["revenue_summary"]
+        )
+        measured.append((totals, _of("revenue", total_checks(expected))))
     return union_all(
-        _BY_STAGE[name](tables, expected).select(F.lit(name).alias("stage"), "*")
-        for name in stages_of(stage)
+        df.select(F.inline(F.array(*checks))).select("stage", "of.*") for df, checks in measured
     )
+
+
+_PRODUCT_TABLES = {
+    "merged": "merged_wines", "detail": "revenue_by_product", "segments": "wine_segmentation",
+}

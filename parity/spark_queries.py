@@ -18,6 +18,7 @@ from ledgerlink.functions.numbers import (
 )
 from ledgerlink.functions.text import normalize_identifiers
 from ledgerlink.operators import clean, dedup, faults, reconcile, report, segment
+from ledgerlink.operators.faults import Change
 from ledgerlink.quality import measures as m
 from ledgerlink.quality.checks import check_frame
 from ledgerlink.plans import run as plans
@@ -38,7 +39,7 @@ from ledgerlink.sources.store import (
     unregister,
 )
 from parity import raw_tables
-from parity.raw_tables import expected_for, table
+from parity.raw_tables import expected_for, expected_values, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -180,8 +181,8 @@ def staging_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def revenue_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Tables(spark, sf_dir).store("merged_wines")
-    expected = F.lit(expected_for(spark, sf_dir).total_revenue).cast("decimal(38,2)")
+    t = Tables(spark, sf_dir)
+    expected = expected_for(spark, sf_dir).total_revenue
     totals = m.revenue_totals(t.merged_wines, t.revenue_by_product, t.revenue_summary)
     stated, added = to_cents(F.col("total_revenue")), to_cents(F.col("detail_revenue"))
 
@@ -244,9 +245,7 @@ def revenue_report_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Tables(spark, sf_dir).store(
-        ("web_not_null", "erp_clean", "liaison_clean"), "web_clean"
-    )
+    t = Tables(spark, sf_dir)
     expected = expected_for(spark, sf_dir)
     counted = (
         ("erp_after_deduplication", t.erp_clean, expected.erp_rows),
@@ -259,8 +258,8 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         df.agg(F.count(F.lit(1)).alias("actual")).select(
             F.lit(name).alias("name"),
             "actual",
-            F.lit(target).cast("bigint").alias("expected"),
-            F.coalesce(F.col("actual") == F.lit(target), F.lit(False)).alias("passed"),
+            target.cast("bigint").alias("expected"),
+            F.coalesce(F.col("actual") == target, F.lit(False)).alias("passed"),
         )
         for name, df, target in counted
     )
@@ -293,27 +292,20 @@ def required_field_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merged_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invalid rows of the merged table, as it is and after three faults."""
-    merged = Tables(spark, sf_dir).store("merged_wines").merged_wines
-    premium_free = F.col("price") > 5000
-    frames = (
-        ("as_built", merged),
-        ("price_lost", faults.update_where(merged, "price", F.lit(None), premium_free)),
-        (
-            "price_not_finite",
-            faults.update_where(merged, "price", F.lit(float("nan")), premium_free),
-        ),
-        (
-            "keys_differ",
-            faults.update_where(
-                merged, "sku", F.concat("sku", F.lit("?")), F.col("onsale_web") == 1
+    dear = F.col("price") > 5000
+    changed = faults.variants(
+        Tables(spark, sf_dir).merged_wines,
+        {
+            "as_built": Change(),
+            "price_lost": Change({"price": F.lit(None)}, dear),
+            "price_not_finite": Change({"price": F.lit(float("nan"))}, dear),
+            "keys_differ": Change(
+                {"sku": F.concat("sku", F.lit("?"))}, F.col("onsale_web") == 1
             ),
-        ),
+        },
     )
-    return union_all(
-        m.table_profile(df, m.invalid_merged()).select(
-            F.lit(name).alias("variant"), F.col("rows").alias("n_rows"), "invalid"
-        )
-        for name, df in frames
+    return m.table_profile(changed, m.invalid_merged(), by=["variant"]).withColumnRenamed(
+        "rows", "n_rows"
     )
 
 
@@ -342,124 +334,84 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def revenue_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the revenue table that do not follow from the merged one."""
-    t = Tables(spark, sf_dir).store("merged_wines", "revenue_by_product")
-    detail = t.revenue_by_product
-    doubled = detail.unionByName(detail.where(F.col("price") > 5000))
-    frames = (
-        ("as_built", t.merged_wines, detail),
-        ("row_lost", t.merged_wines, faults.drop_smallest(detail, "product_id")),
-        ("row_added", faults.drop_smallest(t.merged_wines, "product_id"), detail),
-        (
-            "revenue_off",
-            t.merged_wines,
-            faults.update_where(
-                detail, "revenue", F.col("revenue") + 1, F.col("price") > 5000
-            ),
-        ),
-        (
-            "revenue_lost",
-            t.merged_wines,
-            faults.update_where(detail, "revenue", F.lit(None), F.col("price") > 5000),
-        ),
-        (
-            "repeated_and_off",
-            t.merged_wines,
-            faults.update_where(
-                doubled, "total_sales", F.lit(0), F.col("price") > 5700
-            ),
+    t = Tables(spark, sf_dir).store("merged_wines")
+    key, dear = F.col("product_id"), F.col("price") > 5000
+    columns = ("product_id", "id_web", "price", "total_sales")
+    merged = t.merged_wines.select(*columns)
+    detail = t.revenue_by_product.select(*columns, "revenue")
+    first = key == faults.smallest_key(merged, "product_id")
+    changes = {
+        "as_built": Change(),
+        "row_lost": Change(drop=first),
+        "row_added": Change(),
+        "revenue_off": Change({"revenue": F.col("revenue") + 1}, dear),
+        "revenue_lost": Change({"revenue": F.lit(None)}, dear),
+        "repeated_and_off": Change(
+            {"total_sales": F.lit(0)}, F.col("price") > 5700, repeat=dear
         ),
-    )
-    return union_all(
-        m.revenue_mismatches(left, right, reconcile.revenue_of()).select(
-            F.lit(name).alias("variant"), "mismatches"
-        )
-        for name, left, right in frames
+    }
+    sources = {name: Change(drop=first if name == "row_added" else None) for name in changes}
+    return m.revenue_mismatches(
+        faults.variants(merged, sources), faults.variants(detail, changes),
+        reconcile.revenue_of(), by=["variant"],
     )
 
 
 def segment_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the segmentation that do not follow from the revenue table."""
     t = _with_revenue(spark, sf_dir)
-    detail, segments = t.revenue_by_product, t.wine_segmentation
-    frames = (
-        ("as_built", detail, segments),
-        ("row_lost", detail, faults.drop_k_smallest(segments, "product_id", 14)),
-        (
-            "price_lost",
-            detail,
-            faults.update_where(
-                segments, "price", F.lit(None), F.col("category") == fv.PREMIUM
-            ),
-        ),
-        (
-            "key_changed",
-            detail,
-            faults.update_where(
-                segments, "id_web", F.lit("sku-0"), F.col("category") == fv.PREMIUM
-            ),
-        ),
-    )
-    return union_all(
-        m.segment_mismatches(left, right).select(
-            F.lit(name).alias("variant"), "mismatches"
-        )
-        for name, left, right in frames
+    detail = t.revenue_by_product.select("product_id", "id_web", "price")
+    segments = t.wine_segmentation.select("product_id", "id_web", "price", "category")
+    premium = F.col("category") == fv.PREMIUM
+    changes = {
+        "as_built": Change(),
+        "row_lost": Change(drop=faults.among_smallest(detail, "product_id", 14)),
+        "price_lost": Change({"price": F.lit(None)}, premium),
+        "key_changed": Change({"id_web": F.lit("sku-0")}, premium),
+    }
+    return m.segment_mismatches(
+        faults.in_each(detail, list(changes)), faults.variants(segments, changes), by=["variant"]
     )
 
 
 def label_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose label contradicts the score, as built and after faults."""
-    segments = _with_revenue(spark, sf_dir).store("wine_segmentation").wine_segmentation
+    t = _with_revenue(spark, sf_dir)
+    segments = t.wine_segmentation.select("product_id", "z_score", "category")
+    premium = F.col("category") == fv.PREMIUM
     flip = ("product_id", "category", fv.PREMIUM, fv.ORDINARY)
-    frames = (
-        ("as_built", segments),
-        ("one_flipped", faults.relabel_first(segments, *flip)),
-        ("two_swapped", faults.swap_first_labels(segments, *flip)),
-        (
-            "unknown_label",
-            faults.update_where(
-                segments, "category", F.lit("luxe"), F.col("category") == fv.PREMIUM
-            ),
-        ),
-        (
-            "score_lost",
-            faults.update_where(
-                segments, "z_score", F.lit(None), F.col("category") == fv.PREMIUM
-            ),
+    changes = {
+        "as_built": Change(),
+        "one_flipped": Change(
+            {"category": F.lit(fv.ORDINARY)}, faults.is_first(segments, "product_id", premium)
         ),
+        "two_swapped": Change({"category": faults.swapped_labels(segments, *flip)}),
+        "unknown_label": Change({"category": F.lit("luxe")}, premium),
+        "score_lost": Change({"z_score": F.lit(None)}, premium),
+    }
+    profile = m.table_profile(
+        faults.variants(segments, changes), m.invalid_label(), by=["variant"]
     )
-    return union_all(
-        m.table_profile(df, m.invalid_label()).select(
-            F.lit(name).alias("variant"), F.col("rows").alias("n_rows"), "invalid"
-        )
-        for name, df in frames
-    )
+    return profile.withColumnRenamed("rows", "n_rows")
 
 
 def zscore_recheck(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored scores that are not the recomputed ones, as built and after faults."""
-    t = _with_revenue(spark, sf_dir).store("wine_segmentation")
-    detail, segments = t.revenue_by_product, t.wine_segmentation
+    t = _with_revenue(spark, sf_dir)
+    detail = t.revenue_by_product.select("product_id", "price")
+    segments = t.wine_segmentation.select("product_id", "z_score", "category")
     premium = F.col("category") == fv.PREMIUM
-    frames = (
-        ("as_built", segments),
-        (
-            "score_off",
-            faults.update_where(segments, "z_score", F.col("z_score") + 1e-6, premium),
-        ),
-        (
-            "score_within_tolerance",
-            faults.update_where(segments, "z_score", F.col("z_score") + 1e-11, premium),
-        ),
-        ("score_lost", faults.update_where(segments, "z_score", F.lit(None), premium)),
-        ("repeated", segments.unionByName(segments.where(premium))),
-    )
-    return union_all(
-        m.wrong_z_scores(df, detail).select(
-            F.lit(name).alias("variant"), F.col("wrong").alias("incorrect"), "valid"
-        )
-        for name, df in frames
-    )
+    changes = {
+        "as_built": Change(),
+        "score_off": Change({"z_score": F.col("z_score") + 1e-6}, premium),
+        "score_within_tolerance": Change({"z_score": F.col("z_score") + 1e-11}, premium),
+        "score_lost": Change({"z_score": F.lit(None)}, premium),
+        "repeated": Change(repeat=premium),
+    }
+    return m.wrong_z_scores(
+        faults.variants(segments, changes), faults.in_each(detail, list(changes)),
+        by=["variant"], known=detail,
+    ).withColumnRenamed("wrong", "incorrect")
 
 
 _CHECK_COLUMNS = ("stage", "check_name", "actual", "expected", "passed")
@@ -642,7 +594,7 @@ def run_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, df in raw.items():
         df.write.parquet(f"{folder}/{name}")
     sources = [SourceSpec(name, f"{folder}/{name}") for name in raw]
-    plans.run(spark, sources, f"{folder}/out", expected_for(spark, sf_dir), "parity_run")
+    plans.run(spark, sources, f"{folder}/out", expected_values(spark, sf_dir), "parity_run")
     store = TableStore(spark, f"{folder}/out/tables", "parity_run")
     return _rounded_segments(store.load("wine_segmentation"))
 

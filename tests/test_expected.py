@@ -9,12 +9,12 @@ from ledgerlink.operators import faults
 from ledgerlink.operators.segment import sorted_segment_list
 from ledgerlink.quality import measures
 from ledgerlink.quality.checks import check_frame
-from parity.raw_tables import expected_for
+from parity.raw_tables import expected_for, expected_values
 from parity.spark_queries import Tables
 
 
 def test_known_sizes(spark, sf_dir):
-    found = expected_for(spark, sf_dir)
+    found = expected_values(spark, sf_dir)
     assert (found.erp_rows, found.liaison_rows, found.web_cleaned_rows) == (192, 193, 395)
     assert (found.web_rows, found.merged_rows, found.premium_rows) == (200, 174, 7)
     assert str(found.total_revenue) == "141101332.80"
@@ -84,3 +84,88 @@ def test_building_the_score_check_starts_no_job(spark, sf_dir):
     measures.wrong_z_scores(t.wine_segmentation, t.revenue_by_product)
     assert tracker.getJobIdsForGroup("building") == []
     spark.sparkContext.setJobGroup("other", "")
+
+
+def test_building_the_checks_starts_no_job(spark, sf_dir):
+    """Expected values are found out by the plan that compares with them."""
+    t = Tables(spark, sf_dir).store("merged_wines", "revenue_by_product", "wine_segmentation")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("checks", "the frame")
+    check_frame(t, "all", expected_for(spark, sf_dir))
+    assert tracker.getJobIdsForGroup("checks") == []
+    spark.sparkContext.setJobGroup("other", "")
+
+
+def test_all_checks_group_the_revenue_once(spark, sf_dir):
+    """One grouping by product serves the checks of all stages; counted in the plan."""
+    t = Tables(spark, sf_dir).store("merged_wines", "revenue_by_product", "wine_segmentation")
+    frame = measures.product_profile(
+        F.col("price") * F.col("total_sales"), t.merged_wines, t.revenue_by_product,
+        t.wine_segmentation,
+    )
+    # Subqueries, for the statistics and for keys of several values, are no leaves.
+    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+    assert leaves.size() == 3
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_one_profile_equals_the_single_measures(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    prices = [1.5, 2.5, None, float("nan")]
+    merged, detail, segments = [], [], []
+    for _ in range(60):
+        row = (rng.choice([1, 1, 2, 3, None]), rng.choice(["a", "b", None]), rng.choice(prices),
+               rng.choice([1, 2, None]))
+        known = None if None in row[2:] else row[2] * row[3]
+        if rng.random() < 0.8:
+            merged.append((*row, row[1], "t"))
+        if rng.random() < 0.8:
+            detail.append((*row, rng.choice([known, known, 1.0])))
+        if rng.random() < 0.8:
+            segments.append((*row, known, rng.choice([0.5, 2.5, None, -1.0]),
+                             rng.choice(["premium", "ordinaire", "x", None])))
+    plain = "product_id long, id_web string, price double, total_sales long"
+    merged = spark.createDataFrame(merged, plain + ", sku string, post_title string")
+    detail = spark.createDataFrame(detail, plain + ", revenue double")
+    segments = spark.createDataFrame(
+        segments, plain + ", revenue double, z_score double, category string")
+    revenue = F.col("price") * F.col("total_sales")
+    # Scores can be recomputed from finite prices only.
+    for prices_of in (detail, detail.where("NOT isnan(price)")):
+        one = measures.product_profile(revenue, merged, prices_of, segments).first()
+        assert one["revenue_mismatches"] == measures.revenue_mismatches(
+            merged, prices_of, revenue).first()[0]
+        assert one["segment_mismatches"] == measures.segment_mismatches(
+            prices_of, segments).first()[0]
+        scores = measures.wrong_z_scores(segments, prices_of).first()
+        assert (one["wrong"], one["valid"]) == (scores["wrong"], scores["valid"])
+        for name, df, null_is_key, invalid in (
+            ("merged", merged, False, measures.invalid_merged()),
+            ("segments", segments, True, measures.invalid_label()),
+        ):
+            alone = measures.keyed_profile(df, "product_id", invalid, null_is_key).first()
+            for what in ("rows", "repeated", "invalid"):
+                assert one[f"{name}_{what}"] == alone[what], (name, what)
+        alone = measures.keyed_profile(prices_of, "product_id", null_is_key=True).first()
+        assert (one["detail_rows"], one["detail_repeated"]) == (alone["rows"], alone["repeated"])
+
+
+def test_variants_equal_their_mutations(spark, sf_dir):
+    from ledgerlink.operators.faults import Change, variants
+
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (2, None)], "k int, v string")
+    two = F.col("k") == 2
+    got = variants(df, {
+        "same": Change(), "set": Change({"v": F.lit("x")}, two), "gone": Change(drop=two),
+        "twice": Change({"v": F.lit("y")}, F.col("k") == 1, repeat=two),
+    })
+    out = {n: sorted(map(str, ((r["k"], r["v"]) for r in got.where(F.col("variant") == n).collect())))
+           for n in ("same", "set", "gone", "twice")}
+    rows = lambda frame: sorted(str(tuple(r)) for r in frame.collect())
+    assert out["same"] == rows(df)
+    assert out["set"] == rows(faults.update_where(df, "v", F.lit("x"), two))
+    assert out["gone"] == rows(df.where(F.coalesce(~two, F.lit(True))))
+    changed = faults.update_where(df, "v", F.lit("y"), F.col("k") == 1)
+    assert out["twice"] == rows(changed.unionByName(changed.where(two)))
