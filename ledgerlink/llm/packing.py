@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import bisect
+import heapq
 import itertools
 import json
 import os
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +41,7 @@ class FastTokenizer:
 
     BPE works on one word at a time, so a batch is cut into words with array operations
     and each distinct word is encoded once.  Texts with characters beyond Latin go to
-    the tokenizer as they are.  Words are told apart by 64-bit hashes and lengths.
+    the tokenizer as they are.  Ids that are remembered are found by the word itself.
     """
 
     def __init__(self, path: str) -> None:
@@ -81,7 +81,7 @@ class FastTokenizer:
         ).encode_ordinary
 
     def _forget(self) -> None:
-        self.row: dict[int, int] = {}
+        self.row: dict[str, int] = {}
         self.pool = np.empty(1 << 20, dtype=np.uint32)
         self.start = np.zeros(1, dtype=np.int64)
         self.used = 0
@@ -149,28 +149,45 @@ class FastTokenizer:
         last[ends - 1] = True
         starts = self._cut(codes, last)
         stops = np.append(starts[1:], len(codes))
-        hashes = run_hashes(codes, starts, stops)
-        distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        first, inverse = self._distinct(codes, starts, stops)
         if len(self.row) > KNOWN_WORDS:
             self._forget()
-        known, row = distinct.tolist(), self.row
-        new = [i for i, h in enumerate(known) if h not in row]
+        text = codes.astype("<u4").tobytes().decode("utf-32-le")
+        words = [text[a:b] for a, b in
+                 zip(starts[first].tolist(), stops[first].tolist(), strict=True)]
+        row = self.row
+        new = [w for w in dict.fromkeys(words) if w not in row]
         if new:
-            text = codes.astype("<u4").tobytes().decode("utf-32-le")
-            first, end = starts[at[new]].tolist(), stops[at[new]].tolist()
-            words = [text[a:b] for a, b in zip(first, end, strict=True)]
-            self._learn([known[i] for i in new], words)
-        rows = np.fromiter(map(row.__getitem__, known), np.int64, len(known))[inverse]
+            self._learn(new)
+        rows = np.fromiter(map(row.__getitem__, words), np.int64, len(words))[inverse]
         begin, size = self.start[rows], self.start[rows + 1] - self.start[rows]
         offsets = np.concatenate([[0], np.cumsum(size)])
         ids = self.pool[np.repeat(begin - offsets[:-1], size) + np.arange(offsets[-1])]
         cuts = offsets[np.searchsorted(starts, ends[:-1])]
         return np.split(ids, cuts)
 
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
+    @staticmethod
+    def _distinct(codes, starts, stops) -> tuple[np.ndarray, np.ndarray]:
+        """A place of each distinct word, and which of them each word is.
+
+        Words of equal hash are compared letter by letter; if any differ, each word is
+        taken for one of its own.
+        """
+        hashes = run_hashes(codes, starts, stops)
+        _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        sizes, shown = stops - starts, starts[first][inverse]
+        same = (sizes == sizes[first][inverse]).all()
+        if same:
+            letters = np.repeat(shown - starts, sizes) + np.arange(len(codes))
+            same = (codes[letters] == codes).all()
+        if same:
+            return first, inverse
+        return np.arange(len(starts)), np.arange(len(starts))
+
+    def _learn(self, words: list[str]) -> None:
         found = list(map(self.words, words))
         base = len(self.start) - 1
-        self.row.update(zip(hashes, range(base, base + len(hashes)), strict=True))
+        self.row.update(zip(words, range(base, base + len(words)), strict=True))
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         total = int(sizes.sum())
         while self.used + total > len(self.pool):
@@ -240,46 +257,65 @@ def tokenize(
 class Patterns:
     """Shortest-pack-first over a histogram of lengths.
 
-    Lengths are placed longest first.  All pieces of a length join the open patterns
-    with the least room that suffices, as many as there are packs of the pattern; what
-    is left opens new packs.  Only counts are kept, so the work depends on the limit and
-    on the number of patterns, not on that of the pieces.
+    Lengths are placed longest first.  The pieces of a length join the shortest packs,
+    those with the most room, as many as there are packs of a pattern; where the shortest
+    has too little room, what is left fills new packs.  Only counts are kept, so the work
+    depends on the limit and on the number of patterns, not on that of the pieces.
 
+    ``counts`` has the packs of each pattern: its lengths, each with how often it occurs.
     ``slots[length]`` lists (first rank, packs, first sequence, offset): the pieces of
     that length from the first rank on lie in successive sequences at that offset.
     """
 
     def __init__(self, histogram: dict[int, int], limit: int = MAX_TOKENS) -> None:
+        self.counts: Counter[tuple[tuple[int, int], ...]] = Counter()
         self.slots: dict[int, list[tuple[int, int, int, int]]] = defaultdict(list)
         self.sequences = 0
-        # Room left -> stretches of successive sequences with that room.
-        free: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        rooms: list[int] = []
+        # Room left -> pattern -> stretches of successive sequences of that pattern.
+        free: dict[int, dict[tuple, list[tuple[int, int]]]] = defaultdict(dict)
+        shortest: list[int] = []
+
+        def put(pattern: tuple, room: int, first: int, packs: int) -> None:
+            self.counts[pattern] += packs
+            if room:
+                if not free[room]:
+                    heapq.heappush(shortest, -room)
+                free[room].setdefault(pattern, []).append((first, packs))
+
         for length in sorted(histogram, reverse=True):
             rank, left = 0, histogram[length]
-            while left:
-                i = bisect.bisect_left(rooms, length)
-                if i == len(rooms):
-                    stretch, room, take = (self.sequences, left), limit, left
-                    self.sequences += left
-                else:
-                    room = rooms[i]
-                    stretch = free[room].pop()
-                    if not free[room]:
-                        rooms.pop(i)
-                    take = min(left, stretch[1])
-                    if take < stretch[1]:
-                        self._open(free, rooms, room, (stretch[0] + take, stretch[1] - take))
-                self.slots[length].append((rank, take, stretch[0], limit - room))
-                if room > length:
-                    self._open(free, rooms, room - length, (stretch[0], take))
+            while left and shortest and -shortest[0] >= length:
+                room = -shortest[0]
+                pattern, stretches = next(iter(free[room].items()))
+                first, packs = stretches.pop()
+                take = min(left, packs)
+                if take < packs:
+                    stretches.append((first + take, packs - take))
+                if not stretches:
+                    del free[room][pattern]
+                if not free[room]:
+                    heapq.heappop(shortest)
+                self.counts[pattern] -= take
+                self.slots[length].append((rank, take, first, limit - room))
+                put(_with(pattern, length, 1), room - length, first, take)
                 rank, left = rank + take, left - take
-
-    @staticmethod
-    def _open(free, rooms: list[int], room: int, stretch: tuple[int, int]) -> None:
-        if not free[room]:
-            bisect.insort(rooms, room)
-        free[room].append(stretch)
+            # A new pack is the shortest until no piece of this length fits any more.
+            most = limit // length
+            for pieces, packs in ((most, left // most), (left % most, 1)):
+                if pieces and packs:
+                    for i in range(pieces):
+                        self.slots[length].append((rank, packs, self.sequences, i * length))
+                        rank += packs
+                    put(((length, pieces),), limit - pieces * length, self.sequences, packs)
+                    self.sequences += packs
+        self.counts = +self.counts
+
+
+def _with(pattern: tuple, length: int, pieces: int) -> tuple[tuple[int, int], ...]:
+    """A pattern with more pieces of a length; lengths come in descending order."""
+    if pattern and pattern[-1][0] == length:
+        return (*pattern[:-1], (length, pattern[-1][1] + pieces))
+    return (*pattern, (length, pieces))
 
 
 def _assign(shared, length_at: int, rank_at: int):
