@@ -20,7 +20,16 @@ from pyspark.sql import functions as F
 
 from ledgerlink.llm.arrays import NOT_BLANK, Words
 from ledgerlink.llm.sketch import Sketcher, common
-from ledgerlink.llm.support import Scratch, components, packed, slices, unpacked, utf8, wider
+from ledgerlink.llm.support import (
+    Scratch,
+    components,
+    maybe_listed,
+    packed,
+    slices,
+    unpacked,
+    utf8,
+    wider,
+)
 
 WORDS, PERCENT = 5, 85
 #: A link of 0.85 is missed with a probability below 1e-6: (1 - 0.85 ** 5) ** 24.
@@ -369,7 +378,8 @@ def deduplicate(
 ) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, that of the smallest id.
 
-    Rows without words all stay.  Of rows that agree in id and words one stays.
+    Rows without words all stay.  Of rows that agree in id and words one stays.  Only rows
+    whose id a bitmap knows, as dropped or repeated, are shuffled to meet the list.
     """
     search = Scratch(docs.sparkSession, "near")
     dropped = (
@@ -378,17 +388,19 @@ def deduplicate(
     )
     found = Scratch(docs.sparkSession, "kept").store(dropped.distinct())
     search.drop()
+    repeated = Scratch(docs.sparkSession, "repeated").store(
+        docs.groupBy(F.col(id_col).alias("_gone")).count().where("count > 1").select("_gone")
+    )
     rows = packed(docs, text_col)
-    noded = rows.mapInArrow(_node_task, wider(rows, "_node binary"))
-    position = docs.columns.index(id_col)
-    key = F.col("_row").getField(f"c{position}")
-    left = noded.withColumn("_id", key)
-    kept = left.join(
+    key = F.col("_row").getField(f"c{docs.columns.index(id_col)}")
+    named = found.select("_gone").unionByName(repeated)
+    listed, others = maybe_listed(rows, F.xxhash64(key), named, F.xxhash64("_gone"))
+    noded = listed.mapInArrow(_node_task, wider(rows, "_node binary")).withColumn("_id", key)
+    kept = noded.join(
         found, F.col("_id").eqNullSafe(F.col("_gone")) & (F.col("_node") == F.col("_other")),
         "left_anti",
     )
-    repeated = docs.groupBy(id_col).count().where("count > 1")
     if not repeated.isEmpty():
         blank = kept.where("_node IS NULL")
         kept = kept.where("_node IS NOT NULL").dropDuplicates(["_id", "_node"]).unionByName(blank)
-    return kept.select(*unpacked(docs.columns, text_col))
+    return kept.select(*rows.columns).unionByName(others).select(*unpacked(docs.columns, text_col))

@@ -62,6 +62,32 @@ def _copies():
     return texts
 
 
+def test_words_of_mirrored_letters_are_no_copies(spark):
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, word.translate(str.maketrans("ab", "ba")))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_dedup.near_duplicates(df).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in found) == [
+        (1, 1, True), (2, 2, True)]
+
+
+def test_deduplicate_keeps_the_rows_that_are_kept(spark):
+    """Repeated and null ids, rows off the bitmap: the rows that brute force keeps."""
+    texts = _copies()
+    rows = [(i % 90 if i % 11 else None, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_id", F.lit("x"))
+    found = near_dedup.near_duplicates(df).where("kept").select("doc_id", "node").collect()
+    kept = near_dedup.deduplicate(df)
+    assert kept.columns == ["doc_id", "text", "_id"]
+    blank = [r for r in found if r["node"] is None]
+    others = {(r["doc_id"], bytes(r["node"])) for r in found if r["node"] is not None}
+    got = [(r["doc_id"], near_dedup.node_of((r["text"] or "").encode())) for r in kept.collect()]
+    assert sorted(map(str, (g for g in got if g[1]))) == sorted(map(str, others))
+    assert sum(g[1] is None for g in got) == len(blank)
+
+
 def test_components_equal_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 8)
     texts = _copies()
