@@ -52,7 +52,7 @@ def _line_hash(line: Column) -> Column:
 
 
 def frequent_lines(
-    scratch: Scratch, pages: DataFrame, ratio: float, min_pages: int, host_col: str, text_col: str
+    scratch: Scratch, pages: DataFrame, ratio: float, host_col: str, text_col: str
 ) -> DataFrame:
     """``_site`` and ``_frequent``, the hashes of its boilerplate lines, if it has any.
 
@@ -75,7 +75,7 @@ def frequent_lines(
     )
     counts = once.groupBy("_site", "_line").agg(F.count(F.lit(1)).alias("_n"))
     return (
-        counts.where(F.col("_n") >= min_pages)
+        counts.where(F.col("_n") > 1)
         .join(totals, "_site")
         .where(F.col("_n") > F.col("_total") * F.lit(ratio))
         .groupBy("_site").agg(F.collect_list("_line").alias("_frequent"))
@@ -85,27 +85,30 @@ def frequent_lines(
 def drop_site_lines(
     pages: DataFrame,
     ratio: float = 0.05,
-    min_pages: int = 3,
     host_col: str = "host",
     text_col: str = "text",
 ) -> DataFrame:
-    """``pages`` with its texts freed of boilerplate lines, ``n_lines``, ``n_dropped``.
-
-    A line goes if more than ``ratio`` of its host's pages contain it, and at least
-    ``min_pages`` do.  Pages of one host with equal text are one page, and a line that
-    a page repeats counts once, so copies make no line boilerplate; texts without any
-    line are no pages.  Lines are equal if they are without the blanks at their
-    ends; they are told apart by 64-bit hashes.
-
-    A text of nothing but such lines keeps them, since they are its content.  Blank
-    lines and lines of a null host are never dropped.  Null text stays null with 0
-    lines, the empty text has one.  Kept lines stay as they are.  Repeated rows are
+    """``pages`` with its texts freed of boilerplate lines, ``n_lines``, ``n_dropped`` and
+    ``emptied``.
+
+    A line goes if more than ``ratio`` of its host's pages contain it.  A line of a single
+    page repeats nowhere and is no boilerplate, however few pages its host has.  Pages of
+    one host with equal text are one page, and a line that a page repeats counts once, so
+    copies make no line boilerplate; texts without any line are no pages.  Lines are equal
+    if they are without the blanks at their ends; they are told apart by 64-bit hashes.
+
+    A text of nothing but such lines is left without any: ``emptied`` is true and the text
+    is what blank lines are left of it, so that the caller may take it out, or keep it as
+    it was.  Blank lines and lines of a null host are never dropped.  Null text stays null
+    with 0 lines, the empty text has one.  Kept lines stay as they are.  Repeated rows are
     treated alike, no rows give no rows, and all columns of ``pages`` are handed on,
-    whatever their names; the two counts get underscores if their names are taken.
+    whatever their names; the three others get underscores if their names are taken.
     """
-    n_lines, n_dropped = first_of(pages, "n_lines"), first_of(pages, "n_dropped")
+    n_lines, n_dropped, emptied = (
+        first_of(pages, c) for c in ("n_lines", "n_dropped", "emptied")
+    )
     scratch = Scratch(pages.sparkSession, "lines")
-    frequent = scratch.store(frequent_lines(scratch, pages, ratio, min_pages, host_col, text_col))
+    frequent = scratch.store(frequent_lines(scratch, pages, ratio, host_col, text_col))
     held = frequent.agg(F.sum(F.size("_frequent") * 8 + F.length("_site") + 16)).first()[0] or 0
     if held <= BROADCAST_BYTES:
         frequent = F.broadcast(frequent)
@@ -122,8 +125,8 @@ def drop_site_lines(
             F.filter("_lines", lambda x: ~F.array_contains("_frequent", _line_hash(x)))
         ),
     )
+    dropped = F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0))
     content = F.exists("_kept", lambda x: F.trim(x) != "")
-    kept = kept.withColumn("_kept", F.when(content, F.col("_kept")).otherwise(F.col("_lines")))
     return kept.select(
         *(
             F.array_join("_kept", "\n").alias(c) if c == text_col
@@ -131,5 +134,6 @@ def drop_site_lines(
             for c in pages.columns
         ),
         F.coalesce(F.size("_lines"), F.lit(0)).alias(n_lines),
-        F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0)).alias(n_dropped),
+        dropped.alias(n_dropped),
+        F.coalesce((dropped > 0) & ~content, F.lit(False)).alias(emptied),
     )

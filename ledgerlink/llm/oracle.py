@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from ledgerlink.llm import line_dedup
 from ledgerlink.llm.queries import SHARDS
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -48,7 +47,13 @@ SELECT doc_id, source, size, text_crc32, 'rows' AS law,
   NULL::INT AS grown_shard
 FROM placed"""
 
-_BLOCK = line_dedup._BLOCK
+# Tags that end a line, as HTML lays them out; a list of its own, apart from the operator's.
+_BLOCK = "|".join([
+    "html", "head", "body", "title", "main", "header", "footer", "nav", "section", "article",
+    "aside", "address", "blockquote", "pre", "figcaption", "div", "p", "br", "hr", "form",
+    "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "table", "tr", "th",
+    "td",
+])
 _ENTITIES = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("nbsp", " "), ("amp", "&"))
 
 
@@ -72,17 +77,18 @@ lines AS (SELECT DISTINCT host, text, trim(unnest(string_split(text, chr(10))),
 content AS (SELECT * FROM lines WHERE line <> ''),
 totals AS (SELECT host, count(DISTINCT text) AS total FROM content GROUP BY host),
 often AS (SELECT host, list(line) AS frequent FROM (
-    SELECT host, line, count(*) AS n FROM content GROUP BY host, line HAVING count(*) >= 3) c
+    SELECT host, line, count(*) AS n FROM content GROUP BY host, line HAVING count(*) > 1) c
   JOIN totals USING (host) WHERE n > total * 0.05::DOUBLE GROUP BY host),
 split AS (SELECT p.*, string_split(p.text, chr(10)) AS every,
     list_filter(string_split(p.text, chr(10)),
       lambda x: NOT coalesce(list_contains(o.frequent, trim(x, ' ')), FALSE)) AS rest
-  FROM pages_text p LEFT JOIN often o ON o.host = p.host),
-kept AS (SELECT *, CASE WHEN len(list_filter(rest, lambda x: trim(x, ' ') <> '')) > 0
-    THEN rest ELSE every END AS kept FROM split)
-SELECT page_id, host, array_to_string(kept, chr(10)) AS text,
+  FROM pages_text p LEFT JOIN often o ON o.host = p.host)
+SELECT page_id, host, array_to_string(rest, chr(10)) AS text,
   coalesce(len(every), 0)::INT AS n_lines,
-  coalesce(len(every) - len(kept), 0)::INT AS n_dropped FROM kept"""
+  coalesce(len(every) - len(rest), 0)::INT AS n_dropped,
+  coalesce(len(every) > len(rest)
+    AND len(list_filter(rest, lambda x: trim(x, ' ') <> '')) = 0, FALSE) AS emptied
+FROM split"""
 
 _REACH = """
 reach AS (SELECT u AS a, u AS b FROM both_ways UNION

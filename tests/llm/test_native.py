@@ -44,23 +44,26 @@ def test_sharding_odd_rows(odd, clashing, empty):
 def test_frequent_lines_of_a_site_go(spark):
     rows = [(i, "a", f"menu\nown line {i}\n  menu \nfooter") for i in range(8)]
     rows += [(20 + i, "a", "menu\nfooter") for i in range(3)]  # copies are one page
-    rows += [(40 + i, "b", f"menu\nb{i}") for i in range(2)]  # too few pages
+    rows += [(40 + i, "b", f"menu\nb{i}") for i in range(2)]
+    rows += [(50, "c", "menu\nfooter"), (51, "c", "menu\nfooter")]  # one page, twice
     rows += [(60, None, "menu"), (61, "a", None), (62, "a", "")]
     pages = spark.createDataFrame(rows, "page_id long, host string, text string")
-    found = line_dedup.drop_site_lines(pages, ratio=0.5, min_pages=3)
+    found = line_dedup.drop_site_lines(pages, ratio=0.5)
     _no_python(found)
     out = {r["page_id"]: r for r in found.collect()}
     assert out[0]["text"] == "own line 0"
     assert (out[0]["n_lines"], out[0]["n_dropped"]) == (4, 3)
-    assert out[20]["text"] == "menu\nfooter"  # nothing else: its content
-    assert out[40]["text"] == "menu\nb0"
+    assert (out[20]["text"], out[20]["n_dropped"], out[20]["emptied"]) == ("", 2, True)
+    assert not any(out[i]["emptied"] for i in (0, 40, 50, 60, 61, 62))
+    assert out[40]["text"] == "b0"
+    assert out[50]["text"] == "menu\nfooter"
     assert (out[60]["text"], out[61]["text"], out[62]["text"]) == ("menu", None, "")
     assert (out[61]["n_lines"], out[62]["n_lines"]) == (0, 1)
 
 
 def test_line_dedup_odd_rows(odd, clashing, empty):
     out = line_dedup.drop_site_lines(clashing, host_col="source")
-    assert out.columns == [*clashing.columns, "n_lines_", "n_dropped_"]
+    assert out.columns == [*clashing.columns, "n_lines_", "n_dropped_", "emptied"]
     texts = lambda df: sorted(map(str, (r["text"] for r in df.select("text").collect())))
     assert texts(out) == texts(odd)
     assert line_dedup.drop_site_lines(empty, host_col="source").collect() == []
