@@ -317,6 +317,30 @@ def identify(
     )
 
 
+def calibrate(
+    rows: DataFrame,
+    model: LanguageModel,
+    keep: float = 0.999,
+    margin: float = 0.5,
+    max_rows: int = 4_000,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+) -> float:
+    """The score below which a text is in no language that the model knows.
+
+    All but ``1 - keep`` of about ``max_rows`` labelled rows, chosen by a hash of the id,
+    have a score above the one found; ``margin`` of it is the threshold, which leaves
+    clean texts of other kinds room.  Without labelled rows it is 0.
+    """
+    known = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    share = min(1.0, max_rows / max(1, known.count()))
+    some = known.where(F.pmod(F.xxhash64(F.lit(2), id_col), F.lit(1 << 20)) < int(share * (1 << 20)))
+    scored = identify(some.select(id_col, text_col), model, text_col)
+    found = scored.agg(F.percentile("score", 1 - keep)).first()[0]
+    return margin * (found or 0.0)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows of which the classifier learns nothing."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 4 == 2
