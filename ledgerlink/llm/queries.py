@@ -122,6 +122,7 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(docs).select(
         F.col("row.doc_id").alias("doc_id"),
         *_digest("spans", secret_scan.KINDS, "x.via = ''"),
+        "complete",
     )
 
 

@@ -10,7 +10,7 @@ Spans found in a layer are mapped to the place in the text that they were decode
 from __future__ import annotations
 
 import base64
-import binascii
+import bisect
 import bz2
 import codecs
 import hashlib
@@ -64,23 +64,65 @@ MAX_STREAMED, MAX_NESTED = 4_000_000_000, 200
 #: Windows end behind characters that no encoded run has inside.
 _OUTSIDE = re.compile(r"[^A-Za-z0-9+/_=%\\&#;{}.~!*'()$,:@\s-]|(?<=\S) ")
 _PLAIN = bytes([9, 10, 13, *range(32, 127)])
+_CONTROL = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
+_SHORTEST = 12
+#: Runs of printable bytes that may hold a secret, and the same in UTF-16 of either order.
+_PRINTABLE = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
+_PRINTABLE_WIDE = (
+    re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){12,}"), re.compile(rb"(?:\x00[\t\n\r\x20-\x7e]){12,}"),
+)
+
+
+class Pieces:
+    """Where the stretches of a rewritten text come from: copied or decoded ones."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.begins: list[int] = []
+        self.ends: list[int] = []
+        self.copied: list[bool] = []
+        self.length = 0
+
+    def add(self, length: int, begin: int, end: int, copied: bool) -> None:
+        if length:
+            self.starts.append(self.length)
+            self.begins.append(begin)
+            self.ends.append(end)
+            self.copied.append(copied)
+            self.length += length
+
+    def back(self, start: int, end: int) -> tuple[int, int]:
+        i = bisect.bisect_right(self.starts, start) - 1
+        j = bisect.bisect_right(self.starts, end - 1) - 1
+        first, last = self.begins[i], self.ends[j]
+        if self.copied[i]:
+            first += start - self.starts[i]
+        if self.copied[j]:
+            last = self.begins[j] + end - self.starts[j]
+        return first, last
 
 
 @dataclass(frozen=True)
 class Layer:
-    """Decoded text; ``places[i]`` and ``ends[i]`` say where character i came from, or
-    the whole layer came from ``outer`` if there are none."""
+    """Decoded text: all of it from ``outer`` in the first text, or by ``pieces`` from its
+    ``parent``; the first text has neither."""
 
     text: str
-    outer: tuple[int, int]
-    places: list[int] | None
-    ends: list[int] | None
-    via: str
+    outer: tuple[int, int] | None = None
+    parent: Layer | None = None
+    pieces: Pieces | None = None
+    via: str = ""
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
-        if self.places is None or self.ends is None:
-            return self.outer
-        return self.places[start], self.ends[end - 1]
+        layer = self
+        while layer.outer is None and layer.parent is not None and layer.pieces is not None:
+            start, end = layer.pieces.back(start, end)
+            layer = layer.parent
+        return layer.outer or (start, end)
+
+    def key(self) -> tuple:
+        digest = hashlib.blake2b(self.text.encode(errors="surrogatepass"), digest_size=16)
+        return digest.digest(), self.outer
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -119,46 +161,49 @@ def _escape(run: str) -> str | None:
 def _rewritten(layer: Layer, pattern: re.Pattern[str], decode, via: str) -> Layer | None:
     """The layer with all matches decoded in place, or None if nothing was."""
     out: list[str] = []
-    places: list[int] = []
-    ends: list[int] = []
-    text, at, changed = layer.text, 0, False
-
-    def keep(a: int, b: int) -> None:
-        out.append(text[a:b])
-        if layer.places is None or layer.ends is None:
-            return
-        places.extend(layer.places[a:b])
-        ends.extend(layer.ends[a:b])
-
+    pieces = Pieces()
+    text, at = layer.text, 0
     for m in pattern.finditer(text):
         decoded = decode(m[0])
         if decoded is None:
             continue
-        changed = True
-        keep(at, m.start())
-        out.append(decoded)
-        if layer.places is not None:
-            a, b = layer.origin(m.start(), m.end())
-            places.extend([a] * len(decoded))
-            ends.extend([b] * len(decoded))
+        out += [text[at : m.start()], decoded]
+        pieces.add(m.start() - at, at, m.start(), True)
+        pieces.add(len(decoded), m.start(), m.end(), False)
         at = m.end()
-    if not changed:
+    if not out:
         return None
-    keep(at, len(text))
-    mapped = layer.places is not None
-    name = f"{layer.via}>{via}".lstrip(">")
-    return Layer("".join(out), layer.outer, places if mapped else None,
-                 ends if mapped else None, name)
-
-
-def _bounded(make, data: bytes) -> bytes | None:
-    unpacker = make()
-    out = unpacker.decompress(data, MAX_UNPACKED)
-    if len(out) >= MAX_UNPACKED:
-        raise OverflowError
-    if not unpacker.eof:
-        return None
-    return out
+    out.append(text[at:])
+    pieces.add(len(text) - at, at, len(text), True)
+    return Layer("".join(out), layer.outer, layer, pieces, f"{layer.via}>{via}".lstrip(">"))
+
+
+def _bounded(make, data: bytes) -> bytes:
+    """The content of all members of packed data, or of what a cut or broken stream gives.
+    """
+    out, held = [], 0
+    while True:
+        unpacker, at = make(), 0
+        try:
+            while not unpacker.eof and at < len(data):
+                piece = data[at : at + OVERLAP]
+                at += len(piece)
+                while piece or not getattr(unpacker, "needs_input", True):
+                    got = unpacker.decompress(piece, MAX_UNPACKED - held + 1)
+                    piece = getattr(unpacker, "unconsumed_tail", b"")
+                    out.append(got)
+                    held += len(got)
+                    if held > MAX_UNPACKED:
+                        raise OverflowError
+                    if unpacker.eof or not (got or piece):
+                        break
+        except _ERRORS:
+            break
+        rest = unpacker.unused_data + data[at:] if unpacker.eof else b""
+        if not rest.startswith(_MAGICS):
+            break
+        data = rest
+    return b"".join(out)
 
 
 _PACKINGS = (
@@ -167,6 +212,7 @@ _PACKINGS = (
     (b"BZh", bz2.BZ2Decompressor),
     (b"\xfd7zXZ", lzma.LZMADecompressor),
 )
+_MAGICS = tuple(magic for magic, _ in _PACKINGS)
 _ERRORS = (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError)
 
 
@@ -174,10 +220,9 @@ def _unpacked(data: bytes) -> bytes | None:
     """The content of gzip, zlib, bzip2 or xz data, else None."""
     for magic, make in _PACKINGS:
         if data.startswith(magic):
-            try:
-                return _bounded(make, data)
-            except _ERRORS:
-                continue
+            content = _bounded(make, data)
+            if content:
+                return content
     return None
 
 
@@ -189,11 +234,20 @@ def _odd(text: str) -> int:
 
 
 def _readable(data: bytes) -> str | None:
+    """The text that bytes are: UTF-8, UTF-16, or else their printable runs.
+
+    Latin-1 letters, paddings and binary parts end runs; each run is a line.
+    """
     try:
         text = data.decode()
+        if text and _odd(text) * 20 <= len(text):
+            return text
     except UnicodeDecodeError:
-        return None
-    return text if text and _odd(text) * 20 <= len(text) else None
+        pass
+    runs = [m[0].decode() for m in _PRINTABLE.finditer(data)]
+    for begin, pattern in enumerate(_PRINTABLE_WIDE):
+        runs += [m[0][begin::2].decode() for m in pattern.finditer(data)]
+    return "\n".join(runs) or None
 
 
 @dataclass
@@ -213,18 +267,29 @@ class _Scan:
 
 
 def _steps(make, source: Iterator[bytes], scan: _Scan) -> Iterator[bytes]:
-    """Packed pieces unpacked piece by piece."""
+    """Packed pieces unpacked piece by piece, to the end of the last member or to where
+    the stream breaks off."""
     unpacker, piece = make(), b""
-    while not unpacker.eof:
-        out = unpacker.decompress(piece, WINDOW)
+    while True:
+        try:
+            out = unpacker.decompress(piece, WINDOW)
+        except _ERRORS:
+            return
         piece = getattr(unpacker, "unconsumed_tail", b"")
         if out:
             scan.spend(len(out))
             yield out
-        elif not piece:
+        if unpacker.eof:
+            piece = unpacker.unused_data
+            while len(piece) < 8 and (more := next(source, b"")):
+                piece += more
+            if not piece.startswith(_MAGICS):
+                return
+            unpacker = make()
+        elif not out and not piece:
             piece = next(source, b"")
             if not piece:
-                raise EOFError
+                return
 
 
 def _contents(data: bytes, scan: _Scan) -> tuple[Iterator[bytes], int]:
@@ -285,17 +350,12 @@ def _long_contents(data: bytes, via: str, scan: _Scan) -> dict[str, str]:
     if key in scan.known:
         return scan.known[key]
     found = _Scan({}, left=scan.left, known=scan.known)
-    size = odd = 0
 
     def texts(source: Iterator[bytes]) -> Iterator[str]:
-        nonlocal size, odd
-        decoder = codecs.getincrementaldecoder("utf-8")()
+        decoder = codecs.getincrementaldecoder("utf-8")("replace")
         try:
             for piece in source:
-                text = decoder.decode(piece)
-                size, odd = size + len(text), odd + _odd(text)
-                yield text
-            decoder.decode(b"", final=True)
+                yield decoder.decode(piece)
         except OverflowError:
             found.complete = False
 
@@ -305,32 +365,38 @@ def _long_contents(data: bytes, via: str, scan: _Scan) -> dict[str, str]:
         last = None
         for window in _windows(texts(source), found):
             if window != last:
-                _walk(Layer(window, (0, 0), None, None, via), found)
+                _walk(Layer(window, (0, 0), via=via), found)
             last = window
     except OverflowError:
         found.complete = False
-    except (*_ERRORS, UnicodeDecodeError):
-        size = 0
     scan.left = found.left
     scan.complete &= found.complete
-    readable = size and odd * 20 <= size
-    scan.known[key] = {k: v for (k, _, _), v in found.spans.items()} if readable else {}
+    scan.known[key] = {k: v for (k, _, _), v in found.spans.items()}
     return scan.known[key]
 
 
 def _base64_layers(layer: Layer, scan: _Scan) -> Iterator[Layer]:
+    """What base64 runs hold, wherever in a run they begin: four characters are three
+    bytes, so four beginnings reach what stands behind a path, a name or a word."""
     via = f"{layer.via}>base64".lstrip(">")
     for m in itertools.chain(_BASE64.finditer(layer.text), _wrapped(layer.text)):
         start, end = m if isinstance(m, tuple) else m.span()
-        body = "".join(layer.text[start:end].split()).rstrip("=")
-        body = body.replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-        except binascii.Error:
-            continue
-        yield from _opened(data, layer.origin(start, end), via, scan)
+        run = "".join(layer.text[start:end].split()).rstrip("=")
+        run = run.replace("-", "+").replace("_", "/")
+        outer = layer.origin(start, end)
+        for begin in range(4):
+            body = run[begin:]
+            body = body[: len(body) - (len(body) % 4 == 1)]
+            if len(body) < 12:
+                continue
+            data = base64.b64decode(body + "=" * (-len(body) % 4))
+            # Behind something else a text goes on to the end, without control bytes.
+            text = _CONTROL.split(data)[-1] if begin else data
+            if len(text) >= _SHORTEST or not begin:
+                yield from _opened(text, outer, via, scan)
+            for packing in _MAGIC.finditer(data, 1 if not begin else 0):
+                if _starts_packed(data[packing.start() : packing.start() + 512]):
+                    yield from _opened(data[packing.start() :], outer, via, scan)
 
 
 def _wrapped(text: str) -> Iterator[tuple[int, int]]:
@@ -407,7 +473,7 @@ def _opened(data: bytes, outer: tuple[int, int], via: str, scan: _Scan) -> Itera
         data, via = opened, f"{via}>packed"
     text = _readable(data)
     if text is not None:
-        yield Layer(text, outer, None, None, via)
+        yield Layer(text, outer, via=via)
 
 
 def scan_text(text: str) -> tuple[list[tuple[str, int, int, str]], bool]:
@@ -416,20 +482,14 @@ def scan_text(text: str) -> tuple[list[tuple[str, int, int, str]], bool]:
     ``via`` is empty for base spans of the text itself, else the path of decodings.
     """
     scan = _Scan({(k, a, b): "" for k, a, b in base_spans(text)})
-    if "%" in text or "\\" in text or "&#" in text:
-        index = list(range(len(text)))
-        first = Layer(text, (0, len(text)), index, [i + 1 for i in index], "")
-    else:
-        # Without a map of its characters a first layer maps to itself.
-        first = _Identity(text, (0, len(text)), None, None, "")
-    _walk(first, scan)
+    _walk(Layer(text), scan)
     order = sorted((a, KINDS.index(k), b, k, via) for (k, a, b), via in scan.spans.items())
     return [(k, a, b, via) for a, _, b, k, via in order], scan.complete
 
 
 def _walk(first: Layer, scan: _Scan) -> None:
     """Add the spans of a layer and of all that is encoded in it."""
-    work, seen = [first], {(first.text, first.outer)}
+    work, seen = [first], {first.key()}
     while work:
         layer = work.pop()
         if layer.via:
@@ -443,16 +503,11 @@ def _walk(first: Layer, scan: _Scan) -> None:
             new.append(_rewritten(layer, _ESCAPE, _escape, "unicode"))
         new += _base64_layers(layer, scan)
         for found in new:
-            if found is not None and (found.text, found.outer) not in seen:
-                seen.add((found.text, found.outer))
+            if found is not None and (key := found.key()) not in seen:
+                seen.add(key)
                 work.append(found)
 
 
-class _Identity(Layer):
-    def origin(self, start: int, end: int) -> tuple[int, int]:
-        return start, end
-
-
 def _scan_task(replace: str | None):
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()),
                                ("end", pa.int32()), ("via", pa.string())]))

@@ -3,9 +3,11 @@
 import base64
 import bz2
 import gzip
+import io
 import lzma
 import random
 import re
+import tarfile
 import urllib.parse
 import zlib
 
@@ -256,6 +258,74 @@ def test_bytes_that_are_not_utf8_hide_nothing():
         assert complete and [s[:3] for s in spans] == [("assign", 3, 3 + len(run))]
 
 
+def _tar_gz(data):
+    held = io.BytesIO()
+    with tarfile.open(fileobj=held, mode="w:gz") as tar:
+        info = tarfile.TarInfo("config/settings.ini")
+        info.size = len(data)
+        tar.addfile(info, io.BytesIO(data))
+    return held.getvalue()
+
+
+_WORDS = b" ".join(b"word%d" % (i * 7919 % 1000) for i in range(400))
+_BINARY = {
+    "latin-1": b"caf\xe9 " + SECRET.encode(),
+    "tar.gz": _tar_gz(SECRET.encode()),
+    "padded with nulls": SECRET.encode() + bytes(200),
+    "utf-16": SECRET.encode("utf-16"),
+    "utf-16 big-endian": SECRET.encode("utf-16-be"),
+    "cut gzip": gzip.compress(SECRET.encode() + b" " + _WORDS)[:-30],
+    "broken gzip": gzip.compress(SECRET.encode() + b" " + _WORDS)[:-300] + b"\0" * 50,
+    "second member": gzip.compress(b"nothing here") + gzip.compress(SECRET.encode()),
+    "third member": b"".join(gzip.compress(x) for x in (b"a", b"", SECRET.encode())),
+    "second bzip2 stream": bz2.compress(b"nothing") + bz2.compress(SECRET.encode()),
+    "second xz stream": lzma.compress(b"nothing") + lzma.compress(SECRET.encode()),
+    "bytes around": bytes(range(128, 256)) + SECRET.encode() + bytes(range(128, 256)),
+}
+
+
+@pytest.mark.parametrize("name", _BINARY)
+def test_layers_that_are_no_plain_text_are_scanned(name):
+    blob = base64.b64encode(_BINARY[name]).decode()
+    spans, complete = secret_scan.scan_text(f"see {blob} end")
+    assert complete and [s[:3] for s in spans] == [("assign", 4, 4 + len(blob.rstrip("=")))] or [
+        s[:3] for s in spans] == [("assign", 4, 4 + len(blob))], spans
+
+
+@pytest.mark.parametrize("before", ["https://x.io/a/", "cfg_", "x/", "k=", "abc", "ab/cd_", "a-b-c-"])
+@pytest.mark.parametrize("data", [SECRET.encode(), gzip.compress(SECRET.encode())])
+def test_base64_is_found_behind_letters_it_could_have(before, data):
+    for more in range(4):
+        blob = base64.b64encode(data).decode()
+        text = f"so {before}{'q' * more}{blob} end"
+        spans, complete = secret_scan.scan_text(text)
+        start = text.index(blob)
+        assert complete and spans, (before, more)
+        assert all(s[1] <= start and s[2] >= start + len(blob.rstrip("=")) for s in spans)
+
+
+def test_members_of_long_packed_layers(monkeypatch):
+    for name, value in (("MAX_UNPACKED", 4000), ("WINDOW", 500), ("OVERLAP", 60)):
+        monkeypatch.setattr(secret_scan, name, value)
+    for first in (b"so it, goes " * 900, b"\xe9\0, " * 2000):
+        for data in (gzip.compress(first) + gzip.compress(SECRET.encode()),
+                     gzip.compress(first + SECRET.encode() + b", " * 400)[:-12]):
+            blob = base64.b64encode(data).decode()
+            assert [s[0] for s in secret_scan.scan_text(blob)[0]] == ["assign"]
+
+
+def test_a_long_text_with_one_escape_needs_little_memory():
+    import tracemalloc
+
+    text = "some, words " * 3_400_000 + "%41 " + SECRET
+    tracemalloc.start()
+    spans, complete = secret_scan.scan_text(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert complete and [s[1:3] for s in spans] == [(len(text) - len(SECRET), len(text))]
+    assert peak < 12 * len(text)
+
+
 def test_layers_that_contain_themselves_end():
     text = "%25" * 50 + "%2525" + base64.b64encode(b"%41%41" * 40).decode()
     assert secret_scan.scan_text(text)[1]
@@ -280,6 +350,35 @@ def test_fast_tokenizer_equals_the_library():
         assert a.tolist() == b.tolist(), text
 
 
+def mirrored(n):
+    """Two words of n letters that hashes of powers modulo 2 ** 64 can't tell apart."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_ids_follow_the_word_itself():
+    fast = packing.FastTokenizer(tokenizer_path())
+    for n in (64, 1024, 4096):
+        for text in mirrored(n):
+            assert fast.encode([text])[0].tolist() == fast.encode_whole([text])[0].tolist()
+
+
+def test_hashes_tell_mirrored_words_apart():
+    from ledgerlink.llm.arrays import NOT_BLANK, Words, run_hashes
+
+    for n in (8, 64, 1024, 2048):
+        words = Words([" ".join(mirrored(n)).encode()], NOT_BLANK)
+        assert len(set(words.hashes.tolist())) == 2
+        both = np.frombuffer("".join(mirrored(n)).encode("utf-32-le"), np.uint32)
+        assert len(set(run_hashes(both, np.array([0, n]), np.array([n, 2 * n])).tolist())) == 2
+    # Windows of two words in mirrored order.
+    first, second = mirrored(16)
+    pair = [" ".join(w).encode() for w in (first, second)]
+    assert len({int(Words([t], NOT_BLANK).window_hashes(16)[0]) for t in pair}) == 2
+
+
 def test_packing_round_trip(spark, docs):
     frame = docs.select("doc_id", "text")
     tokens = Scratch(spark, "test").store(packing.tokenize(frame, tokenizer_path(), limit=256))
@@ -319,6 +418,36 @@ def test_patterns_place_every_piece():
         assert max(by_sequence.values()) <= 64 and len(by_sequence) == plan.sequences
 
 
+def plain_packs(histogram, limit):
+    """Shortest-pack-first, piece by piece: what each pack holds in total."""
+    packs = []
+    for length in sorted(histogram, reverse=True):
+        for _ in range(histogram[length]):
+            shortest = min(range(len(packs)), key=packs.__getitem__, default=None)
+            if shortest is None or packs[shortest] + length > limit:
+                packs.append(length)
+            else:
+                packs[shortest] += length
+    return sorted(packs)
+
+
+def test_patterns_equal_shortest_pack_first():
+    rng = random.Random(6)
+    cases = [{60: 1, 50: 1, 10: 1}, {1: 1000}, {33: 7, 1: 5}, {100: 3}]
+    cases += [{rng.randint(1, 100): rng.randint(1, 40) for _ in range(rng.randint(1, 25))}
+              for _ in range(40)]
+    for histogram in cases:
+        plan = packing.Patterns(histogram, 100)
+        sizes = sorted(sum(size * n for size, n in pattern)
+                       for pattern, packs in plan.counts.items() for _ in range(packs))
+        assert sizes == plain_packs(histogram, 100)
+        held = {}
+        for pattern, packs in plan.counts.items():
+            for size, n in pattern:
+                held[size] = held.get(size, 0) + n * packs
+        assert held == histogram
+
+
 def test_packing_odd_rows(spark, odd, clashing, empty):
     tokens = Scratch(spark, "test").store(packing.tokenize(clashing, tokenizer_path()))
     pieces = tokens.select(F.col("row.doc_id").alias("doc_id"), "start", "length", "doc_tokens")
