@@ -2,11 +2,11 @@
 
 A shard is a stretch of the texts of one language that a task holds at once.  Its index
 is the Burrows-Wheeler transform of its words in both directions; runs of words are
-intervals in both, extended by a word to the left or to the right for all runs of a
-length at a time.  Phrases are enumerated by depth: runs of one and two words first,
-from all shards; only those that are frequent in all shards together come back to the
-shards that have them, and only their extensions are counted further.  A phrase is as
-rare as its rarest part, so none that is frequent is lost.
+intervals in both, extended by a word to the right or to the left for all runs of a
+length at a time.  Shards list the counts of all their runs by hash, buckets of hashes
+are summed across shards, and what is frequent in all together comes back to the shards
+that have it, to be spelled and counted exactly.  Sums by hash are never too small, so no
+frequent phrase is lost.
 """
 
 from __future__ import annotations
@@ -29,10 +29,14 @@ UNKNOWN = "und"
 SHARD_BYTES = 8_000_000
 #: Bytes of texts of all languages that a task gathers.
 _GATHERED = 32_000_000
+#: Words of the corpus for each bucket in which counts are summed.
+BUCKET = 500_000
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _INSIDE = byte_class(lambda b: b not in (0x20, 0x09) and b not in _ENDS)
 _END = byte_class(lambda b: b in _ENDS)
 _OUT_ROWS = 65_536
+#: Phrases of all languages whose counts a task adds up before it gives them out.
+_HELD = 400_000
 
 
 class Shard:
@@ -60,14 +64,31 @@ class Shard:
         self.words[at] = ids + 1
 
 
+def _order(keys: np.ndarray, bound: int) -> np.ndarray:
+    """The stable order of numbers from 0 to ``bound``.
+
+    Where number and place fit into 63 bits, both are sorted as one, which is faster.
+    """
+    bits = len(keys).bit_length()
+    if bound.bit_length() + bits > 63:
+        return np.argsort(keys, kind="stable")
+    both = (keys.astype(np.int64) << bits) | np.arange(len(keys))
+    both.sort()
+    return both & ((1 << bits) - 1)
+
+
 def _transform(words: np.ndarray) -> np.ndarray:
     """The word before each rotation, rotations in the order of their first four words."""
     rank = words.astype(np.int64)
     for step in (1, 2):
-        pairs = rank * (int(rank.max(initial=0)) + 1) + np.roll(rank, -step)
+        base = int(rank.max(initial=0)) + 1
+        pairs = rank * base + np.roll(rank, -step)
+        order = _order(pairs, base * base)
         if step == 1:
-            _, rank = np.unique(pairs, return_inverse=True)
-    return words[np.argsort(pairs, kind="stable") - 1]
+            new = np.diff(pairs[order], prepend=-1) > 0
+            rank = np.empty(len(words), dtype=np.int64)
+            rank[order] = np.cumsum(new) - 1
+    return words[order - 1]
 
 
 def _inverse(order: np.ndarray) -> np.ndarray:
@@ -85,12 +106,6 @@ class Runs:
     def only(self, which: np.ndarray) -> Runs:
         return Runs(self.forward[which], self.backward[which], self.size[which], self.spelt[which])
 
-    def widened(self) -> Runs:
-        """No runs, of one word more."""
-        none = self.only(np.empty(0, dtype=np.int64))
-        width = self.spelt.shape[1] + 1
-        return Runs(none.forward, none.backward, none.size, np.empty((0, width), dtype=np.int64))
-
 
 class Index:
     """The transforms of a shard, forward and backward, and runs as intervals in them."""
@@ -100,7 +115,7 @@ class Index:
         self.counts = np.bincount(forward, minlength=n_words + 1)
         self.first = np.concatenate([[0], np.cumsum(self.counts)])
         self.base = n_words + 1
-        self._steps = [_inverse(np.argsort(t, kind="stable")) for t in (forward, backward)]
+        self._steps = [_inverse(_order(t, n_words)) for t in (forward, backward)]
 
     @classmethod
     def of(cls, shard: Shard) -> Index:
@@ -111,11 +126,8 @@ class Index:
         some = np.flatnonzero(self.counts[1:]) + 1
         return Runs(self.first[some], self.first[some], self.counts[some], some[:, None])
 
-    def extended(self, runs: Runs, left: bool, allowed=None) -> Runs:
-        """Every run with every word that stands before it, or after it, somewhere.
-
-        ``allowed`` says of pairs (number of the run, word) which to go on with.
-        """
+    def extended(self, runs: Runs, left: bool) -> Runs:
+        """Every run with every word that stands before it, or after it, somewhere."""
         here, there = (runs.forward, runs.backward) if left else (runs.backward, runs.forward)
         text = self.before if left else self.after
         total = int(runs.size.sum())
@@ -124,7 +136,7 @@ class Index:
         row = np.repeat(here, runs.size) + offset
         word = text[row].astype(np.int64)
         # Rows of a run by the word they are extended with, each in their order.
-        order = np.argsort(owner * self.base + word, kind="stable")
+        order = _order(owner * self.base + word, len(here) * self.base)
         owner, word, row = owner[order], word[order], row[order]
         new = np.ones(total, dtype=bool)
         new[1:] = (owner[1:] != owner[:-1]) | (word[1:] != word[:-1])
@@ -136,8 +148,6 @@ class Index:
         near = self._steps[0 if left else 1][row[at]]
         far = there[owner] + within
         keep = word > 0
-        if allowed is not None:
-            keep &= allowed(owner, word)
         owner, word, near, far, size = (x[keep] for x in (owner, word, near, far, size))
         spelt = runs.spelt[owner]
         both = [word[:, None], spelt] if left else [spelt, word[:, None]]
@@ -217,32 +227,96 @@ def _keys(lang: str, vocabulary: list[str], spelt: np.ndarray) -> np.ndarray:
     out = np.full(len(spelt), hashes[-1], dtype=np.uint64)
     for i, odd in enumerate(odd_numbers(spelt.shape[1], 10 + spelt.shape[1])):
         out += hashes[spelt[:, i] - 1] * odd
-    return mix(out).view(np.int64)
+    return mix(out)
+
 
+def _deeper(index: Index, runs: Runs | None) -> Runs:
+    """Runs of one word more: to the right, to the left, and so on."""
+    if runs is None:
+        return index.words()
+    return index.extended(runs, left=runs.spelt.shape[1] % 2 == 0)
 
-def _short_runs(index: Index) -> tuple[Runs, Runs]:
-    """All words, and all runs of two words, in an order that depends on the index only."""
-    words = index.words()
-    return words, index.extended(words, left=False)
 
+def _count_task(least: int, depth: int, bucket_bits: int):
+    """Tasks that list the counts of the runs of each shard, by key.
+
+    A row holds those of a bucket of keys, as the 32 bits of each key that follow those
+    of the bucket, in order, and its count, ``least`` at most.
+    """
 
-def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The counts of words and pairs in each shard, under a hash; numbered by place."""
-    for batch in batches:
-        for row in _rows(batch):
-            vocabulary, index = _read(row)
-            number = 0
-            for runs in _short_runs(index):
-                keys = _keys(row["lang"], vocabulary, runs.spelt)
-                for lo in range(0, len(keys), _OUT_ROWS):
-                    part = keys[lo : lo + _OUT_ROWS]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in _rows(batch):
+                vocabulary, index = _read(row)
+                runs, keys, counts = None, [], []
+                for _ in range(depth):
+                    runs = _deeper(index, runs)
+                    keys.append(_keys(row["lang"], vocabulary, runs.spelt) >> np.uint64(
+                        32 - bucket_bits))
+                    counts.append(np.minimum(runs.size, least))
+                keys, counts = np.concatenate(keys), np.concatenate(counts)
+                order = np.argsort(keys)
+                keys, counts = keys[order], counts[order].astype(_count_type(least))
+                bucket, low = (keys >> np.uint64(32)).astype(np.int64), keys.astype(np.uint32)
+                cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+                ends = np.append(cuts[1:], len(keys))
+                for at in range(0, len(cuts), 1024):
+                    some = list(zip(cuts[at : at + 1024].tolist(), ends[at : at + 1024].tolist(),
+                                    strict=True))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(part), pa.array(np.full(len(part), row["shard"])),
-                         pa.array(np.arange(number, number + len(part)), pa.int32()),
-                         pa.array(runs.size[lo : lo + _OUT_ROWS], pa.int32())],
-                        ["key", "shard", "number", "n"],
+                        [pa.array(bucket[cuts[at : at + 1024]]),
+                         pa.array([row["shard"]] * len(some), pa.int64()),
+                         pa.array([j - i for i, j in some], pa.int64()),
+                         pa.array([_planes(low[i:j]) for i, j in some], pa.binary()),
+                         pa.array([_planes(counts[i:j]) for i, j in some], pa.binary())],
+                        ["bucket", "shard", "size", "keys", "counts"],
                     )
-                    number += len(part)
+
+    return run
+
+
+def _count_type(least: int) -> str:
+    return "u1" if least < 256 else "<u4"
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers with all their first bytes together, and so on: those of sorted ones
+    repeat."""
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T)
+    return _compressed(planes)
+
+
+def _numbers(planes: bytes, size: int, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    plain = pa.decompress(planes, size * width, codec="zstd", asbytes=True)
+    by_place = np.frombuffer(plain, np.uint8).reshape(width, size).T
+    return np.ascontiguousarray(by_place).view(kind).ravel()
+
+
+def _sum_task(least: int):
+    """Sums the counts of a bucket over all shards; gives each shard its frequent keys."""
+
+    def run(table: pa.Table) -> pa.Table:
+        sizes = table.column("size").to_pylist()
+        keys, counts = (
+            np.concatenate([
+                _numbers(planes, size, kind)
+                for planes, size in zip(table.column(name).to_pylist(), sizes, strict=True)
+            ]) for name, kind in (("keys", "<u4"), ("counts", _count_type(least)))
+        )
+        order = np.argsort(keys)
+        new = np.ones(len(keys), dtype=bool)
+        new[1:] = keys[order][1:] != keys[order][:-1]
+        totals = np.add.reduceat(counts[order].astype(np.int64), np.flatnonzero(new))
+        frequent = np.empty(len(keys), dtype=bool)
+        frequent[order] = totals[np.cumsum(new) - 1] >= least
+        ends = np.cumsum(sizes)
+        found = [keys[j - n : j][frequent[j - n : j]].tobytes()
+                 for n, j in zip(sizes, ends.tolist(), strict=True)]
+        return pa.table({"shard": table.column("shard"), "bucket": table.column("bucket"),
+                         "frequent": pa.array(found, pa.binary())})
+
+    return run
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -251,51 +325,52 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         yield batch.slice(i, 1).to_pylist()[0]
 
 
-def _phrase_task(depth: int):
-    """Tasks that spell the runs that are frequent, and the longer ones made of them."""
+def _phrase_task(depth: int, bucket_bits: int):
+    """Tasks that spell the runs of each shard whose keys are frequent.
+
+    Only those of which all but the last word is such a run are looked at.  Shards of a
+    language that a task sees are added up, up to ``_HELD`` phrases at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, dict[str, int]] = {}
         for batch in batches:
             for row in _rows(batch):
                 vocabulary, index = _read(row)
-                wanted = np.array(row["numbers"], dtype=np.int64)
-                words, pairs = _short_runs(index)
-                words_here = wanted[wanted < len(words.size)]
-                pairs = pairs.only(wanted[wanted >= len(words.size)] - len(words.size))
-                known = np.sort(pairs.spelt[:, 0] * index.base + pairs.spelt[:, 1])
-                yield from _spelt(row["lang"], vocabulary, words.only(words_here))
-                runs = pairs
-                for k in range(2, depth + 1):
-                    yield from _spelt(row["lang"], vocabulary, runs)
-                    if k < depth:
-                        runs = _longer(index, runs, known, left=k % 2 == 0)
+                frequent = np.sort(np.concatenate([
+                    np.frombuffer(x["frequent"], "<u4") | np.uint64(x["bucket"] << 32)
+                    for x in row["found"]
+                ]))
+                runs, counts = None, held.setdefault(row["lang"], {})
+                for _ in range(depth):
+                    runs = _deeper(index, runs)
+                    keys = _keys(row["lang"], vocabulary, runs.spelt) >> np.uint64(32 - bucket_bits)
+                    at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
+                    runs = runs.only(np.flatnonzero(frequent[at] == keys))
+                    names = np.array(["", *vocabulary], dtype=object)
+                    for lo in range(0, len(runs.size), _OUT_ROWS):
+                        spelt = names[runs.spelt[lo : lo + _OUT_ROWS]].tolist()
+                        for words, n in zip(spelt, runs.size[lo : lo + _OUT_ROWS].tolist(),
+                                            strict=True):
+                            phrase = " ".join(words)
+                            counts[phrase] = counts.get(phrase, 0) + n
+                while sum(map(len, held.values())) > _HELD:
+                    lang = max(held, key=lambda x: len(held[x]))
+                    yield from _spelt(lang, held.pop(lang))
+        for lang, counts in held.items():
+            yield from _spelt(lang, counts)
 
     return run
 
 
-def _longer(index: Index, runs: Runs, known: np.ndarray, left: bool) -> Runs:
-    """Runs with one word more, where the pair that the word makes is known."""
-
-    def allowed(owner: np.ndarray, word: np.ndarray) -> np.ndarray:
-        near = runs.spelt[owner, 0 if left else -1]
-        pair = word * index.base + near if left else near * index.base + word
-        at = np.searchsorted(known, pair)
-        return (at < len(known)) & (known[np.minimum(at, len(known) - 1)] == pair)
-
-    if not len(known):
-        return runs.widened()
-    return index.extended(runs, left, allowed)
-
-
-def _spelt(lang: str, vocabulary: list[str], runs: Runs) -> Iterator[pa.RecordBatch]:
-    names = np.array(["", *vocabulary], dtype=object)
-    for lo in range(0, len(runs.size), _OUT_ROWS):
-        spelt = names[runs.spelt[lo : lo + _OUT_ROWS]]
-        n = len(spelt)
+def _spelt(lang: str, counts: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    phrases = list(counts)
+    for lo in range(0, len(phrases), _OUT_ROWS):
+        some = phrases[lo : lo + _OUT_ROWS]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * n), pa.array(np.full(n, spelt.shape[1]), pa.int32()),
-             pa.array([" ".join(w) for w in spelt.tolist()], pa.string()),
-             pa.array(runs.size[lo : lo + _OUT_ROWS], pa.int64())],
+            [pa.array([lang] * len(some)),
+             pa.array([p.count(" ") + 1 for p in some], pa.int32()), pa.array(some, pa.string()),
+             pa.array([counts[p] for p in some], pa.int64())],
             ["lang", "words", "phrase", "n"],
         )
 
@@ -313,15 +388,18 @@ def counted_phrases(
 
     Hashes only choose what comes back to the shards; counts are those of the words.
     """
-    counts = shards.mapInArrow(_count_task, "key long, shard long, number int, n int")
-    total = F.sum("n").over(Window.partitionBy("key"))
+    total = shards.agg(F.sum("n")).first()[0] or 0
+    bucket_bits = min(32, (total // BUCKET).bit_length())
     wanted = (
-        counts.withColumn("total", total).where(F.col("total") >= least)
-        .groupBy("shard").agg(F.collect_list("number").alias("numbers"))
+        shards.mapInArrow(_count_task(least, depth, bucket_bits),
+                          "bucket long, shard long, size long, keys binary, counts binary")
+        .groupBy("bucket").applyInArrow(_sum_task(least), "shard long, bucket long, frequent binary")
+        .where(F.length("frequent") > 0)
+        .groupBy("shard").agg(F.collect_list(F.struct("bucket", "frequent")).alias("found"))
     )
     return scratch.store(
         shards.join(wanted, "shard").mapInArrow(
-            _phrase_task(depth), "lang string, words int, phrase string, n long")
+            _phrase_task(depth, bucket_bits), "lang string, words int, phrase string, n long")
         .groupBy("lang", "words", "phrase").agg(F.sum("n").alias("a"))
         .where(F.col("a") >= least)
     )

@@ -189,9 +189,10 @@ def _prose(rng, n):
 
 
 @pytest.mark.parametrize("shard_bytes", [1, 300, 8_000_000])
-def test_phrases_equal_brute_force(spark, shard_bytes):
+def test_phrases_equal_brute_force(spark, monkeypatch, shard_bytes):
     from ledgerlink.llm import phrases
 
+    monkeypatch.setattr(phrases, "BUCKET", {1: 20, 300: 100}.get(shard_bytes, 500_000))
     rows = _prose(random.Random(shard_bytes), 120)
     df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
     df = df.withColumns({c: F.lit(1) for c in ("phrase", "words", "shard", "n")})
