@@ -1,14 +1,18 @@
-"""Toxic texts by a support vector machine over a subsequence string kernel.
+"""Toxic texts by a support vector machine over a subsequence string kernel on sentences.
 
-The kernel compares words by the subsequences of three to five characters that they
+The kernel of two words counts the subsequences of three to five characters that they
 share, ends of words included; each skipped character costs a factor, so an insult with
 inserted or missing letters stays close to itself.  Blanks and signs within a word do
-not count, and letters that stand apart ("l i k e") form a word.
-
-Nyström landmarks turn the kernel into vectors, on which a linear machine is trained.
-Because the features of the kernel are known, the landmarks are folded into one weight
-per feature afterwards: ``f(word)`` is the same function, at the cost of a table lookup.
-A text is scored by its worst word.
+not count, and letters that stand apart ("l i k e") form a word.  The kernel of two
+stretches is the sum of those of their words, over the root of the numbers of words.
+
+A label belongs to a text, not to a sentence, so the machine chooses: of each toxic text
+the stretch of a sentence, of one, two or four words, that it takes for the most toxic
+one is a positive example, stretches of clean texts are negative ones, and training and
+choice alternate.  Nyström landmarks,
+examples of both classes, turn the kernel into vectors for a linear machine.  Because the
+features of the kernel are known, the landmarks are folded into one weight per feature
+afterwards: ``f(stretch)`` is the same function, at the cost of a table lookup.
 """
 
 from __future__ import annotations
@@ -27,11 +31,17 @@ from ledgerlink.llm.language_id import letters
 from ledgerlink.llm.sketch import mix
 from ledgerlink.llm.support import Scratch, packed, slices, unpacked, wider
 
-#: Bounds of the training: labelled rows, words of either class, landmarks of either.
-MAX_TRAINING_ROWS, MAX_WORDS, LANDMARKS = 8_000, 3_000, 160
+#: Bounds of the training: labelled rows, landmarks of either class, stretches of clean
+#: texts in each round, and rounds.
+MAX_TRAINING_ROWS, LANDMARKS, NEGATIVES, ROUNDS = 8_000, 160, 1_000, 3
+#: Words of the stretches of sentences that are looked at; letters of a word that trains.
+STRETCHES, LONGEST = (1, 2, 4), 64
 
 _BUCKETS = 1 << 16
-_FIGURES = "worst double, next double, bad double, words double, score double"
+#: Counters of whole words, by hash, for the first choice.
+_WORD_BUCKETS = 1 << 20
+_FIGURES = ("worst", "next", "bad", "words", "long")
+_FIGURE_COLUMNS = ", ".join(f"{c} double" for c in (*_FIGURES, "score"))
 _DECAY = 0.5
 #: Skipped characters between the characters of a subsequence.
 _GAPS = [
@@ -70,7 +80,7 @@ class PlainWords:
         some = b > a
         start, a, b = start[some], a[some], b[some]
         a, b, start = self._with_spelled(a, b, start, begin)
-        self.first = np.searchsorted(start, begin)
+        self.start, self.first = start, np.searchsorted(start, begin)
         hashes = run_hashes(plain, a, b)
         self.hashes, at, self.row = np.unique(hashes, return_index=True, return_inverse=True)
         self.n = len(at)
@@ -145,16 +155,47 @@ class PlainWords:
             [np.bincount(word, row[bucket] * weight, self.n) / norm for row in table], axis=1
         )
 
-    def dense(self, rows: slice) -> np.ndarray:
-        """Normalised features of some distinct words, a row each."""
-        norms = self.norms()
-        lo, hi = rows.start, rows.stop
-        out = np.zeros((hi - lo, _BUCKETS), dtype=np.float32)
-        for bucket, word, weight in self.features():
-            here = (word >= lo) & (word < hi)
-            np.add.at(out, (word[here] - lo, bucket[here]), weight / norms[word[here]])
+
+class Sentences(PlainWords):
+    """Words of a batch of texts, and the stretches of the sentences that they form.
+
+    Sentences end at ``.``, ``!``, ``?`` and line ends.  ``stretches`` has the first words
+    of all stretches of each size, and the texts that they are in.
+    """
+
+    def __init__(self, texts: list[str]) -> None:
+        super().__init__(texts)
+        codes = np.frombuffer("\0".join([*texts, ""]).encode("utf-32-le"), dtype=np.uint32)
+        ends = np.concatenate([[0], np.cumsum(np.isin(codes, [0, 10, 33, 46, 63]))])
+        sentence = ends[self.start]
+        self.of = np.repeat(np.arange(len(texts)), np.diff(self.first))
+        self.stretches = []
+        for size in STRETCHES:
+            n = max(0, len(sentence) - size + 1)
+            begins = np.flatnonzero(sentence[:n] == sentence[size - 1 : size - 1 + n])
+            self.stretches.append((size, begins, self.of[begins]))
+
+    def values(self, by_word: np.ndarray) -> list[np.ndarray]:
+        """What each stretch is worth, from the worth of the words."""
+        sums = np.concatenate([[0.0], np.cumsum(by_word)])
+        return [(sums[at + size] - sums[at]) / math.sqrt(size) for size, at, _ in self.stretches]
+
+    def worst(self, values: list[np.ndarray], n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per size and text: the largest value, and the stretch that has it, or -1."""
+        out = []
+        for (_, begins, of), value in zip(self.stretches, values, strict=True):
+            best, which = np.full(n, -np.inf), np.full(n, -1)
+            order = np.lexsort((-begins, value, of))
+            last = order[np.flatnonzero(np.diff(of[order], append=-1))]
+            best[of[last]], which[of[last]] = value[last], begins[last]
+            out.append((best, which))
         return out
 
+    def spelled(self, begin: int, size: int) -> str:
+        """The words of a stretch that can train."""
+        rows = self.row[begin : begin + size]
+        return " ".join(w for w in map(self.text, rows.tolist()) if len(w) <= LONGEST)
+
 
 @dataclass
 class ToxicityModel:
@@ -164,19 +205,20 @@ class ToxicityModel:
     bias: float
     scale: np.ndarray
 
-    def figures(self, words: PlainWords) -> np.ndarray:
-        """Per text: value of the worst word, of the next worst, and logs of 1 plus the
-        numbers of words that the machine takes for toxic and of all words."""
-        f = words.scores(self.weights)[words.row] + self.bias
-        out = np.zeros((len(words.first) - 1, 4))
-        for i in range(len(out)):
-            lo, hi = words.first[i], words.first[i + 1]
-            out[i] = -3.0, -3.0, 0.0, np.log1p(hi - lo)
-            if hi > lo:
-                part = f[lo:hi]
-                out[i, 0], out[i, 2] = part.max(), np.log1p((part > 0).sum())
-                if hi - lo > 1:
-                    out[i, 1] = np.partition(part, -2)[-2]
+    def figures(self, words: Sentences) -> np.ndarray:
+        """Per text: value of the worst stretch, of the next worst word, logs of 1 plus
+        the numbers of words that the machine takes for toxic and of all, and the value
+        of the worst stretch of the largest size."""
+        n = len(words.first) - 1
+        by_word = words.scores(self.weights)[words.row]
+        best = [found for found, _ in words.worst(words.values(by_word), n)]
+        out = np.full((n, len(_FIGURES)), -3.0)
+        out[:, 0], out[:, 4] = np.max(best, axis=0) + self.bias, best[-1] + self.bias
+        for i in range(n):
+            part = by_word[words.first[i] : words.first[i + 1]] + self.bias
+            out[i, 2:4] = np.log1p((part > 0).sum()), np.log1p(len(part))
+            if len(part) > 1:
+                out[i, 1] = np.partition(part, -2)[-2]
         return np.clip(out, -3, None)
 
     def probability(self, figures: np.ndarray) -> np.ndarray:
@@ -184,7 +226,7 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 0.05) -> np.ndarray:
+def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 0.5) -> np.ndarray:
     """Linear machine with squared hinge loss, by Newton steps; last weight is the bias."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
@@ -215,55 +257,98 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return w
 
 
-def fit_words(positive: list[str], negative: list[str], landmarks: int = LANDMARKS):
-    """Feature weights and bias from labelled words.
+def sentence_vectors(sentences: list[str]) -> np.ndarray:
+    """The features of stretches whose inner product is the kernel, a row each."""
+    out = np.zeros((len(sentences), _BUCKETS), dtype=np.float32)
+    for i, sentence in enumerate(sentences):
+        words = PlainWords([sentence])
+        if words.n:
+            times = np.bincount(words.row, minlength=words.n) / words.norms()
+            for bucket, word, weight in words.features():
+                out[i] += np.bincount(bucket, times[word] * weight, _BUCKETS)
+            out[i] /= math.sqrt(len(words.row))
+    return out
+
+
+def fit_sentences(positive: list[str], negative: list[str], landmarks: int = LANDMARKS):
+    """Feature weights and bias from labelled sentences.
 
-    Landmarks are the first ``landmarks`` words of either list.
+    Landmarks are the first ``landmarks`` sentences of either list.
     """
-    listed = [*positive, *negative]
-    words = PlainWords(listed)
-    row = words.row[words.first[:-1]]
+    words = PlainWords([*positive, *negative])
     y = np.repeat([1.0, -1.0], [len(positive), len(negative)])
     cost = np.where(y > 0, 0.5 / len(positive), 0.5 / len(negative)) * len(y)
-    marks = [*positive[:landmarks], *negative[:landmarks]]
-    marked = PlainWords(marks)
-    table = marked.dense(slice(0, marked.n))
+    table = sentence_vectors([*positive[:landmarks], *negative[:landmarks]])
     values, vectors = np.linalg.eigh((table @ table.T).astype(float))
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    kernel = words.kernel(table)
-    w = _machine((kernel @ root)[row], y, cost)
+    by_word = words.kernel(table) @ root
+    sizes = np.diff(words.first)
+    x = np.zeros((len(y), by_word.shape[1]))
+    some = np.flatnonzero(sizes)
+    x[some] = np.add.reduceat(by_word[words.row], words.first[:-1][some]) / np.sqrt(
+        sizes[some])[:, None]
+    w = _machine(x, y, cost)
     return (root @ w[:-1]) @ table.astype(float), float(w[-1])
 
 
-def _word_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct words of each labelled text."""
+def _word_places(words: PlainWords) -> np.ndarray:
+    return (words.hashes & np.uint64(_WORD_BUCKETS - 1)).astype(np.int64)
+
+
+def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many toxic and how many clean texts have each word, by hash."""
+    counts = np.zeros((2, _WORD_BUCKETS))
     for batch in batches:
         for part in slices(batch, 1):
             words = PlainWords([x or "" for x in part.column(1).to_pylist()])
-            labels = part.column(0).to_pylist()
-            out = {0: [], 1: []}
-            for i, label in enumerate(labels):
-                out[label].append(np.unique(words.row[words.first[i] : words.first[i + 1]]))
-            counts = [
-                np.bincount(np.concatenate([*out[k], np.empty(0, np.int64)]).astype(np.int64),
-                            minlength=words.n)
-                for k in (0, 1)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([words.text(i) for i in range(words.n)], pa.string()),
-                 pa.array(counts[1], pa.int64()), pa.array(counts[0], pa.int64())],
-                ["word", "toxic", "clean"],
-            )
-
-
-def _word_score_task(shared):
+            places = _word_places(words)
+            for i, label in enumerate(part.column(0).to_pylist()):
+                counts[label][places[np.unique(words.row[words.first[i] : words.first[i + 1]])]] += 1
+    at = np.flatnonzero(counts.any(axis=0))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(at), pa.array(counts[1, at]), pa.array(counts[0, at])],
+        ["at", "toxic", "clean"],
+    )
+
+
+def _pick_task(shared):
+    """Tasks that give stretches of each text with their values: of a toxic text the worst
+    one, of a clean one the worst of each size, and others as ``plain``.
+
+    ``shared`` has the worth of words, by hash, or the weights of features.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias = shared.value
+        weights = shared.value
         for batch in batches:
-            words = PlainWords(batch.column(0).to_pylist())
-            value = words.scores(weights)[words.row[words.first[:-1]]] + bias
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value)], ["word", "value"])
+            for part in slices(batch, 1):
+                labels = part.column(0).to_pylist()
+                words = Sentences([x or "" for x in part.column(1).to_pylist()])
+                by_word = (weights[_word_places(words)] if len(weights) == _WORD_BUCKETS
+                           else words.scores(weights))[words.row]
+                found = words.worst(words.values(by_word), len(labels))
+                out = []
+                for i, label in enumerate(labels):
+                    some = [(float(best[i]), size, int(at[i]))
+                            for (best, at), size in zip(found, STRETCHES, strict=True) if at[i] >= 0]
+                    if label:
+                        some = [max(some, key=lambda x: (x[0], -x[1]))] if some else []
+                    out += [(label, v, words.spelled(at, size), False) for v, size, at in some]
+                    if not label:
+                        lo, n = words.first[i], words.first[i + 1] - words.first[i]
+                        for j, size in enumerate(STRETCHES):
+                            _, begins, of = words.stretches[j]
+                            own = begins[np.searchsorted(of, i) : np.searchsorted(of, i + 1)]
+                            if n and len(own):
+                                pick = int(words.hashes[words.row[lo]] % np.uint64(len(own)))
+                                out.append((label, 0.0, words.spelled(int(own[pick]), size), True))
+                columns = list(zip(*out, strict=True)) or [(), (), (), ()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(
+                        columns, (pa.int32(), pa.float64(), pa.string(), pa.bool_()), strict=True)],
+                    ["label", "value", "words", "plain"],
+                )
 
     return run
 
@@ -273,11 +358,11 @@ def _figure_task(shared):
         model: ToxicityModel = shared.value
         for batch in batches:
             for part in slices(batch, 1):
-                found = model.figures(PlainWords([x or "" for x in part.column(1).to_pylist()]))
+                found = model.figures(Sentences([x or "" for x in part.column(1).to_pylist()]))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, *(pa.array(found[:, i]) for i in range(4)),
+                    [*part.columns, *(pa.array(found[:, i]) for i in range(len(_FIGURES))),
                      pa.array(model.probability(found))],
-                    [*part.schema.names, "worst", "next", "bad", "words", "score"],
+                    [*part.schema.names, *_FIGURES, "score"],
                 )
 
     return run
@@ -293,63 +378,71 @@ def train(
 ) -> ToxicityModel | None:
     """Fit on labelled texts: about ``max_rows`` of them at most, chosen by a hash.
 
-    A text's label says only that some word of it is toxic, so words are labelled first:
-    toxic are those that occur in several toxic texts and next to never in others.  Words
-    of clean texts that the first machine takes for toxic train the second.  Rows without
-    label or text are left out; without both classes the result is None.
+    The first choice of sentences follows from how often features occur in toxic and in
+    clean texts; all features and all sentences of the chosen texts take part.  Rows
+    without label or text are left out, and so are texts whose labels contradict each
+    other; without both classes the result is None.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "toxicity")
-    known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")
-    )
+    known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(
+        F.col(id_col).alias("_id")
+    ).agg(F.min(label_col).cast("int").alias("_label"), F.max(label_col).alias("_other")).where(
+        "_label = _other").drop("_other")
     share = min(1.0, max_rows / max(1, known.count()))
-    sample = known.where(
-        F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < int(share * (1 << 20))
-    ).dropDuplicates(["_id"])
+    sample = known.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     texts = scratch.store(
         docs.where(F.col(text_col).isNotNull())
         .select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
         .join(F.broadcast(sample), "_id").select("_label", "_text")
     )
+    try:
+        return _trained(scratch, texts)
+    finally:
+        scratch.drop()
+
+
+def _trained(scratch: Scratch, texts: DataFrame) -> ToxicityModel | None:
+    spark = scratch.spark
     sizes = {r["_label"]: r["count"] for r in texts.groupBy("_label").count().collect()}
     if len(sizes) < 2:
         return None
-    words = scratch.store(
-        texts.mapInArrow(_word_task, "word string, toxic long, clean long")
-        .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where(F.length("word").between(2, 64))
+    counts = (
+        texts.mapInArrow(_count_task, "at long, toxic double, clean double")
+        .groupBy("at").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toPandas()
     )
-    ratio = sizes[0] / sizes[1]
-    positive = [
-        r["word"] for r in words.where(
-            (F.col("toxic") >= max(3, math.ceil(0.015 * sizes[1])))
-            & (F.col("toxic") * F.lit(ratio) > 12 * F.col("clean"))
-        ).orderBy(F.desc("toxic"), "word").limit(MAX_WORDS).collect()
-    ]
-    clean = words.where((F.col("clean") > 0) & (F.col("toxic") * F.lit(ratio) <= 3 * F.col("clean")))
-    negative = [
-        r["word"] for r in clean.orderBy(F.xxhash64("word"), "word").limit(MAX_WORDS).collect()
-    ]
-    if not positive or not negative:
-        return None
-    weights, bias = fit_words(positive, negative)
-    for _ in range(2):
-        shared = spark.sparkContext.broadcast((weights, bias))
-        hard = (
-            clean.select("word").mapInArrow(_word_score_task(shared), "word string, value double")
-            .orderBy(F.desc("value"), "word").limit(MAX_WORDS // 2).collect()
-        )
-        negative = list(dict.fromkeys([*negative, *(r["word"] for r in hard)]))
-        weights, bias = fit_words(positive, negative)
-    model = ToxicityModel(weights, bias, np.array([1.0, 0, 0, 0, 0]))
-    shared = spark.sparkContext.broadcast(model)
+    few = sizes[0] / sizes[1]
+    odds = np.zeros(_WORD_BUCKETS)
+    odds[counts["at"]] = np.log((counts["toxic"] + 0.5) / (sizes[1] + 1)) - np.log(
+        (counts["clean"] + few) / (sizes[0] + 2 * few)
+    )
+    weights, bias = odds, 0.0
+    negative: dict[str, None] = {}
+    for _ in range(ROUNDS):
+        picked = texts.mapInArrow(
+            _pick_task(spark.sparkContext.broadcast(weights)),
+            "label int, value double, words string, plain boolean",
+        ).where("words <> ''")
+        positive = [
+            r["words"] for r in picked.where("label = 1").select("words").distinct()
+            .orderBy(F.xxhash64("words"), "words").collect()
+        ]
+        clean = picked.where("label = 0").groupBy("words", "plain").agg(F.max("value").alias("value"))
+        if not negative:
+            first = clean.where("plain").orderBy(F.xxhash64("words"), "words")
+            negative = dict.fromkeys(r["words"] for r in first.limit(3 * NEGATIVES).collect())
+        hard = clean.where("NOT plain").orderBy(F.desc("value"), "words").limit(NEGATIVES)
+        negative |= dict.fromkeys(r["words"] for r in hard.collect())
+        positive = [w for w in positive if w not in negative]
+        if not positive or not negative:
+            return None
+        weights, bias = fit_sentences(positive, list(negative))
+    model = ToxicityModel(weights, bias, np.zeros(len(_FIGURES) + 1))
     seen = texts.mapInArrow(
-        _figure_task(shared), wider(texts, _FIGURES)
-    ).select("_label", "worst", "next", "bad", "words").toPandas()
-    scratch.drop()
+        _figure_task(spark.sparkContext.broadcast(model)), wider(texts, _FIGURE_COLUMNS)
+    ).select("_label", *_FIGURES).toPandas()
     model.scale = _logistic(
-        seen[["worst", "next", "bad", "words"]].to_numpy(float), seen["_label"].to_numpy(float)
+        seen[list(_FIGURES)].to_numpy(float), seen["_label"].to_numpy(float)
     )
     return model
 
@@ -366,7 +459,7 @@ def toxicity(docs: DataFrame, model: ToxicityModel | None, text_col: str = "text
     rows = packed(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     found = rows.mapInArrow(
-        _figure_task(shared), wider(rows, _FIGURES)
+        _figure_task(shared), wider(rows, _FIGURE_COLUMNS)
     )
     return found.select(F.struct(*unpacked(docs.columns, text_col)).alias("row"), "score")
 

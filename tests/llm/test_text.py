@@ -86,7 +86,7 @@ def test_inserted_and_spaced_letters_stay_close():
     rng = random.Random(3)
     letters = "abcdeghiklmnoprstu"
     clean = list({"".join(rng.choices(letters, k=rng.randint(3, 10))) for _ in range(800)})
-    weights, bias = toxicity.fit_words(["idiot", "stupid", "loser"], clean)
+    weights, bias = toxicity.fit_sentences(["idiot", "stupid", "loser"], clean)
 
     def value(text):
         words = toxicity.PlainWords([text])
@@ -107,6 +107,70 @@ def test_toxicity_odd_rows(spark, odd, clashing, empty):
     assert toxicity.toxicity(empty, None).collect() == []
 
 
+def _gap_kernel(one, other):
+    """The kernel of two stretches of words, from the subsequences themselves."""
+    import itertools
+
+    def features(word):
+        padded, out = f"^{word}^", {}
+        for size, most in ((3, 2), (4, 1), (5, 1)):
+            for span in range(size, size + most + 1):
+                for at in range(len(padded) - span + 1):
+                    part = padded[at : at + span]
+                    for inner in itertools.combinations(range(1, span - 1), size - 2):
+                        key = part[0] + "".join(part[i] for i in inner) + part[-1]
+                        out[size, key] = out.get((size, key), 0) + 0.5 ** (span - size)
+        return out
+
+    def plain(word):
+        """The norm takes each occurrence by itself, as the operator does."""
+        padded, total = f"^{word}^", 0
+        for size, most in ((3, 2), (4, 1), (5, 1)):
+            for span in range(size, size + most + 1):
+                gaps = len(list(itertools.combinations(range(1, span - 1), size - 2)))
+                total += gaps * max(0, len(padded) - span + 1) * 0.25 ** (span - size)
+        return total**0.5
+
+    total = 0
+    for a in one.split():
+        for b in other.split():
+            fa, fb = features(a), features(b)
+            dot = sum(v * fb.get(k, 0) for k, v in fa.items())
+            total += dot / (plain(a) * plain(b))
+    return total / (len(one.split()) * len(other.split())) ** 0.5
+
+
+def test_folded_landmarks_are_the_gap_kernel():
+    stretches = ["stupid", "stxupid fool", "you are a stupid fool", "kind words", "idiot idiot",
+                 "st upid", "wonderful"]
+    vectors = toxicity.sentence_vectors(stretches).astype(float)
+    for i, one in enumerate(stretches):
+        for j, other in enumerate(stretches):
+            # Features share 65,536 buckets, so a little more may agree.
+            assert abs(vectors[i] @ vectors[j] - _gap_kernel(one, other)) < 0.02, (one, other)
+    # The weights that the machine is folded into give the value of the kernel machine.
+    weights, bias = toxicity.fit_sentences(stretches[:3], stretches[3:4] + ["good day to you"])
+    words = toxicity.Sentences([" ".join(stretches)])
+    by_word = words.scores(weights)[words.row]
+    sizes = dict(zip(toxicity.STRETCHES, words.values(by_word), strict=True))
+    direct = toxicity.sentence_vectors(["stupid", "stxupid fool"]) @ weights
+    assert abs(sizes[1][0] - direct[0]) < 1e-4 and abs(sizes[2][1] - direct[1]) < 1e-4
+
+
+def test_labels_that_contradict_each_other_teach_nothing(spark):
+    docs = spark.createDataFrame(
+        [(i, ("you idiot" if i % 2 else "good day") + f" word{i % 7}.") for i in range(40)],
+        "doc_id long, text string")
+    rows = [(i, i % 2) for i in range(40)]
+    wrong = [(i, 1 - i % 2) for i in range(0, 40, 4)]
+    both = spark.createDataFrame(rows + rows[:5] + wrong, "doc_id long, toxic int")
+    agreed = spark.createDataFrame([r for r in rows if r[0] % 4], "doc_id long, toxic int")
+    one, other = (toxicity.train(docs, labels) for labels in (both, agreed))
+    assert (one.weights == other.weights).all() and (one.scale == other.scale).all()
+    contradicted = spark.createDataFrame(rows + [(i, 1 - y) for i, y in rows], "doc_id long, toxic int")
+    assert toxicity.train(docs, contradicted) is None
+
+
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
     re.I | re.A)
