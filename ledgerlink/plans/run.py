@@ -12,10 +12,11 @@ from ledgerlink import fixed_values as fv
 from ledgerlink.config import Expected
 from ledgerlink.operators import clean, dedup, reconcile
 from ledgerlink.operators.segment import require_spread, segment
+from ledgerlink.quality.checks import stages_of
 from ledgerlink.quality.gate import validate
 from ledgerlink.sources.sinks import write_json, write_revenue_report, write_segments
 from ledgerlink.sources.specs import SourceSpec, manifest, read_source, stage_frame
-from ledgerlink.sources.store import TableStore, drop_stored, stored_so_far, together
+from ledgerlink.sources.store import TableStore, own_scratch, together
 
 # Stored tables in the order of a run, with the key each is laid out by.
 TABLES = {
@@ -35,11 +36,36 @@ TABLES = {
     "wine_segmentation": "product_id",
 }
 
+# The tables that each table is built from.
+INPUTS = {
+    "erp_not_null": ("raw_erp",),
+    "liaison_valid": ("raw_liaison",),
+    "web_not_null": ("raw_web",),
+    "erp_clean": ("erp_not_null",),
+    "liaison_clean": ("liaison_valid",),
+    "web_clean": ("web_not_null",),
+    "merged_wines": ("erp_clean", "liaison_clean", "web_clean"),
+    "revenue_by_product": ("merged_wines",),
+    "revenue_summary": ("merged_wines",),
+    "wine_segmentation": ("revenue_by_product",),
+}
+# The tables that the checks of each stage read.
+CHECKED = {
+    "cleaning": ("erp_not_null", "liaison_valid", "web_not_null", "erp_clean",
+                 "liaison_clean", "web_clean"),
+    "merge": ("merged_wines",),
+    "revenue": ("merged_wines", "revenue_by_product", "revenue_summary"),
+    "segmentation": ("revenue_by_product", "wine_segmentation"),
+}
+
 
 def _save(store: TableStore, **tables: DataFrame) -> dict[str, DataFrame]:
     """Store tables that do not depend on each other, side by side."""
     saved = together(
-        *(partial(store.save, name, df, TABLES[name]) for name, df in tables.items())
+        *(
+            partial(store.save, name, df, TABLES[name], INPUTS.get(name, ()))
+            for name, df in tables.items()
+        )
     )
     return dict(zip(tables, saved, strict=True))
 
@@ -133,9 +159,11 @@ def build_segments(store: TableStore, out: str | None = None) -> dict[str, objec
     return metrics
 
 
-def stored_tables(store: TableStore) -> Mapping[str, DataFrame]:
-    """Every table that this run has stored so far."""
-    return {name: store.load(name) for name in TABLES if store.exists(name)}
+def stored_tables(
+    store: TableStore, names: Sequence[str] = tuple(TABLES)
+) -> Mapping[str, DataFrame]:
+    """Those of the tables that were stored so far."""
+    return {name: store.load(name) for name in names if store.exists(name)}
 
 
 def attach_existing(store: TableStore) -> None:
@@ -149,8 +177,14 @@ def validate_stage(
     expected: Expected = Expected(),
     out: str | None = None,
 ) -> dict[str, object]:
-    """Check one stage, or all, of the stored tables."""
-    return validate(store.spark, stored_tables(store), stage_name, expected, out)
+    """Check one stage, or all, of the stored tables.
+
+    Tables of which one was built from a replaced version of another are refused before
+    anything is checked: a stage of an ended run beside a newer one, for instance.
+    """
+    names = list(dict.fromkeys(n for stage in stages_of(stage_name) for n in CHECKED[stage]))
+    store.require_one_set(names)
+    return validate(store.spark, stored_tables(store, names), stage_name, expected, out)
 
 
 def export(store: TableStore, out: str) -> dict[str, object]:
@@ -172,20 +206,20 @@ def run(
     buckets: int | None = None,
 ) -> dict[str, object]:
     """Run everything below ``out``; the first stage that fails ends the run."""
-    mark = stored_so_far()
     store = TableStore(spark, f"{out}/tables", database, buckets)
     reports = f"{out}/outputs"
-    stage(store, sources, f"{out}/staging")
-    build_clean(store)
-    build_dedup(store)
-    validate_stage(store, "cleaning", expected, reports)
-    build_merged(store)
-    validate_stage(store, "merge", expected, reports)
-    build_revenue(store)
-    validate_stage(store, "revenue", expected, reports)
-    build_segments(store, reports)
-    validate_stage(store, "segmentation", expected, reports)
-    report = validate_stage(store, "all", expected, reports)
-    export(store, reports)
-    drop_stored(spark, mark)
+    with own_scratch(spark):
+        stage(store, sources, f"{out}/staging")
+        build_clean(store)
+        build_dedup(store)
+        validate_stage(store, "cleaning", expected, reports)
+        build_merged(store)
+        validate_stage(store, "merge", expected, reports)
+        build_revenue(store)
+        validate_stage(store, "revenue", expected, reports)
+        build_segments(store, reports)
+        validate_stage(store, "segmentation", expected, reports)
+        report = validate_stage(store, "all", expected, reports)
+        export(store, reports)
+    store.vacuum()
     return report

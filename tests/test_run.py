@@ -13,7 +13,12 @@ from ledgerlink.quality.gate import QualityGateError
 from ledgerlink.sources import specs
 from ledgerlink.sources.sinks import read_json, write_csv
 from ledgerlink.sources.specs import SourceSpec
-from ledgerlink.sources.store import TableStore
+from ledgerlink.sources.store import (
+    MixedVersionsError,
+    TableStore,
+    scratch_root,
+    together,
+)
 from parity import raw_tables
 
 EXPECTED = Expected(192, 193, 395, 200, 174, fv.Decimal("141101332.80"), 7)
@@ -109,6 +114,44 @@ def test_a_failed_gate_ends_the_run(spark, inputs, tmp_path):
     assert store.exists("merged_wines") and not store.exists("revenue_by_product")
 
 
+def test_a_newer_stage_beside_older_ones_is_refused(spark, inputs, tmp_path):
+    """A second run that ended early leaves tables of the first beside its own."""
+    plans.run(spark, inputs, str(tmp_path), EXPECTED, "twice")
+    store = TableStore(spark, f"{tmp_path}/tables", "twice")
+    plans.stage(store, inputs)
+    plans.build_clean(store)
+    plans.build_dedup(store)
+    assert plans.validate_stage(store, "cleaning", EXPECTED)["status"] == "passed"
+    for stage in ("merge", "revenue", "segmentation", "all"):
+        with pytest.raises(MixedVersionsError, match="merged_wines"):
+            plans.validate_stage(store, stage, EXPECTED)
+    plans.build_merged(store)
+    assert plans.validate_stage(store, "merge", EXPECTED)["status"] == "passed"
+
+
+def test_runs_side_by_side_leave_no_scratch(spark, inputs, tmp_path):
+    before = set(_scratch_folders(spark))
+    wrong = Expected(192, 193, 395, 200, 173, fv.Decimal("141101332.80"), 7)
+
+    def refused():
+        with pytest.raises(QualityGateError):
+            plans.run(spark, inputs, f"{tmp_path}/bad", wrong, "side_bad")
+        return "refused"
+
+    good, bad = together(
+        lambda: plans.run(spark, inputs, f"{tmp_path}/good", EXPECTED, "side_good"), refused
+    )
+    assert good["status"] == "passed" and bad == "refused"
+    assert set(_scratch_folders(spark)) <= before
+
+
+def _scratch_folders(spark):
+    from pathlib import Path
+
+    root = Path(scratch_root(spark).removeprefix("file:"))
+    return [p.name for p in root.glob("ledgerlink-*/*/*") if any(p.iterdir())]
+
+
 def test_commands_return_a_status(spark, inputs, finished, tmp_path, capsys):
     out, _ = finished
     base = ["--tables", f"{out}/tables", "--out", str(tmp_path), "--database", "later"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ledgerlink import SourceSpec
 from ledgerlink.plans import run as plans
 from ledgerlink.sources import store as stores
-from ledgerlink.sources.store import TableStore
+from ledgerlink.sources.store import MixedVersionsError, TableStore
 
 
 def test_two_roots_in_one_database(spark, tmp_path):
@@ -35,7 +35,69 @@ def test_a_failed_write_leaves_the_table(spark, tmp_path):
     assert store.load("numbers").count() == 5
     store.save("numbers", spark.range(7))
     assert store.load("numbers").count() == 7
-    assert len(store._versions("numbers")) == 1
+    assert store.vacuum() == []
+    # Of three written folders, one failed, the present one stays.
+    assert len(store.vacuum(retain_seconds=0)) == 2
+    assert store._files("numbers") == [store.location("numbers").rsplit("/", 1)[1]]
+    assert store.load("numbers").count() == 7
+
+
+def test_a_frame_outlives_the_version_that_it_reads(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), "readers")
+    before = store.save("numbers", spark.range(5))
+    doubled = before.selectExpr("id * 2 AS id")
+    after = store.save("numbers", doubled, inputs=["numbers"])
+    assert (before.count(), doubled.agg(F.max("id")).first()[0], after.count()) == (5, 8, 5)
+    again = TableStore(spark, str(tmp_path), "other_readers")
+    assert again.load("numbers").agg(F.max("id")).first()[0] == 8
+
+
+def test_mixed_versions_are_refused(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path), "mixed")
+    store.save("raw", spark.range(5))
+    store.save("clean", store.load("raw"), inputs=["raw"])
+    store.save("merged", store.load("clean"), inputs=["clean"])
+    store.require_one_set(["merged"])
+    held = store.load("clean")
+    store.save("raw", spark.range(6))
+    assert store.stale(["merged"]) == {"clean": ["raw"]}
+    with pytest.raises(MixedVersionsError, match="clean .from another raw."):
+        store.require_one_set(["merged"])
+    store.save("clean", store.load("raw"), inputs=["raw"])
+    # Built from the version that was loaded, whatever is present when it is written.
+    store.load("clean")
+    assert store.stale(["merged"]) == {"merged": ["clean"]}
+    store.save("merged", held, inputs=["clean"])
+    other = TableStore(spark, str(tmp_path), "mixed")
+    assert other.stale(["merged"]) == {} and held.count() == 5
+
+
+def test_tables_stored_at_once_all_enter_the_set(spark, tmp_path):
+    stores_ = [TableStore(spark, str(tmp_path), "at_once") for _ in range(2)]
+    stores.together(*(
+        lambda i=i: stores_[i % 2].save(f"t{i}", spark.range(i)) for i in range(8)
+    ))
+    assert sorted(stores_[0].current()) == [f"t{i}" for i in range(8)]
+    assert [stores_[1].load(f"t{i}").count() for i in range(8)] == list(range(8))
+
+
+def test_runs_keep_their_scratch_apart(spark):
+    outside = stores.stored(spark.range(2), "outside")
+    with stores.own_scratch(spark) as outer:
+        mine = stores.stored(spark.range(3), "mine")
+        with pytest.raises(ValueError, match="stop"), stores.own_scratch(spark) as inner:
+            stores.together(lambda: stores.stored(spark.range(4), "a"),
+                            lambda: stores.stored(spark.range(5), "b"))
+            assert len(inner) == 2 and len(outer) == 1
+            gone = list(inner)
+            raise ValueError("stop")
+        assert inner == [] and mine.count() == 3
+        for path in gone:
+            with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+                spark.read.parquet(path)
+    assert outer == [] and outside.count() == 2
+    with pytest.raises(Exception, match="no"), stores.own_scratch(spark):
+        stores.stored(spark.range(3).select(F.raise_error(F.lit("no")).alias("x")), "bad")
 
 
 def test_layout_is_kept_on_attach(spark, tmp_path):
@@ -85,9 +147,10 @@ def test_scratch_lies_in_a_shared_folder_and_can_be_dropped(spark):
     assert stores.scratch_root(named) == "hdfs://a/b"
     unnamed = _Session(spark_sql_warehouse_dir="hdfs://w/")
     assert stores.scratch_root(unnamed) == "hdfs://w/scratch"
-    kept, mark = stores.stored(spark.range(3), "few"), stores.stored_so_far()
     gone = stores.stored(spark.range(4), "few")
-    stores.drop_stored(spark, mark)
-    assert kept.count() == 3
+    with stores.own_scratch(spark):
+        kept = stores.stored(spark.range(3), "few")
+        stores.drop_stored(spark)
+        assert kept.count() == 3
     with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
         gone.count()
