@@ -11,6 +11,7 @@ frequent phrase is lost.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,15 +29,13 @@ UNKNOWN = "und"
 #: Bytes of text that become one shard, or one longer text.
 SHARD_BYTES = 8_000_000
 #: Bytes of texts of all languages that a task gathers.
-_GATHERED = 32_000_000
+_GATHERED = 16_000_000
 #: Words of the corpus for each bucket in which counts are summed.
 BUCKET = 500_000
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _INSIDE = byte_class(lambda b: b not in (0x20, 0x09) and b not in _ENDS)
 _END = byte_class(lambda b: b in _ENDS)
 _OUT_ROWS = 65_536
-#: Phrases of all languages whose counts a task adds up before it gives them out.
-_HELD = 400_000
 
 
 class Shard:
@@ -92,8 +91,8 @@ def _transform(words: np.ndarray) -> np.ndarray:
 
 
 def _inverse(order: np.ndarray) -> np.ndarray:
-    out = np.empty(len(order), dtype=np.int64)
-    out[order] = np.arange(len(order))
+    out = np.empty(len(order), dtype=np.int32)
+    out[order] = np.arange(len(order), dtype=np.int32)
     return out
 
 
@@ -123,34 +122,37 @@ class Index:
 
     def words(self) -> Runs:
         """All runs of one word."""
-        some = np.flatnonzero(self.counts[1:]) + 1
-        return Runs(self.first[some], self.first[some], self.counts[some], some[:, None])
+        some = (np.flatnonzero(self.counts[1:]) + 1).astype(np.int32)
+        first = self.first[some].astype(np.int32)
+        return Runs(first, first, self.counts[some].astype(np.int32), some[:, None])
 
     def extended(self, runs: Runs, left: bool) -> Runs:
         """Every run with every word that stands before it, or after it, somewhere."""
         here, there = (runs.forward, runs.backward) if left else (runs.backward, runs.forward)
         text = self.before if left else self.after
-        total = int(runs.size.sum())
-        owner = np.repeat(np.arange(len(here)), runs.size)
-        offset = np.arange(total) - np.repeat(np.cumsum(runs.size) - runs.size, runs.size)
-        row = np.repeat(here, runs.size) + offset
-        word = text[row].astype(np.int64)
+        begins = np.cumsum(runs.size, dtype=np.int64) - runs.size
+        total = int(runs.size.sum(dtype=np.int64))
+        owner = np.repeat(np.arange(len(here), dtype=np.int32), runs.size)
+        row = np.repeat((here - begins).astype(np.int32), runs.size)
+        row += np.arange(total, dtype=np.int32)
         # Rows of a run by the word they are extended with, each in their order.
-        order = _order(owner * self.base + word, len(here) * self.base)
-        owner, word, row = owner[order], word[order], row[order]
+        keys = owner.astype(np.int64) * self.base + text[row]
+        order = _order(keys, len(here) * self.base)
+        keys, row = keys[order], row[order]
+        del order, owner
         new = np.ones(total, dtype=bool)
-        new[1:] = (owner[1:] != owner[:-1]) | (word[1:] != word[:-1])
+        new[1:] = keys[1:] != keys[:-1]
         at = np.flatnonzero(new)
-        size = np.diff(np.append(at, total))
-        owner, word = owner[at], word[at]
+        size = np.diff(np.append(at, total)).astype(np.int32)
+        owner, word = np.divmod(keys[at], self.base)
         # In the other direction a run's extensions follow each other by word.
-        within = at - (np.cumsum(runs.size) - runs.size)[owner]
+        far = (there[owner] + (at - begins[owner])).astype(np.int32)
         near = self._steps[0 if left else 1][row[at]]
-        far = there[owner] + within
+        del keys, row, new, at
         keep = word > 0
         owner, word, near, far, size = (x[keep] for x in (owner, word, near, far, size))
-        spelt = runs.spelt[owner]
-        both = [word[:, None], spelt] if left else [spelt, word[:, None]]
+        spelt, word = runs.spelt[owner], word.astype(np.int32)[:, None]
+        both = [word, spelt] if left else [spelt, word]
         forward, backward = (near, far) if left else (far, near)
         return Runs(forward, backward, size, np.concatenate(both, axis=1))
 
@@ -326,14 +328,12 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
 
 
 def _phrase_task(depth: int, bucket_bits: int):
-    """Tasks that spell the runs of each shard whose keys are frequent.
+    """Tasks that spell the runs of each shard whose keys are frequent, by bucket.
 
-    Only those of which all but the last word is such a run are looked at.  Shards of a
-    language that a task sees are added up, up to ``_HELD`` phrases at a time.
+    Only those of which all but the last word is such a run are looked at.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, dict[str, int]] = {}
         for batch in batches:
             for row in _rows(batch):
                 vocabulary, index = _read(row)
@@ -341,38 +341,60 @@ def _phrase_task(depth: int, bucket_bits: int):
                     np.frombuffer(x["frequent"], "<u4") | np.uint64(x["bucket"] << 32)
                     for x in row["found"]
                 ]))
-                runs, counts = None, held.setdefault(row["lang"], {})
+                names = np.array(["", *vocabulary], dtype=object)
+                runs, listed = None, []
                 for _ in range(depth):
                     runs = _deeper(index, runs)
                     keys = _keys(row["lang"], vocabulary, runs.spelt) >> np.uint64(32 - bucket_bits)
                     at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
-                    runs = runs.only(np.flatnonzero(frequent[at] == keys))
-                    names = np.array(["", *vocabulary], dtype=object)
-                    for lo in range(0, len(runs.size), _OUT_ROWS):
-                        spelt = names[runs.spelt[lo : lo + _OUT_ROWS]].tolist()
-                        for words, n in zip(spelt, runs.size[lo : lo + _OUT_ROWS].tolist(),
-                                            strict=True):
-                            phrase = " ".join(words)
-                            counts[phrase] = counts.get(phrase, 0) + n
-                while sum(map(len, held.values())) > _HELD:
-                    lang = max(held, key=lambda x: len(held[x]))
-                    yield from _spelt(lang, held.pop(lang))
-        for lang, counts in held.items():
-            yield from _spelt(lang, counts)
+                    some = np.flatnonzero(frequent[at] == keys)
+                    runs = runs.only(some)
+                    listed += zip(
+                        (keys[some] >> np.uint64(32)).tolist(),
+                        map(" ".join, names[runs.spelt].tolist()), runs.size.tolist(), strict=True,
+                    )
+                listed.sort()
+                out = []
+                for bucket, group in itertools.groupby(listed, key=lambda x: x[0]):
+                    phrases, counts = zip(*((p, n) for _, p, n in group), strict=True)
+                    text = "\n".join(phrases).encode()
+                    out.append((bucket, row["lang"], len(text),
+                                pa.compress(text, codec="zstd", asbytes=True),
+                                len(counts), _planes(np.array(counts, dtype="<u4"))))
+                for lo in range(0, len(out), 1024):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(
+                            zip(*out[lo : lo + 1024], strict=True),
+                            (pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.int64(),
+                             pa.binary()), strict=True)],
+                        ["bucket", "lang", "spelt", "phrases", "size", "counts"],
+                    )
 
     return run
 
 
-def _spelt(lang: str, counts: dict[str, int]) -> Iterator[pa.RecordBatch]:
-    phrases = list(counts)
-    for lo in range(0, len(phrases), _OUT_ROWS):
-        some = phrases[lo : lo + _OUT_ROWS]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(some)),
-             pa.array([p.count(" ") + 1 for p in some], pa.int32()), pa.array(some, pa.string()),
-             pa.array([counts[p] for p in some], pa.int64())],
-            ["lang", "words", "phrase", "n"],
-        )
+def _add_task(least: int):
+    """Adds up what the shards have spelled of a bucket, phrase by phrase."""
+
+    def run(table: pa.Table) -> pa.Table:
+        totals: dict[tuple[str, str], int] = {}
+        for _, lang, spelt, phrases, size, counts in zip(
+            *(c.to_pylist() for c in table.columns), strict=True
+        ):
+            text = pa.decompress(phrases, spelt, codec="zstd", asbytes=True).decode()
+            for phrase, n in zip(text.split("\n"), _numbers(counts, size, "<u4").tolist(),
+                                 strict=True):
+                key = lang, phrase
+                totals[key] = totals.get(key, 0) + n
+        found = [(*key, n) for key, n in totals.items() if n >= least]
+        return pa.table({
+            "lang": pa.array([x[0] for x in found], pa.string()),
+            "words": pa.array([x[1].count(" ") + 1 for x in found], pa.int32()),
+            "phrase": pa.array([x[1] for x in found], pa.string()),
+            "a": pa.array([x[2] for x in found], pa.int64()),
+        })
+
+    return run
 
 
 def _part(start: Column | int, size: Column | int) -> Column:
@@ -399,9 +421,10 @@ def counted_phrases(
     )
     return scratch.store(
         shards.join(wanted, "shard").mapInArrow(
-            _phrase_task(depth, bucket_bits), "lang string, words int, phrase string, n long")
-        .groupBy("lang", "words", "phrase").agg(F.sum("n").alias("a"))
-        .where(F.col("a") >= least)
+            _phrase_task(depth, bucket_bits),
+            "bucket long, lang string, spelt long, phrases binary, size long, counts binary")
+        .groupBy("bucket")
+        .applyInArrow(_add_task(least), "lang string, words int, phrase string, a long")
     )
 
 
