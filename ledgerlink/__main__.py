@@ -26,10 +26,10 @@ def _sources(args: argparse.Namespace) -> list[SourceSpec]:
     return [SourceSpec(name, path, args.format) for name, _, path in pairs]
 
 
-def _expected(text: str | None) -> Expected:
-    """Expected values from a JSON object; without one, the published ones."""
-    if text is None:
-        return Expected()
+def _expected(text: str) -> Expected:
+    """Expected values from a JSON object, or the published ones by that name."""
+    if text == "published":
+        return Expected.published()
     values = json.loads(text, parse_float=Decimal)
     if values.get("total_revenue") is not None:
         values["total_revenue"] = Decimal(str(values["total_revenue"]))
@@ -58,7 +58,11 @@ def parser() -> argparse.ArgumentParser:
             )
             added.add_argument("--format", default="parquet")
         if name in ("validate", "run"):
-            added.add_argument("--expected", help="JSON object of expected values")
+            added.add_argument(
+                "--expected", required=True,
+                help="JSON object of expected values, or 'published' for those of the "
+                "original data set",
+            )
         return added
 
     command("stage", "store the sources as text tables")

@@ -148,8 +148,8 @@ def exact_moments(df: DataFrame, value: Column, **others: Column) -> DataFrame:
 def exact_text(amount: Column) -> Column:
     """An amount as it is, not rounded to cents, with two decimals at least.
 
-    Six decimals are shown, less the zeros at the end, so that a deviation below a
-    cent stays visible.
+    The nine decimals that amounts add up with are shown, less the zeros at the end, so
+    that no deviation below a cent is hidden.
     """
-    full = amount.cast("decimal(38,6)").cast("string")
+    full = amount.cast("decimal(38,9)").cast("string")
     return F.regexp_replace(full, r"(\.[0-9]{2}[0-9]*?)0+$", "$1")

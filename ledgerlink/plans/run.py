@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlink import fixed_values as fv
 from ledgerlink.config import Expected
 from ledgerlink.operators import clean, dedup, reconcile
-from ledgerlink.operators.segment import require_spread, segment
+from ledgerlink.operators.segment import Spread, require_spread, segment
 from ledgerlink.quality.checks import stages_of
 from ledgerlink.quality.gate import validate
 from ledgerlink.sources.sinks import write_json, write_revenue_report, write_segments
@@ -90,19 +90,18 @@ def stage(
         },
     )
     staged = {name.removeprefix("raw_"): df for name, df in raw.items()}
-    lines = {
-        row["source"]: {
-            "rows": row["rows"],
-            "columns": row["columns"],
-            "full_row_duplicates": row["full_row_duplicates"],
-        }
-        for row in manifest(staged).collect()
-    }
+    lines = manifest_lines(staged)
     if out is not None:
         write_json(store.spark, f"{out}/staging_manifest.json", lines)
     return lines
 
 
+def manifest_lines(staged: Mapping[str, DataFrame]) -> dict[str, dict[str, int]]:
+    """Rows, columns and repeated rows of every staged source, as the document has them."""
+    counts = ("rows", "columns", "full_row_duplicates")
+    return {row["source"]: {c: row[c] for c in counts} for row in manifest(staged).collect()}
+
+
 def build_clean(store: TableStore) -> None:
     _save(
         store,
@@ -143,20 +142,25 @@ def build_segments(store: TableStore, out: str | None = None) -> dict[str, objec
     known = require_spread(detail)
     scored = _save(store, wine_segmentation=segment(detail, known=known))
     segments = scored["wine_segmentation"]
+    metrics = score_metrics(segments, known)
+    if out is not None:
+        write_segments(segments, out)
+        write_json(store.spark, f"{out}/zscore_metrics.json", metrics)
+    return metrics
+
+
+def score_metrics(segments: DataFrame, known: Spread) -> dict[str, object]:
+    """Statistics and class sizes, as the document of the z-scores has them."""
     counts = segments.agg(
         F.count_if(F.col("category") == fv.PREMIUM).alias("premium"),
         F.count_if(F.col("category") == fv.ORDINARY).alias("ordinary"),
     ).first()
-    metrics = {
+    return {
         "mean_price": round(known.mean, 6),
         "population_standard_deviation": round(known.stddev, 6),
         "premium_count": counts["premium"],
         "ordinary_count": counts["ordinary"],
     }
-    if out is not None:
-        write_segments(segments, out)
-        write_json(store.spark, f"{out}/zscore_metrics.json", metrics)
-    return metrics
 
 
 def stored_tables(
@@ -173,8 +177,8 @@ def attach_existing(store: TableStore) -> None:
 
 def validate_stage(
     store: TableStore,
-    stage_name: str = "all",
-    expected: Expected = Expected(),
+    stage_name: str,
+    expected: Expected,
     out: str | None = None,
 ) -> dict[str, object]:
     """Check one stage, or all, of the stored tables.
@@ -201,7 +205,7 @@ def run(
     spark: SparkSession,
     sources: Sequence[SourceSpec],
     out: str,
-    expected: Expected = Expected(),
+    expected: Expected,
     database: str = "default",
     buckets: int | None = None,
 ) -> dict[str, object]:

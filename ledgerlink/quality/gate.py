@@ -67,8 +67,8 @@ def report_name(stage: str) -> str:
 def validate(
     spark: SparkSession,
     tables: c.Tables,
-    stage: str = "all",
-    expected: Expected = Expected(),
+    stage: str,
+    expected: Expected,
     out: str | None = None,
 ) -> dict[str, object]:
     """Check a stage; the report is written before a failure is raised.

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlink import fixed_values as fv
 from ledgerlink.operators.report import report_detail, report_summary
@@ -43,6 +44,22 @@ def read_json(spark: SparkSession, path: str) -> dict[str, object]:
     return json.loads(row["value"])
 
 
+def json_numbers(spark: SparkSession, path: str) -> DataFrame:
+    """The numbers of a document that ``write_json`` wrote: ``key`` and ``value``.
+
+    Those of an inner object have its name before theirs.
+    """
+    cells = spark.read.text(path, wholetext=True).where("value <> ''").select(
+        F.explode(F.from_json("value", "map<string,string>")).alias("key", "text")
+    )
+    inner = F.from_json("text", "map<string,double>")
+    plain = F.create_map(F.lit(""), F.col("text").try_cast("double"))
+    return cells.select(
+        "key", F.explode(F.when(F.col("text").startswith("{"), inner).otherwise(plain))
+        .alias("part", "value")
+    ).select(F.concat_ws(".", "key", F.nullif("part", F.lit(""))).alias("key"), "value")
+
+
 def write_segments(segments: DataFrame, out: str) -> None:
     """Both segment lists, in report order."""
     names = {fv.PREMIUM: "vins_premium.csv", fv.ORDINARY: "vins_ordinaires.csv"}

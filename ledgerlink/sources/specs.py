@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
-from functools import partial, reduce
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlink import fixed_values as fv
+from ledgerlink.functions.bitmaps import with_listed
 from ledgerlink.functions.text import normalize_identifiers
-from ledgerlink.sources.store import stored, together
 
 # Delimited text as the source system writes it: quotes are doubled, cells may
 # hold line ends, an empty cell is null.  Types are never inferred.
@@ -91,25 +91,18 @@ def stage_frame(df: DataFrame) -> DataFrame:
 def full_row_duplicates(df: DataFrame) -> Column:
     """Number of rows that repeat an earlier row in every column, as a scalar.
 
-    Whole rows are wide and repeats are rare, so the first pass shuffles a hash
-    per row instead of the row.  Only rows whose hash occurs more than once are
-    then compared in full, which makes the count exact.  Copies collapse before
-    each shuffle, however many there are.
-
-    The repeated hashes are written before they are joined: the planner then knows
-    their size, and broadcasts a short list instead of shuffling the wide rows.
+    Whole rows are wide and repeats are rare, so the first pass counts a hash per row, on
+    the map side first.  A bitmap of the hashes that repeat is broadcast, and only rows
+    that it knows are shuffled to be compared in full, copies collapsed before; that makes
+    the count exact.  No job runs while the frame is built.
     """
-    columns = [F.col(f"`{name}`") for name in df.columns]
-    hashed = df.withColumn("_hash", F.xxhash64(*columns))
-    repeated = stored(
-        hashed.groupBy("_hash")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > 1)
-        .select("_hash"),
-        "repeated_hashes",
+    rows = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    hashed = rows.withColumn("_hash", F.xxhash64(*rows.columns))
+    repeated = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    marked = with_listed(hashed, F.col("_hash"), repeated, F.col("_hash"), "_again")
+    copies = marked.where("_again").groupBy("_hash", *rows.columns).agg(
+        F.count(F.lit(1)).alias("n")
     )
-    candidates = hashed.join(repeated, "_hash", "left_semi")
-    copies = candidates.groupBy("_hash", *columns).agg(F.count(F.lit(1)).alias("n"))
     return copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).scalar()
 
 
@@ -125,8 +118,7 @@ def manifest(staged: Mapping[str, DataFrame]) -> DataFrame:
             full_row_duplicates(df).alias("full_row_duplicates"),
         )
 
-    lines = together(*(partial(line, name, df) for name, df in staged.items()))
-    return union_all(lines)
+    return union_all(line(name, df) for name, df in staged.items())
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:

@@ -22,7 +22,7 @@ from ledgerlink.operators.faults import Change
 from ledgerlink.quality import measures as m
 from ledgerlink.quality.checks import check_frame
 from ledgerlink.plans import run as plans
-from ledgerlink.sources.sinks import write_csv
+from ledgerlink.sources.sinks import json_numbers, write_csv, write_json
 from ledgerlink.sources.specs import (
     SourceSpec,
     manifest,
@@ -587,6 +587,27 @@ def sql_step_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
         unregister(spark, "given_bridge")
 
 
+def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers of the JSON documents of a run, written and read back."""
+    t, folder = _with_revenue(spark, sf_dir), scratch_path(spark, "documents")
+    known = segment.require_spread(t.revenue_by_product)
+    raw = {"erp": t.raw_erp, "liaison": t.raw_liaison, "web": t.raw_web}
+    documents = {
+        "zscore_metrics": plans.score_metrics(
+            segment.segment(t.revenue_by_product, known=known), known
+        ),
+        "staging_manifest": plans.manifest_lines(
+            {name: stage_frame(df) for name, df in raw.items()}
+        ),
+    }
+    for name, document in documents.items():
+        write_json(spark, f"{folder}/{name}.json", document)
+    return union_all(
+        json_numbers(spark, f"{folder}/{name}.json").select(F.lit(name).alias("document"), "*")
+        for name in documents
+    )
+
+
 def run_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The segments that a complete gated run leaves behind."""
     t, folder = Tables(spark, sf_dir), scratch_path(spark, "run")
@@ -658,5 +679,6 @@ QUERIES: dict[str, Query] = {
     "part_revenue_outliers": part_revenue_outliers,
     "csv_round_trip": csv_round_trip,
     "sql_step_bound": sql_step_bound,
+    "report_documents": report_documents,
     "run_segments": run_segments,
 }

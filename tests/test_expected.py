@@ -59,9 +59,9 @@ def test_signed_nan_is_nan(spark):
 
 
 def test_amounts_are_shown_as_they_are(spark):
-    df = spark.createDataFrame([(141101332.8,), (0.125,), (7.0,), (None,)], "a double")
+    df = spark.createDataFrame([(141101332.8,), (0.125,), (7.0,), (1.00000012,), (None,)], "a double")
     texts = [r[0] for r in df.select(exact_text(F.col("a"))).collect()]
-    assert texts == ["141101332.80", "0.125", "7.00", None]
+    assert texts == ["141101332.80", "0.125", "7.00", "1.00000012", None]
 
 
 def test_too_many_pairs_end_the_query(spark):

@@ -254,7 +254,7 @@ def test_two_summary_rows_are_refused(spark, tables):
 
 def test_unknown_stage(spark, tables):
     with pytest.raises(ValueError, match="Unknown validation stage: later"):
-        validate(spark, tables, "later")
+        validate(spark, tables, "later", EXPECTED)
 
 
 def test_each_stage_names_its_checks(tables):

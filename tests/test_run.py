@@ -158,8 +158,11 @@ def test_commands_return_a_status(spark, inputs, finished, tmp_path, capsys):
     good = json.dumps({**EXPECTED.__dict__, "total_revenue": "141101332.80"})
     assert main(["validate", *base, "--expected", good]) == 0
     assert json.loads(capsys.readouterr().out)["status"] == "passed"
-    assert main(["validate", *base, "--stage", "merge"]) == 1
+    assert main(["validate", *base, "--stage", "merge", "--expected", "published"]) == 1
     assert "merged_count_matches_expected" in capsys.readouterr().err
+    with pytest.raises(SystemExit):
+        main(["validate", *base, "--stage", "merge"])
+    assert "--expected" in capsys.readouterr().err
     assert main(["segment", *base]) == 0
     assert json.loads(capsys.readouterr().out)["premium_count"] == 7
     assert main(["export", *base]) == 0

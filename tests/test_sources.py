@@ -150,3 +150,35 @@ def test_scratch_folder_is_the_one_the_session_names(spark):
     kept = store.stored(spark.range(4).toDF("n"), "kept")
     assert kept.count() == 4
     assert all(named in name for name in kept.inputFiles())
+
+
+def test_rows_of_single_hashes_are_not_compared(spark):
+    """Only rows that repeat, and a few that share their bits, go on to be shuffled."""
+    from ledgerlink.functions.bitmaps import with_listed
+    from ledgerlink.sources.specs import full_row_duplicates
+
+    rows = spark.range(20_000).select(
+        F.col("id"), F.concat(F.lit("text "), F.col("id")).alias("_hash"), F.lit(1).alias("n")
+    )
+    doubled = rows.unionByName(rows.where("id % 100 = 0")).unionByName(rows.where("id = 7"))
+    hashed = doubled.withColumn("h", F.xxhash64(*doubled.columns))
+    repeated = hashed.groupBy("h").count().where("count > 1")
+    marked = with_listed(hashed, F.col("h"), repeated, F.col("h"), "again")
+    again = marked.where("again")
+    assert again.where("id % 100 = 0 OR id = 7").count() == 2 * 201
+    assert again.count() < 2 * 201 + 20 and marked.count() == doubled.count()
+    counted = spark.range(1).select(full_row_duplicates(doubled).alias("n"))
+    assert counted.first()["n"] == 201
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("duplicates", "the frame")
+    full_row_duplicates(doubled)
+    assert tracker.getJobIdsForGroup("duplicates") == []
+    spark.sparkContext.setJobGroup("other", "")
+
+
+def test_numbers_of_a_document_are_read_back(spark, tmp_path):
+    from ledgerlink.sources.sinks import json_numbers, write_json
+
+    write_json(spark, f"{tmp_path}/d.json", {"a": 1.25, "b": {"rows": 3, "é": 4}, "c": None})
+    found = {r["key"]: r["value"] for r in json_numbers(spark, f"{tmp_path}/d.json").collect()}
+    assert found == {"a": 1.25, "b.rows": 3.0, "b.é": 4.0, "c": None}
