@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlink.functions.bitmaps import BITS, with_listed
 from ledgerlink.sources.store import scratch_root
 
 #: Texts that tasks hold at once: so many rows and bytes, or one longer text.
@@ -125,33 +126,18 @@ def _roots(scratch: Scratch, edges: DataFrame, rounds: int) -> DataFrame:
 
 
 def maybe_listed(
-    rows: DataFrame, key: Column, listed: DataFrame, listed_key: Column, bits: int = 27
+    rows: DataFrame, key: Column, listed: DataFrame, listed_key: Column, bits: int = BITS
 ) -> tuple[DataFrame, DataFrame]:
     """``rows`` in two parts: those whose key may be among the listed ones, and the rest.
 
-    Keys are 64-bit hashes, not null.  A bit for each value of their first ``bits`` bits
-    is broadcast, 16 MB at most, so that rows of the rest need no shuffle to meet the
-    list; all rows of listed keys are in the first part.  ``listed`` is a written table.
+    Keys are 64-bit hashes, not null.  Rows of the rest need no shuffle to meet the list;
+    all rows of listed keys are in the first part.  ``listed`` is a written table.
     """
-    # Bitmaps that Spark builds have 32768 bits.
-    def place(hash_: Column) -> tuple[Column, Column]:
-        return (F.shiftrightunsigned(hash_, 64 - bits + 15),
-                F.shiftrightunsigned(hash_, 64 - bits) % 32768)
-
-    block, bit = place(listed_key)
-    bitmaps = listed.groupBy(block.alias("_block")).agg(
-        F.bitmap_construct_agg(bit).alias("_bits"))
-    block, bit = place(key)
-    eight = F.substring("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))
-    is_set = F.conv(F.hex(eight), 16, 10).cast("int").bitwiseAND(
-        F.expr("shiftleft(1, CAST(_bit % 8 AS INT))")) > 0
-    marked = (
-        rows.withColumns({"_at": block, "_bit": bit})
-        .join(F.broadcast(bitmaps), F.col("_at") == F.col("_block"), "left")
-        .withColumn("_set", F.coalesce(is_set, F.lit(False)))
-    )
+    flag = first_of(rows, "_listed")
+    marked = with_listed(rows, key, listed, listed_key, flag, bits)
     return tuple(
-        marked.where(part).select(*rows.columns) for part in (F.col("_set"), ~F.col("_set"))
+        marked.where(part).select(*(F.col(f"`{c}`") for c in rows.columns))
+        for part in (F.col(flag), ~F.col(flag))
     )
 
 
