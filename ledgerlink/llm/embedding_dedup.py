@@ -291,14 +291,18 @@ def _rescaled(x: np.ndarray) -> np.ndarray | None:
     return (x / most).astype(x.dtype) if most > 0 else None
 
 
-def _cell_task(shared, float32: bool):
+def _cell_task(shared, max_pivots: int, float32: bool):
+    """Tasks that name the cell of each vector.
+
+    Vectors of a length without pivot share a cell below 0 that bounds nothing.
+    """
     kind = np.float32 if float32 else np.float64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column(1).to_numpy()
-            cell = np.zeros(len(dims), dtype=np.int32)
-            far = np.zeros(len(dims))
+            cell = (-1 - dims % max_pivots).astype(np.int32)
+            far = np.full(len(dims), 2.0)
             raw = batch.column(2).to_pylist()
             for dim, (numbers, pivots) in shared.value.items():
                 here = np.flatnonzero(dims == dim)
@@ -310,8 +314,8 @@ def _cell_task(shared, float32: bool):
                 cell[here] = numbers[best]
                 far[here] = chord(cosine[np.arange(len(here)), best])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(cell), pa.array(far), batch.column(2)],
-                ["k", "cell", "far", "vector"],
+                [batch.column(0), pa.array(cell), pa.array(far), *batch.columns[1:3]],
+                ["k", "cell", "far", "dim", "vector"],
             )
 
     return run
@@ -328,7 +332,8 @@ def _block_task(float32: bool):
         payload = pickle.dumps((keys, vectors[tree.order], tree), protocol=5)
         return pa.table({
             "cell": pa.array([key[0].as_py()], pa.int32()),
-            "part": pa.array([key[1].as_py()], pa.int32()),
+            "dim": pa.array([key[1].as_py()], pa.int32()),
+            "part": pa.array([key[2].as_py()], pa.int32()),
             "radius": pa.array([max(table.column("far").to_pylist())], pa.float64()),
             "payload": pa.array([payload], pa.binary()),
         })
@@ -388,9 +393,10 @@ def near_vectors(
     good = rows.where("vector IS NOT NULL")
     n = good.count()
     order = F.xxhash64("vector", "k")
-    some = good.orderBy(order).limit(min(max_pivots, max(1, n // block))).select("dim", "vector")
-    each = good.groupBy("dim").agg(F.min_by("vector", order).alias("vector"))
-    pivots = some.unionByName(each).distinct().limit(2 * max_pivots).collect()
+    pivots = (
+        good.orderBy(order).limit(min(max_pivots, max(1, n // block))).select("dim", "vector")
+        .distinct().collect()
+    )
     number_type = np.float32 if float32 else np.float64
     by_dim: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for dim in sorted({r["dim"] for r in pivots}):
@@ -401,14 +407,14 @@ def near_vectors(
         )
     cells = scratch.store(
         good.select("k", "dim", "vector").mapInArrow(
-            _cell_task(spark.sparkContext.broadcast(by_dim), float32),
-            "k long, cell int, far double, vector binary",
+            _cell_task(spark.sparkContext.broadcast(by_dim), max_pivots, float32),
+            "k long, cell int, far double, dim int, vector binary",
         )
     )
     sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far"))
     known = {r["cell"]: (r["n"], r["far"]) for r in sizes.collect()}
     reach = float(chord(threshold)) + _EPS
-    pairs = []
+    pairs = [(cell, cell, 0.0) for cell in known if cell < 0]
     for numbers, x in by_dim.values():
         distance = chord(x @ x.T)
         for i, a in enumerate(numbers.tolist()):
@@ -422,27 +428,28 @@ def near_vectors(
     )) if known else F.lit(None).cast("map<int,int>")
     blocks = scratch.store(
         cells.withColumn("part", F.pmod(F.xxhash64("k"), parts[F.col("cell")]).cast("int"))
-        .groupBy("cell", "part")
-        .applyInArrow(_block_task(float32), "cell int, part int, radius double, payload binary")
+        .groupBy("cell", "dim", "part")
+        .applyInArrow(
+            _block_task(float32), "cell int, dim int, part int, radius double, payload binary")
     )
     listed = spark.createDataFrame(pairs, "a int, b int, d double")
-    left = blocks.select(F.col("cell").alias("a"), F.col("part").alias("pa"),
+    left = blocks.select(F.col("cell").alias("a"), "dim", F.col("part").alias("pa"),
                          F.col("radius").alias("ra"), F.col("payload").alias("left"))
-    right = blocks.select(F.col("cell").alias("b"), F.col("part").alias("pb"),
+    right = blocks.select(F.col("cell").alias("b"), "dim", F.col("part").alias("pb"),
                           F.col("radius").alias("rb"), F.col("payload").alias("right"))
     compared = (
-        left.drop("left").join(listed, "a").join(right.drop("right"), "b")
+        left.drop("left").join(listed, "a").join(right.drop("right"), ["b", "dim"])
         .where((F.col("a") < F.col("b")) | (F.col("pa") <= F.col("pb")))
         .where(F.col("d") <= F.lit(reach) + F.col("ra") + F.col("rb"))
-        .select("a", "pa", "b", "pb")
+        .select("dim", "a", "pa", "b", "pb")
     )
     # A block is read once if it is compared with itself.
-    own = compared.where("a = b AND pa = pb").join(left, ["a", "pa"]).select(
+    own = compared.where("a = b AND pa = pb").join(left, ["dim", "a", "pa"]).select(
         "left", F.lit(None).cast("binary").alias("right")
     )
     cross = (
         compared.where("NOT (a = b AND pa = pb)")
-        .join(left, ["a", "pa"]).join(right, ["b", "pb"]).select("left", "right")
+        .join(left, ["dim", "a", "pa"]).join(right, ["dim", "b", "pb"]).select("left", "right")
     )
     found = scratch.store(
         own.unionByName(cross).repartition(4 * int(spark.conf.get("spark.sql.shuffle.partitions")))

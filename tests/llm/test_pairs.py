@@ -171,6 +171,29 @@ def test_links_equal_all_pairs(spark, seed, block):
     assert out[1007]["component_id"] == 1006 and not out[1007]["kept"]
 
 
+@pytest.mark.parametrize("max_pivots", [1, 2, 512])
+def test_more_lengths_than_pivots(spark, max_pivots):
+    """Every length is compared within itself, whether it has a pivot or not."""
+    rng = np.random.default_rng(4)
+    rows, expected = [], {}
+    for dim in range(1, 30):
+        x = rng.normal(size=(12, dim))
+        x[6:] = x[:6] + rng.normal(size=(6, dim)) * 0.1
+        unit = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+        near = unit @ unit.T >= 0.9
+        np.fill_diagonal(near, False)
+        labels = _labels(12, [(i, j) for i, j in np.argwhere(near) if i < j])
+        for i, v in enumerate(x):
+            rows.append((100 * dim + i, v.tolist(), "x", 1))
+            expected[100 * dim + i] = int(near[i].sum()), 100 * dim + labels[i]
+    # Columns with the names that the operator uses inside.
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, k string, cell int")
+    df = df.withColumns({c: F.lit(2) for c in ("id", "dim", "vector", "part", "n_links")})
+    for block in (4, 4096):
+        found = embedding_dedup.near_vectors(df, block=block, max_pivots=max_pivots).collect()
+        assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == expected
+
+
 def test_tree_covers_its_rows():
     x = _vectors(3)
     tree = embedding_dedup.CoverTree(x)
