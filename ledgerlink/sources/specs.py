@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ledgerlink import fixed_values as fv
 from ledgerlink.functions.bitmaps import with_listed
 from ledgerlink.functions.text import normalize_identifiers
+from ledgerlink.sources.delimited import read_delimited
 
 # Delimited text as the source system writes it: quotes are doubled, cells may
 # hold line ends, an empty cell is null.  Types are never inferred.
@@ -32,8 +33,10 @@ CSV_READ_OPTIONS = {
 class SourceSpec:
     """One source file or folder.
 
-    Prefer a splittable format at scale: a CSV whose cells may hold line ends is
-    read by one task per file.
+    Delimited text is read by many tasks a file, also where cells hold line ends.  With
+    the option ``multiLine`` Spark's own reader is used: ``true`` reads a file in one task
+    and takes quotes inside unquoted cells as they are, ``false`` knows no line ends in
+    cells.
     """
 
     name: str
@@ -49,11 +52,14 @@ class SourceSpec:
 
 
 def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """Read a source, strip its header and check its columns; no job runs."""
+    """Read a source, strip its header and check its columns."""
     defaults = CSV_READ_OPTIONS if spec.format == "csv" else {}
-    reader = spark.read.format(spec.format).options(**{**defaults, **spec.options})
+    options = {**defaults, **spec.options}
+    reader = spark.read.format(spec.format).options(**options)
     try:
         df = reader.load(spec.path)
+        if spec.format == "csv" and "multiLine" not in spec.options and _plain(options):
+            df = read_delimited(spark, spec.path, options, df.schema)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(
@@ -63,6 +69,11 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     return check_columns(strip_header(df), spec)
 
 
+def _plain(options: Mapping[str, str]) -> bool:
+    """Whether quotes are doubled, as the splittable reader takes them."""
+    return options["quote"] == options["escape"] and options["encoding"] == "UTF-8"
+
+
 def strip_header(df: DataFrame) -> DataFrame:
     return df.toDF(*(name.strip() for name in df.columns))
 

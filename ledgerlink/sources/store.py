@@ -341,6 +341,11 @@ def own_scratch(spark: SparkSession) -> Iterator[list[str]]:
         drop_stored(spark, written)
 
 
+def note_written(path: str) -> None:
+    """Let a folder of intermediate tables go with the run that it belongs to."""
+    _WRITTEN.get().append(path)
+
+
 def drop_stored(spark: SparkSession, written: list[str] | None = None) -> None:
     """Delete what ``stored`` has written, outside of runs or in the given list; no frame
     may read it later."""
@@ -358,6 +363,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     # Noted first: a write that fails leaves nothing behind either.
-    _WRITTEN.get().append(path)
+    note_written(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
