@@ -22,6 +22,7 @@ from ledgerlink.llm.arrays import NOT_BLANK, Words
 from ledgerlink.llm.sketch import Sketcher, common
 from ledgerlink.llm.support import (
     Scratch,
+    batches_of,
     components,
     maybe_listed,
     packed,
@@ -36,6 +37,9 @@ WORDS, PERCENT = 5, 85
 BANDS, ROWS = 24, 5
 #: Buckets of up to so many nodes give pairs; larger ones are cut into blocks.
 SMALL, BLOCK = 16, 256
+#: Elements of the sets of two blocks that are compared at once, and rows with two sets
+#: that a task is handed at once: sets of long texts have tens of thousands of elements.
+_RANGE, _PAIRS = 500_000, 128
 
 
 def shingle_sets(texts: list[bytes], width: int = WORDS) -> list[np.ndarray]:
@@ -124,10 +128,24 @@ def _verify_task(percent: int):
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """How many elements each set of ``left`` shares with each of ``right``.
 
-    Elements on both sides become columns of two 0/1 matrices, a bounded number of
-    columns at a time, whose product is the count.
+    Elements on both sides become columns of two 0/1 matrices, whose product is the count.
+    The sorted sets are worked through range by range, so that long sets need no more
+    memory than short ones.
     """
     out = np.zeros((len(left), len(right)), dtype=np.float32)
+    total = sum(map(len, left)) + sum(map(len, right))
+    ranges = 1 << max(0, (total // _RANGE).bit_length())
+    bounds = [np.uint64(i * (2**64 // ranges)) for i in range(ranges)]
+    cuts = [[np.append(np.searchsorted(s, bounds), len(s)) for s in side]
+            for side in (left, right)]
+    for i in range(ranges):
+        parts = [[s[c[i] : c[i + 1]] for s, c in zip(side, at, strict=True)]
+                 for side, at in zip((left, right), cuts, strict=True)]
+        _add_shared(out, *parts)
+    return out
+
+
+def _add_shared(out: np.ndarray, left: list[np.ndarray], right: list[np.ndarray]) -> None:
     a, b = np.concatenate(left), np.concatenate(right)
     known = np.intersect1d(a, b)
     rows = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (left, right)]
@@ -145,7 +163,6 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
             m[rows[i][here], at[i][here] - low] = 1
             parts.append(m)
         out += parts[0] @ parts[1].T
-    return out
 
 
 def _spanning(links: np.ndarray, left: list, right: list) -> list[tuple]:
@@ -173,7 +190,7 @@ def _block_task(percent: int):
     def run(table: pa.Table) -> pa.Table:
         query = np.array(table.column("query").to_pylist(), dtype=bool)
         group = table.column("group").to_pylist()
-        elements = [np.frombuffer(e, np.uint64) for e in table.column("elements").to_pylist()]
+        elements = [np.frombuffer(e.as_buffer(), np.uint64) for e in table.column("elements")]
         left, right = np.flatnonzero(query), np.flatnonzero(~query)
         kept = []
         if len(left) and len(right):
@@ -348,7 +365,8 @@ def _near_duplicates(
     # Where no id repeats, one row of each node was wanted, and sets need no shuffle.
     if not rows_of.groupBy("_id").count().where("count > 1").isEmpty():
         sets = sets.join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    groups = scratch.store(_groups(search, members, search.store(sets), percent))
+    with batches_of(docs.sparkSession, _PAIRS):
+        groups = scratch.store(_groups(search, members, search.store(sets), percent))
     search.drop()
     smallest = (
         groups.join(ids, "node").groupBy("label").agg(F.min("first").alias("component_id"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlink.functions.bitmaps import BITS, with_listed
-from ledgerlink.sources.store import scratch_root
+from ledgerlink.sources.store import note_written, scratch_root
 
 #: Texts that tasks hold at once: so many rows and bytes, or one longer text.
 BATCH_ROWS, BATCH_BYTES = 512, 4_000_000
@@ -29,6 +30,8 @@ class Scratch:
         app = spark.sparkContext.applicationId
         self.root = f"{scratch_root(spark)}/{job}-{app}-{uuid.uuid4().hex}"
         self.tables = 0
+        # Inside of ``own_scratch`` the tables go with the run that they belong to.
+        note_written(self.root)
 
     def store(self, df: DataFrame, compression: str = "zstd") -> DataFrame:
         """Write a frame and return it as read back."""
@@ -43,6 +46,18 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs inside hand at most so many rows at once to Python: for rows that are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
     """A batch in parts of a bounded number of rows and bytes of its text column."""
     lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
