@@ -17,6 +17,7 @@ from ledgerlink.sources.store import note_written, scratch_root
 
 #: Texts that tasks hold at once: so many rows and bytes, or one longer text.
 BATCH_ROWS, BATCH_BYTES = 512, 4_000_000
+ROWS_AT_ONCE = 1_000
 
 
 class Scratch:
@@ -30,6 +31,7 @@ class Scratch:
         app = spark.sparkContext.applicationId
         self.root = f"{scratch_root(spark)}/{job}-{app}-{uuid.uuid4().hex}"
         self.tables = 0
+        _small_batches(spark)
         # Inside of ``own_scratch`` the tables go with the run that they belong to.
         note_written(self.root)
 
@@ -46,6 +48,15 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Hand at most ``ROWS_AT_ONCE`` rows at once to Python from now on, for this session:
+    rows hold whole texts, and two tasks of an executor hold a batch each, in the JVM and
+    in Python."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ROWS_AT_ONCE:
+        spark.conf.set(name, str(ROWS_AT_ONCE))
+
+
 @contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     """Jobs inside hand at most so many rows at once to Python: for rows that are large."""
@@ -158,6 +169,7 @@ def maybe_listed(
 
 def packed(df: DataFrame, text_col: str) -> DataFrame:
     """Two columns: ``_row`` with all other columns, whatever their names, and ``_text``."""
+    _small_batches(df.sparkSession)
     others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns) if c != text_col]
     return df.select(
         F.struct(F.lit(True).alias("row"), *others).alias("_row"),
