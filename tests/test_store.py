@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlink import SourceSpec
+from ledgerlink import Expected, SourceSpec
 from ledgerlink.plans import run as plans
 from ledgerlink.sources import store as stores
 from ledgerlink.sources.store import MixedVersionsError, TableStore
@@ -127,7 +127,7 @@ def test_null_web_keys_do_not_share_a_bucket(spark, tmp_path):
 def test_the_set_of_sources_is_checked(spark, tmp_path, names):
     sources = [SourceSpec(name, f"{tmp_path}/{name}") for name in names]
     with pytest.raises(ValueError, match="Sources needed"):
-        plans.run(spark, sources, str(tmp_path))
+        plans.run(spark, sources, str(tmp_path), Expected.published())
 
 
 class _Session:
