@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlink import fixed_values as fv
@@ -14,6 +14,10 @@ from ledgerlink import fixed_values as fv
 Value = int | Decimal | Column | None
 
 
+#: The column that ``Expected.beside`` adds.
+EXPECTED_ROW = "_expected"
+
+
 def value(of: Value) -> Column:
     return of if isinstance(of, Column) else F.lit(of)
 
@@ -34,6 +38,12 @@ class Expected:
     merged_rows: Value
     total_revenue: Value
     premium_rows: Value
+    #: A scalar subquery of a struct; the values above may be fields of ``EXPECTED_ROW``.
+    row: Column | None = None
+
+    def beside(self, df: DataFrame) -> DataFrame:
+        """A frame with the values that its checks compare with, found out once."""
+        return df if self.row is None else df.withColumn(EXPECTED_ROW, self.row)
 
     @classmethod
     def published(cls) -> Expected:

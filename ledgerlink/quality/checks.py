@@ -230,7 +230,8 @@ def check_frame(tables: Tables, stage: str, expected: Expected) -> DataFrame:
         )
         measured.append((totals, _of("revenue", total_checks(expected))))
     return union_all(
-        df.select(F.inline(F.array(*checks))).select("stage", "of.*") for df, checks in measured
+        expected.beside(df).select(F.inline(F.array(*checks))).select("stage", "of.*")
+        for df, checks in measured
     )
 
 

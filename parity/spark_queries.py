@@ -182,8 +182,11 @@ def staging_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def revenue_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    expected = expected_for(spark, sf_dir).total_revenue
-    totals = m.revenue_totals(t.merged_wines, t.revenue_by_product, t.revenue_summary)
+    wanted = expected_for(spark, sf_dir)
+    expected = wanted.total_revenue
+    totals = wanted.beside(
+        m.revenue_totals(t.merged_wines, t.revenue_by_product, t.revenue_summary)
+    )
     stated, added = to_cents(F.col("total_revenue")), to_cents(F.col("detail_revenue"))
 
     def same(a, b):
@@ -255,7 +258,7 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("merged_count", t.merged_wines, expected.merged_rows),
     )
     return union_all(
-        df.agg(F.count(F.lit(1)).alias("actual")).select(
+        expected.beside(df.agg(F.count(F.lit(1)).alias("actual"))).select(
             F.lit(name).alias("name"),
             "actual",
             target.cast("bigint").alias("expected"),
