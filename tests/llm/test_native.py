@@ -179,6 +179,20 @@ def test_added_spans_keep_base_ones(spark, docs):
     assert clean["text"] == probe[2][1]
 
 
+def test_personal_data_is_learned_from_all_texts(spark):
+    # Of 100,000 rows a sample of 50,000 by hash left out all that hold anything.
+    told = "pmod(xxhash64(id), 1048576) >= 524288 AND id < 4000"
+    docs = spark.range(100_000).selectExpr(
+        "id AS doc_id",
+        f"CASE WHEN {told} THEN concat('so ', repeat('u', CAST(id % 37 AS INT) + 1), '@h', id, "
+        "'.org met ', 300 + id % 600, '.', id % 999, '.1.', id % 7) END AS text",
+    )
+    model = pii.train(docs)
+    probe = spark.createDataFrame([(1, "so uuuuu [at] h123 [dot] org, then 310[.]4[.]1[.]2")],
+                                  "doc_id long, text string")
+    assert [s["kind"] for s in pii.find(probe, model).first()["spans"]] == ["email"]
+
+
 def test_personal_data_odd_rows(odd, clashing, empty):
     rows = pii.find(clashing, pii.train(clashing)).collect()
     assert len(rows) == odd.count()
