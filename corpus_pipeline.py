@@ -26,12 +26,12 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Without labelled rows the model knows no language, and letters alone decide.
     """
-    labelled = docs.where(~language_id.held_out())
-    model = language_id.train(labelled)
+    model = language_id.train(docs.where(~language_id.held_out()))
     if not model.langs:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    least = language_id.calibrate(labelled, model)
-    found = language_id.identify(docs, model)
+    # Written, so that no text is scored twice: for the threshold and to be kept.
+    found = Scratch(spark, "languages").store(language_id.identify(docs, model).drop("spans"))
+    least = language_id.calibrate(found.where(~language_id.held_out("row.doc_id")))
     known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= F.lit(least))
     return found.where(known).select("row.*")
 

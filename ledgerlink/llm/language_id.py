@@ -12,11 +12,9 @@ from pyspark.sql import functions as F
 
 from ledgerlink.llm.arrays import run_hashes, runs
 from ledgerlink.llm.sketch import mix
-from ledgerlink.llm.support import packed, slices, unpacked, wider
+from ledgerlink.llm.support import ROWS_AT_ONCE, batches_of, packed, slices, unpacked, wider
 
 UNKNOWN = "und"
-#: The classifier is fitted on about so many labelled rows at most, chosen by hash.
-MAX_TRAINING_ROWS = 20_000
 #: Cost of a change of language between two words, and the lowest score of a word.
 SWITCH, FLOOR = 12.0, -8.0
 #: A language is a candidate for a script in which it has this share of its words.
@@ -151,26 +149,19 @@ class LanguageModel:
         return scores
 
 
-def train(
-    rows: DataFrame,
-    max_rows: int = MAX_TRAINING_ROWS,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    lang_col: str = "lang",
-) -> LanguageModel:
-    """Fit on ``rows``; those of null language are left out.
+def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
+    """Fit on the whole texts of all ``rows``; those of null language are left out.
 
-    About ``max_rows`` rows are used at most, whole texts, chosen by a hash of the id.
     Tasks count; the driver gets one number per n-gram bucket and language.
     """
     rows = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    share = min(1.0, max_rows / max(1, rows.count()))
-    rows = rows.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(share * (1 << 20)))
     counted = (
         rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
         .mapInArrow(_count_task, "lang string, at int, n long")
-        .groupBy("lang", "at").agg(F.sum("n").alias("n")).toPandas()
+        .groupBy("lang", "at").agg(F.sum("n").alias("n"))
     )
+    with batches_of(rows.sparkSession, ROWS_AT_ONCE):
+        counted = counted.toPandas()
     langs = sorted(counted["lang"].unique())
     counts = np.zeros((len(langs), _BUCKETS + _N_SCRIPTS))
     counts[counted["lang"].map(langs.index).to_numpy(int), counted["at"].to_numpy(int)] = counted["n"]
@@ -318,27 +309,23 @@ def identify(
 
 
 def calibrate(
-    rows: DataFrame,
-    model: LanguageModel,
+    found: DataFrame,
     keep: float = 0.999,
     margin: float = 0.5,
-    max_rows: int = 4_000,
-    id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
 ) -> float:
     """The score below which a text is in no language that the model knows.
 
-    All but ``1 - keep`` of about ``max_rows`` labelled rows, chosen by a hash of the id,
-    have a score above the one found; ``margin`` of it is the threshold, which leaves
-    clean texts of other kinds room.  Without labelled rows it is 0.
+    ``found`` are rows of ``identify``.  All but ``1 - keep`` of those that are labelled
+    and have a letter score above the one found; ``margin`` of it is the threshold, which
+    leaves clean texts of other kinds room.  Without labelled rows it is 0.  Scores count
+    to six decimals, so that however many rows have a bounded number of them.
     """
-    known = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    share = min(1.0, max_rows / max(1, known.count()))
-    some = known.where(F.pmod(F.xxhash64(F.lit(2), id_col), F.lit(1 << 20)) < int(share * (1 << 20)))
-    scored = identify(some.select(id_col, text_col), model, text_col)
-    found = scored.agg(F.percentile("score", 1 - keep)).first()[0]
-    return margin * (found or 0.0)
+    text, lang = F.col("row").getField(text_col), F.col("row").getField(lang_col)
+    known = found.where(lang.isNotNull() & text.rlike(r"\p{L}"))
+    least = known.agg(F.percentile(F.round("score", 6), 1 - keep)).first()[0]
+    return margin * (least or 0.0)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

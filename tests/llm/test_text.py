@@ -62,6 +62,25 @@ def test_viterbi_equals_brute_force():
                 assert value(slow[a:b]) == pytest.approx(best)
 
 
+def test_languages_are_learned_from_all_rows(spark):
+    # Of 45,000 rows a sample of 20,000 by hash knew no more than half of the rare languages.
+    rows = spark.range(45_000).selectExpr(
+        "id AS doc_id", "'the cat sat' AS text",
+        "CASE WHEN id < 40 THEN concat('l', id) ELSE 'en' END AS lang")
+    langs = language_id.train(rows).langs
+    assert sorted(langs) == sorted(["en", *(f"l{i}" for i in range(40))])
+
+
+def test_least_score_is_taken_from_all_labelled_rows(spark):
+    found = spark.range(20_000).selectExpr(
+        "struct(id AS doc_id, 'a word' AS text, 'en' AS lang) AS row", "id / 20000 AS score")
+    others = spark.range(9_000).selectExpr(
+        "struct(id AS doc_id, if(id % 2 = 0, 'a word', '1 2') AS text, "
+        "if(id % 2 = 0, null, 'en') AS lang) AS row", "0D AS score")
+    assert language_id.calibrate(found.unionByName(others)) == pytest.approx(0.5 * 19.999 / 20_000)
+    assert language_id.calibrate(others) == 0
+
+
 def test_language_odd_rows(odd, clashing, empty):
     model = language_id.train(odd)
     rows = language_id.identify(clashing, model).collect()
