@@ -35,11 +35,14 @@ class Scratch:
         # Inside of ``own_scratch`` the tables go with the run that they belong to.
         note_written(self.root)
 
-    def store(self, df: DataFrame, compression: str = "zstd") -> DataFrame:
-        """Write a frame and return it as read back."""
+    def store(self, df: DataFrame, compression: str = "zstd", by: str | None = None) -> DataFrame:
+        """Write a frame and return it as read back; ``by`` is a last column with a folder
+        for each of its values."""
         self.tables += 1
         path = f"{self.root}/{self.tables}"
-        df.write.option("compression", compression).parquet(path)
+        df.write.option("compression", compression).parquet(
+            path, partitionBy=[] if by is None else [by]
+        )
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
@@ -60,13 +63,21 @@ def _small_batches(spark: SparkSession) -> None:
 @contextmanager
 def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
     """Jobs inside hand at most so many rows at once to Python: for rows that are large."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    with configured(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}):
+        yield
+
+
+@contextmanager
+def configured(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Jobs inside have these settings."""
+    before = {name: spark.conf.get(name) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,8 @@
 
 import random
 import re
+import subprocess
+import threading
 
 import numpy as np
 import pytest
@@ -11,6 +13,7 @@ import corpus_pipeline
 from ledgerlink.llm import embedding_dedup, near_dedup
 from ledgerlink.llm.sketch import Sketcher, mix
 from ledgerlink.llm.support import Scratch, components
+from ledgerlink.sources.store import scratch_root
 
 SYLLABLES = ["ka", "lo", "mi", "ter", "un", "das", "pre", "vo", "shi", "ran", "el", "qu"]
 
@@ -204,6 +207,94 @@ def test_tree_covers_its_rows():
             assert embedding_dedup.chord(unit[a:b] @ unit[a]).max() <= r + 1e-7
 
 
+def test_forest_covers_its_rows():
+    x = [_vectors(3), _vectors(4, n=90), _vectors(5, n=61)]
+    trees = [embedding_dedup.CoverTree(v) for v in x]
+    forest = embedding_dedup.Forest(trees)
+    unit = np.concatenate([embedding_dedup.unit(v)[t.order] for v, t in zip(x, trees)])
+    for level in range(8):
+        lo, radius, child = forest.level(level)
+        assert lo[0] == 0 and lo[-1] == len(unit) and len(lo) == len(radius) + 1 == len(child)
+        for a, b, r in zip(lo[:-1], lo[1:], radius, strict=True):
+            assert embedding_dedup.chord(unit[a:b] @ unit[a]).max() <= r + 1e-7
+        below = forest.level(level + 1)[0]
+        assert (below[child] == lo).all()
+
+
+@pytest.mark.parametrize("directions", [None, 1, 7, 15])
+@pytest.mark.parametrize("spread", [0.02, 0.1, 0.25])
+def test_dual_equals_all_pairs(directions, spread, monkeypatch):
+    """Whatever the directions are, and with nodes of several tiles and slices."""
+    monkeypatch.setattr(embedding_dedup, "_TILE", 16)
+    monkeypatch.setattr(embedding_dedup, "_PAIRS", 50)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 16))
+    x[100:220] = x[0] + rng.normal(size=(120, 16)) * spread
+    x[220:260] = x[:40]
+    x = rng.permutation(x).astype(np.float32)
+    basis = None if directions is None else np.linalg.qr(rng.normal(size=(16, 16)))[0][:, :directions]
+    sides, order = [], []
+    for part in (np.arange(170), np.arange(170, 300)):
+        trees = [embedding_dedup.CoverTree(x[p]) for p in np.array_split(part, 3)]
+        rows = np.concatenate([p[t.order] for p, t in zip(np.array_split(part, 3), trees)])
+        sides.append(embedding_dedup.Side(
+            embedding_dedup.Forest(trees), embedding_dedup.unit(x[rows]), basis))
+        order.append(rows)
+    unit = embedding_dedup.unit(x)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    for one, rows in zip(sides, order, strict=True):
+        counts, labels = embedding_dedup.Dual(one, None, 0.9).result()
+        assert (counts[0] == near[np.ix_(rows, rows)].sum(axis=1)).all()
+        links = np.argwhere(near[np.ix_(rows, rows)]).tolist()
+        assert labels[0].tolist() == _labels(len(rows), links)
+    counts, labels = embedding_dedup.Dual(*sides, 0.9).result()
+    across = near[np.ix_(*order)]
+    assert (counts[0] == across.sum(axis=1)).all() and (counts[1] == across.sum(axis=0)).all()
+    found = np.concatenate(labels)
+    for i, j in np.argwhere(across):
+        assert found[i] == found[170 + j]
+    whole = np.array(_labels(300, np.argwhere(near[np.ix_(*[np.concatenate(order)] * 2)]).tolist()))
+    assert (whole[found] == whole).all()
+
+
+def _most_on_disk(spark, vectors, **sizes):
+    """Bytes that shuffles and scratch tables of a call take at most, and its links."""
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    folders = [d.getPath() for d in env.blockManager().diskBlockManager().localDirs()]
+    folders.append(scratch_root(spark))
+
+    def held():
+        found = subprocess.run(["du", "-scb", *folders], capture_output=True, text=True)
+        return int(found.stdout.split()[-2])
+
+    before, seen, over = held(), [], threading.Event()
+
+    def watch():
+        while not over.wait(0.05):
+            seen.append(held())
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        rows = embedding_dedup.near_vectors(vectors, **sizes).collect()
+    finally:
+        over.set()
+        watcher.join()
+    return max(seen) - before, sum(r["n_links"] for r in rows)
+
+
+def test_disk_follows_the_vectors(spark):
+    """Vectors far apart, where each block is compared with each other."""
+    x = np.random.default_rng(9).normal(size=(6000, 48)).astype(np.float32)
+    x[3000:3100] = x[:100] * 2
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<float>")
+    held, links = _most_on_disk(spark, df, block=64)
+    assert links == 200
+    assert held < 8 * x.nbytes
+
+
 def test_vectors_without_rows(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, k int, id int")
     assert embedding_dedup.near_vectors(df).collect() == []
