@@ -548,6 +548,27 @@ def _in_order(by_dim: dict[int, tuple[np.ndarray, np.ndarray]]) -> list[int]:
     return out
 
 
+def _layout(
+    share: dict[int, float], in_order: list[int]
+) -> tuple[dict[int, tuple[int, int]], int]:
+    """For each cell its first group and its number of groups, and how many groups there are.
+
+    ``share`` is how many groups a cell fills.  It has one or several of its own, or is in
+    one with the cells before it.
+    """
+    layout, filled, groups = {}, 1.0, 0
+    for cell in [*in_order, *sorted(c for c in share if c < 0)]:
+        if filled + share[cell] <= 1.0:
+            layout[cell] = groups - 1, 1
+            filled += share[cell]
+        else:
+            parts = int(np.ceil(share[cell]))
+            layout[cell] = groups, parts
+            groups += parts
+            filled = min(share[cell], 1.0)
+    return layout, groups
+
+
 def _compared(
     scratch: Scratch, table: DataFrame, by_dim: dict, bases: dict, threshold: float, groups: int
 ) -> DataFrame:
@@ -566,7 +587,6 @@ def _compared(
     if not entries:
         return spark.createDataFrame([], schema)
     near = _near_cells(by_dim, entries, float(chord(threshold)) + _EPS, groups)
-    payload = [F.col("grp"), F.col("payload")]
     written = []
     with configured(spark, {
         "spark.sql.execution.arrow.maxRecordsPerBatch": "1",
@@ -575,12 +595,12 @@ def _compared(
         for low in range(0, groups, _AT_ONCE):
             jobs = []
             for i in range(low, min(low + _AT_ONCE, groups)):
-                others = [int(j) for j in np.flatnonzero(near[i]) if j >= i]
+                others = [str(j) for j in np.flatnonzero(near[i]) if j >= i]
                 if not others:
                     continue
                 # In a cartesian product each task holds its part of the right side.
-                one = table.where(F.col("grp") == i).select(*payload).coalesce(1)
-                many = table.where(F.col("grp").isin(others)).select(*payload)
+                one = table.where(f"grp = {i}").select("grp", "payload").coalesce(1)
+                many = table.where(f"grp IN ({','.join(others)})").select("grp", "payload")
                 jobs.append(many.crossJoin(one.hint("shuffle_replicate_nl")))
             if jobs:
                 pairs = reduce(DataFrame.union, jobs)
@@ -647,23 +667,12 @@ def near_vectors(
         r["cell"]: max(r["n"] / (_GROUP_BLOCKS * block), r["size"] / _GROUP_BYTES)
         for r in sizes.collect()
     }
-    # A cell has a group or several of its own, or shares one with the cells next to it.
-    known = [c for c in _in_order(by_dim) if c in share] + sorted(c for c in share if c < 0)
-    first_of, filled, groups = {}, 0.0, 0
-    for cell in known:
-        if filled + share[cell] > 1.0 or not groups:
-            first_of[cell] = groups
-            groups += max(1, int(np.ceil(share[cell])))
-            filled = share[cell] if share[cell] <= 1.0 else 1.0
-        else:
-            first_of[cell], filled = groups - 1, filled + share[cell]
-    literal = [
-        (F.lit(cell), F.struct(F.lit(first_of[cell]).alias("first"),
-                               F.lit(max(1, int(np.ceil(share[cell])))).alias("parts")))
-        for cell in known
-    ]
-    place = (F.create_map(*(x for pair in literal for x in pair)) if known
-             else F.lit(None).cast("map<int,struct<first:int,parts:int>>"))[F.col("cell")]
+    layout, n_groups = _layout(share, [c for c in _in_order(by_dim) if c in share])
+    place = F.create_map(*(
+        x for cell, (first, parts) in layout.items()
+        for x in (F.lit(cell), F.struct(F.lit(first).alias("first"), F.lit(parts).alias("parts")))
+    )) if layout else F.lit(None).cast("map<int,struct<first:int,parts:int>>")
+    place = place[F.col("cell")]
     grp = F.coalesce(place["first"] + F.pmod(F.xxhash64("k"), place["parts"]), F.lit(0))
     table = scratch.store(
         cells.withColumn("grp", grp.cast("int")).groupBy("grp").applyInArrow(
@@ -672,7 +681,7 @@ def near_vectors(
         ),
         by="grp",
     )
-    found = _compared(scratch, table, by_dim, bases, threshold, groups)
+    found = _compared(scratch, table, by_dim, bases, threshold, n_groups)
     counts = found.groupBy("k").agg(F.sum("links").alias("links"))
     groups = components(scratch, found, "k", "label")
     smallest = (

@@ -258,6 +258,25 @@ def test_dual_equals_all_pairs(directions, spread, monkeypatch):
     assert (whole[found] == whole).all()
 
 
+def test_cells_make_groups():
+    share = {3: 0.5, 0: 0.5, 1: 2.5, 2: 0.1, -1: 0.2, -2: 0.8}
+    layout, groups = embedding_dedup._layout(share, [3, 0, 2, 1])
+    assert layout == {3: (0, 1), 0: (0, 1), 2: (1, 1), 1: (2, 3), -2: (5, 1), -1: (5, 1)}
+    assert groups == 6
+    assert embedding_dedup._layout({}, []) == ({}, 0)
+
+
+def test_groups_far_apart_are_not_compared():
+    """Cells on axes are 1.41 apart: near if 0.45 and both radii are more."""
+    by_dim = {4: (np.array([0, 2, 3]), np.eye(4)[[0, 1, 2]]), 5: (np.array([1]), np.eye(5)[:1])}
+    assert sorted(embedding_dedup._in_order(by_dim)) == [0, 1, 2, 3]
+    entries = [(0, 0, 0.1), (1, 0, 0.2), (2, 2, 0.1), (3, 3, 0.9), (3, 1, 2.0), (4, -1, 2.0),
+               (5, -1, 2.0), (6, -2, 2.0)]
+    near = embedding_dedup._near_cells(by_dim, entries, 0.45, 7)
+    pairs = {(i, j) for i, j in np.argwhere(near).tolist() if i < j}
+    assert near.diagonal().all() and pairs == {(0, 1), (0, 3), (1, 3), (2, 3), (4, 5)}
+
+
 def _most_on_disk(spark, vectors, **sizes):
     """Bytes that shuffles and scratch tables of a call take at most, and its links."""
     env = spark._jvm.org.apache.spark.SparkEnv.get()
