@@ -27,8 +27,10 @@ from ledgerlink.llm.support import Scratch, components, configured
 THRESHOLD = 0.9
 #: Vectors of a block, and pivots at most; they are all vectors that the driver gets.
 BLOCK, MAX_PIVOTS = 4096, 512
-#: Blocks and bytes of a group at most, and groups that a job compares with all others.
-_GROUP_BLOCKS, _GROUP_BYTES, _AT_ONCE = 4, 16_000_000, 32
+#: Blocks and bytes of a group at most.  A job compares so many groups with those after them
+#: at most, and begins with no further one after so many pairs.
+_GROUP_BLOCKS, _GROUP_BYTES = 4, 16_000_000
+_JOB_GROUPS, _JOB_PAIRS = 32, 2048
 #: Radii of the levels.  The traversal begins at the level of ``CUT``.
 _RADII = (1.0, 0.5, 0.25, 0.125, 0.0625, 0.03125)
 _CUT = 2
@@ -592,20 +594,19 @@ def _compared(
         "spark.sql.execution.arrow.maxRecordsPerBatch": "1",
         "spark.sql.files.maxPartitionBytes": str(_GROUP_BYTES),
     }):
-        for low in range(0, groups, _AT_ONCE):
-            jobs = []
-            for i in range(low, min(low + _AT_ONCE, groups)):
-                others = [str(j) for j in np.flatnonzero(near[i]) if j >= i]
-                if not others:
-                    continue
+        parts, n_pairs = [], 0
+        for i in range(groups):
+            others = [str(j) for j in np.flatnonzero(near[i]) if j >= i]
+            if others:
                 # In a cartesian product each task holds its part of the right side.
                 one = table.where(f"grp = {i}").select("grp", "payload").coalesce(1)
                 many = table.where(f"grp IN ({','.join(others)})").select("grp", "payload")
-                jobs.append(many.crossJoin(one.hint("shuffle_replicate_nl")))
-            if jobs:
-                pairs = reduce(DataFrame.union, jobs)
-                written.append(scratch.store(pairs.toDF("a", "left", "b", "right")
-                                             .mapInArrow(pair, schema)))
+                parts.append(many.crossJoin(one.hint("shuffle_replicate_nl")))
+                n_pairs += len(others)
+            if parts and (i == groups - 1 or len(parts) == _JOB_GROUPS or n_pairs >= _JOB_PAIRS):
+                pairs = reduce(DataFrame.union, parts).toDF("a", "left", "b", "right")
+                written.append(scratch.store(pairs.mapInArrow(pair, schema)))
+                parts, n_pairs = [], 0
     return reduce(DataFrame.union, written)
 
 

@@ -314,6 +314,20 @@ def test_disk_follows_the_vectors(spark):
     assert held < 8 * x.nbytes
 
 
+def test_groups_of_several_jobs(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "_JOB_GROUPS", 2)
+    monkeypatch.setattr(embedding_dedup, "_JOB_PAIRS", 3)
+    x = _vectors(6)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                               "vec_id long, embedding array<float>")
+    unit = embedding_dedup.unit(x)
+    links = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    found = embedding_dedup.near_vectors(df, block=16).collect()
+    assert {r["vec_id"]: r["n_links"] for r in found} == dict(enumerate(links.tolist()))
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [spark.conf.get(n) for n in names] == ["134217728b", "1000"]
+
+
 def test_vectors_without_rows(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, k int, id int")
     assert embedding_dedup.near_vectors(df).collect() == []
